@@ -8,6 +8,7 @@ import zipfile
 from dataclasses import dataclass
 from functools import lru_cache, reduce
 
+import pyarrow as pa
 import pyspark
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,7 +64,10 @@ def suffix_rules(spark: SparkSession, text: str | None = None, private: bool = T
     """Rule table from list text, by default the list shipped with Spark."""
     rows = _rules_of(text, private)
     depth = max(base.count(".") + 1 for base, _ in rows)
-    return SuffixRules(spark.createDataFrame(list(rows), "base string, kind int"), depth)
+    # an Arrow table becomes a local relation: no Python job to broadcast it
+    bases, kinds = zip(*rows, strict=True)
+    table = pa.table({"base": pa.array(bases, pa.string()), "kind": pa.array(kinds, pa.int32())})
+    return SuffixRules(spark.createDataFrame(table), depth)
 
 
 def with_domain_parts(rows: DataFrame, name: Column | str, rules: SuffixRules) -> DataFrame:

@@ -1,0 +1,47 @@
+"""Joins with small tables whose size is measured before they are broadcast."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Most rows of a table of short columns that are sent to every executor.
+BROADCAST_ROWS = 500_000
+
+
+def pinned_if_small(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame | None:
+    """The table as a local relation when it has at most ``rows`` rows, else None.
+
+    No more than ``rows + 1`` rows are fetched, and the table is not computed
+    again by the plan that uses it.
+    """
+    taken = table.limit(rows + 1).toArrow()
+    return table.sparkSession.createDataFrame(taken, table.schema) if taken.num_rows <= rows else None
+
+
+def small_join(
+    rows: DataFrame,
+    table: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    copies_matter: bool = True,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Join ``rows`` with a table that is expected to be small and unique by ``on``.
+
+    Measured small it is broadcast and ``rows`` stay where they are. Otherwise
+    both sides are shuffled: a hot key is cut by a hash of the whole row into
+    up to 64 pieces, and the table is repeated for each. Copies of a row share
+    a piece; where they mean nothing (``copies_matter=False``) they are merged first.
+    """
+    small = pinned_if_small(table, max_rows)
+    if small is not None:
+        return rows.join(F.broadcast(small), list(on), how)
+    if not copies_matter:
+        rows = rows.distinct()
+    pieces = min(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(pieces)))
+    repeated = table.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {pieces - 1}L)")))
+    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
