@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import EXPIRATION, FIRST_SEEN, REGISTRATION
-from .lookups import BROADCAST_ROWS, small_join
+from ..session import written
+from .lookups import BROADCAST_ROWS, pinned_if_small, small_join
 
 
 def calendar_of(files: DataFrame) -> DataFrame:
@@ -35,6 +36,8 @@ def zone_diff_events(
     a group is at most one number per snapshot of its TLD.
     """
     calendar = calendar_of(snapshots if files is None else files)
+    small = pinned_if_small(calendar, max_rows)
+    calendar = written(calendar, "calendar") if small is None else small
     ranked = small_join(
         snapshots.select("tld", "snapshot_date", "domain"), calendar, ["tld", "snapshot_date"],
         copies_matter=False, max_rows=max_rows,

@@ -15,8 +15,17 @@ LEVEL_TABLE = {
 }
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "bigint": T.LongType(), "string": T.StringType(), "timestamp": T.TimestampType(),
+    "boolean": T.BooleanType(), "binary": T.BinaryType(), "date": T.DateType(),
+}
+
+
+def _struct(columns: str, **nested: T.DataType) -> T.StructType:
+    """Schema from ``name type, ...``; needs no running session."""
+    pairs = [column.split() for column in columns.split(", ")]
+    fields = [T.StructField(name, _TYPES[kind]) for name, kind in pairs]
+    return T.StructType(fields + [T.StructField(name, kind) for name, kind in nested.items()])
 
 
 def _level_columns(level: str) -> str:
@@ -50,6 +59,11 @@ TABLES: dict[str, T.StructType] = {
         "id bigint, fqdn_id bigint, first_seen timestamp, last_seen timestamp, stage_id bigint"
     ),
     "record_types": _struct("id bigint, type string"),
+    # the streaming differ's events, the newest snapshot of each zone, and where to find it
+    "zone_events": _struct("tld string, domain string, event_type string, snapshot_date date"),
+    "zone_state": _struct("tld string, snapshot_date date, domain string"),
+    "zone_heads": _struct("tld string, snapshot_date date, batch string"),
+    "known_names": _struct("fqdn string"),
     "rejects": _struct("source string, reason string, payload string, stage_id bigint"),
 }
 for _level, _table in LEVEL_TABLE.items():
@@ -58,23 +72,29 @@ for _level, _table in LEVEL_TABLE.items():
     # A link is its own append-only row, so a stored pseudonym is never rewritten.
     TABLES[f"{_table}_anon_links"] = _struct(f"anon_id bigint, plain_{_level}_id bigint")
 
+_LOG = _struct(
+    "description string, key string, url string, maximum_merge_delay bigint",
+    operated_by=T.ArrayType(T.LongType()),
+)
+
 #: landed record streams, times in Unix milliseconds
 RECORDS: dict[str, T.StructType] = {
     "zone": _struct("muid string, domain string, event_type string, timestamp bigint"),
     "ct": _struct(
-        "muid string, certificate binary, index bigint, timestamp bigint, is_precert boolean, "
-        "log struct<description: string, key: string, url: string, maximum_merge_delay: bigint, "
-        "operated_by: array<bigint>, dns_api_endpoint: string>"
+        "muid string, certificate binary, index bigint, timestamp bigint, is_precert boolean",
+        log=T.StructType([*_LOG.fields, T.StructField("dns_api_endpoint", T.StringType())]),
     ),
     "passive": _struct("muid string, query string, query_type string, timestamp bigint"),
     "entrada": _struct("muid string, fqdn string, min_timestamp bigint, max_timestamp bigint"),
 }
 
-LOG_LIST = _struct(
-    "logs array<struct<description: string, key: string, url: string, maximum_merge_delay: bigint, "
-    "operated_by: array<bigint>>>, operators array<struct<name: string, id: bigint>>"
-)
+LOG_LIST = T.StructType([
+    T.StructField("logs", T.ArrayType(_LOG)),
+    T.StructField("operators", T.ArrayType(_struct("name string, id bigint"))),
+])
 
-ENTRY_PAGE = _struct("entries array<struct<leaf_input: string, extra_data: string>>")
+ENTRY_PAGE = T.StructType([
+    T.StructField("entries", T.ArrayType(_struct("leaf_input string, extra_data string"))),
+])
 
 FIRST_SEEN, REGISTRATION, EXPIRATION = "FIRST_SEEN", "REGISTRATION", "EXPIRATION"

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.times import from_unix_ms
 from ..schemas import ENTRY_PAGE, LOG_LIST
@@ -128,7 +129,7 @@ def dns_names(raw: bytes) -> list[str] | None:
         return None
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _dns_names(raw: pd.Series) -> pd.Series:
     return raw.map(dns_names, na_action="ignore")
 
