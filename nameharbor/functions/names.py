@@ -12,9 +12,13 @@ _HEX = r"[0-9a-fA-F]{1,4}"
 
 def normalize_name(name: Column) -> Column:
     """One trailing dot off, one leading dot off, lower case, no tabs or newlines."""
-    tail = F.when(name.endswith("."), F.substring(name, F.lit(1), F.length(name) - 1)).otherwise(name)
-    head = F.when(tail.startswith("."), F.substring(tail, F.lit(2), F.length(tail))).otherwise(tail)
-    return F.translate(F.lower(head), "\t\n", "")
+    # one mention of the name: nested conditions would multiply the generated code
+    bare = F.regexp_replace(name, r"\A\.|\.\z", "")
+    return F.translate(F.lower(bare), "\t\n", "")
+
+
+def without_final_dot(name: Column) -> Column:
+    return F.regexp_replace(name, r"\.\z", "")
 
 
 def label_count(name: Column) -> Column:

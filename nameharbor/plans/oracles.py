@@ -20,7 +20,10 @@ HOST = """host AS (SELECT page_id, url, split_part(url, '/', 3) AS host FROM pag
 CERT = """cert AS (
   SELECT text AS raw, sha256(text) AS sha256_fingerprint, doc_id AS index, source AS log_url, 'log ' || source AS description,
          doc_id % 2 = 0 AS is_precert, TIMESTAMP '2024-01-01' + doc_id * INTERVAL 1 MINUTE AS ts,
-         's' || doc_id % 50 || '.' || lang || '.com' AS site FROM documents),
+         's' || doc_id % 50 || '.' || lang || '.com' AS site,
+         -- de.com is a suffix on the list's private part, the others are plain names
+         CASE lang WHEN 'de' THEN 'de.com' ELSE 'com' END AS suffix,
+         CASE lang WHEN 'de' THEN 's' || doc_id % 50 || '.de.com' ELSE lang || '.com' END AS apex FROM documents),
   certname AS (SELECT *, unnest([site, 'www.' || site]) AS dns_name FROM cert)"""
 
 # every pair of neighbouring snapshots, compared by set difference
@@ -46,10 +49,6 @@ def numbered(name: str, rows: str, first: str = "1") -> str:
     )
 
 
-def _ms(column: str) -> str:
-    return f"epoch_ms({column})"
-
-
 def _day(column: str) -> str:
     return f"strftime({column}, '%Y-%m-%d')"
 
@@ -128,7 +127,7 @@ ALL_NAMES = f"""{OBS}, {CERT}, {EVENTS},
   plain AS (
     SELECT tld, public_suffix, apex, fqdn FROM obs
     UNION SELECT tld, tld, domain, domain FROM diff
-    UNION SELECT 'com', 'com', regexp_extract(dns_name, '[a-z]+[.]com$'), dns_name FROM certname),
+    UNION SELECT 'com', suffix, apex, dns_name FROM certname),
   hidden AS (SELECT DISTINCT tld, public_suffix, apex, fqdn FROM obs)"""
 
 
@@ -160,7 +159,7 @@ def _hits() -> str:
     ]
     return f"""WITH {OBS}, seen AS (SELECT DISTINCT * FROM ({' UNION ALL '.join(levels)})),
       firsts AS (SELECT type, name, min(hour) AS first FROM seen GROUP BY type, name)
-      SELECT epoch_ms(s.hour) AS interval_ms, CASE WHEN s.hour = f.first THEN 'db-insert' ELSE 'db-hit' END AS status,
+      SELECT (epoch_us(s.hour) // 1000) AS interval_ms, CASE WHEN s.hour = f.first THEN 'db-insert' ELSE 'db-hit' END AS status,
              s.type, CAST(count(*) AS BIGINT) AS n
       FROM seen s JOIN firsts f USING (type, name) GROUP BY ALL"""
 
@@ -168,7 +167,7 @@ def _hits() -> str:
 SIGHTINGS = f"""{CERT}, {SNAPROWS}, sightings AS (
   SELECT CASE event_type WHEN 'signup' THEN 'zone' WHEN 'view' THEN 'zone' WHEN 'click' THEN 'passive'
               WHEN 'purchase' THEN 'ct' ELSE 'entrada' END AS source, domain AS apex, ts FROM snaprows
-  UNION ALL SELECT 'ct', regexp_extract(dns_name, '[a-z]+[.]com$'), ts FROM certname)"""
+  UNION ALL SELECT 'ct', apex, ts FROM certname)"""
 
 ORACLES: dict[str, str] = {
     "normalize_fqdn": f"{SPELLED_PARTS} SELECT origin, id, fqdn FROM parts",
@@ -181,10 +180,10 @@ ORACLES: dict[str, str] = {
     "anonymize_identity": f"""WITH {OBS} SELECT event_id, tld AS tld_anon, public_suffix AS public_suffix_anon,
         apex AS apex_anon, fqdn AS fqdn_anon FROM obs""",
     "unix_ms_to_ts": "SELECT event_id, strftime(date_trunc('milliseconds', ts), '%Y-%m-%d %H:%M:%S.%g') AS ts FROM events",
-    "ts_to_unix_ms": "SELECT event_id, epoch_ms(ts) AS unix_ms FROM events",
-    "passive_shift": "SELECT event_id, epoch_ms(ts + INTERVAL 24 HOUR) AS shifted_ms FROM events",
+    "ts_to_unix_ms": "SELECT event_id, (epoch_us(ts) // 1000) AS unix_ms FROM events",
+    "passive_shift": "SELECT event_id, (epoch_us(ts + INTERVAL 24 HOUR) // 1000) AS shifted_ms FROM events",
     "passive_scan": f"""WITH {OBS} SELECT event_id, unnest(CASE WHEN event_id % 6 IN (0, 3) THEN [fqdn]
-        WHEN event_id % 6 IN (1, 4) THEN [fqdn, apex] ELSE [] END) AS query, epoch_ms(ts) AS ts_ms FROM obs""",
+        WHEN event_id % 6 IN (1, 4) THEN [fqdn, apex] ELSE [] END) AS query, (epoch_us(ts) // 1000) AS ts_ms FROM obs""",
     "zone_rr_domains": f"""WITH {SNAPROWS} SELECT DISTINCT tld, {_day('snapshot_date')} AS snapshot_date, domain
         FROM snaprows WHERE user_id % 4 <> 3 AND event_id % 50 <> 0""",
     "snapshot_date_filter": f"""WITH {SNAP} SELECT tld, {_day('snapshot_date')} AS snapshot_date, domain FROM snap
@@ -238,16 +237,16 @@ ORACLES: dict[str, str] = {
     "anon_links": f"""WITH {OBS}, {_ids('fqdns', 'fqdn', 'SELECT DISTINCT fqdn FROM obs WHERE event_id % 4 <> 0')},
         pseudonyms AS (SELECT DISTINCT fqdn FROM obs WHERE event_id % 4 = 0)
         SELECT sha256(p.fqdn || '4') AS fqdn, coalesce(f.id, 0) AS plain_fqdn_id FROM pseudonyms p LEFT JOIN fqdns f USING (fqdn)""",
-    "passive_fact": f"WITH {OBS}, {LEVEL_IDS} SELECT f.id AS fqdn_id, epoch_ms(o.ts) AS ts_ms FROM obs o JOIN fqdns f USING (fqdn)",
-    "qname_first_last": f"""WITH {OBS} SELECT fqdn AS qname, epoch_ms(date_trunc('second', min(ts))) // 1000 AS min_unixtime,
-        epoch_ms(date_trunc('second', max(ts))) // 1000 AS max_unixtime FROM obs GROUP BY fqdn""",
-    "entrada_window": f"""WITH {OBS} SELECT fqdn AS qname, min(epoch_ms(ts) // 1000) AS min_unixtime,
-        max(epoch_ms(ts) // 1000) AS max_unixtime FROM obs
+    "passive_fact": f"WITH {OBS}, {LEVEL_IDS} SELECT f.id AS fqdn_id, (epoch_us(o.ts) // 1000) AS ts_ms FROM obs o JOIN fqdns f USING (fqdn)",
+    "qname_first_last": f"""WITH {OBS} SELECT fqdn AS qname, min(epoch_us(ts) // 1000000) AS min_unixtime,
+        max(epoch_us(ts) // 1000000) AS max_unixtime FROM obs GROUP BY fqdn""",
+    "entrada_window": f"""WITH {OBS} SELECT fqdn AS qname, min(epoch_us(ts) // 1000000) AS min_unixtime,
+        max(epoch_us(ts) // 1000000) AS max_unixtime FROM obs
         WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' GROUP BY fqdn""",
-    "entrada_page": f"""WITH {OBS} SELECT fqdn AS qname, min(epoch_ms(ts) // 1000) AS min_unixtime,
-        max(epoch_ms(ts) // 1000) AS max_unixtime FROM obs GROUP BY fqdn ORDER BY qname LIMIT 500 OFFSET 200""",
+    "entrada_page": f"""WITH {OBS} SELECT fqdn AS qname, min(epoch_us(ts) // 1000000) AS min_unixtime,
+        max(epoch_us(ts) // 1000000) AS max_unixtime FROM obs GROUP BY fqdn ORDER BY qname LIMIT 500 OFFSET 200""",
     "entrada_fact": f"""WITH {OBS}, anon AS (SELECT sha256(fqdn || '4') AS fqdn_anon,
-          1000 * min(epoch_ms(ts) // 1000) AS first_ms, 1000 * max(epoch_ms(ts) // 1000) AS last_ms FROM obs GROUP BY fqdn)
+          1000 * min(epoch_us(ts) // 1000000) AS first_ms, 1000 * max(epoch_us(ts) // 1000000) AS last_ms FROM obs GROUP BY fqdn)
         SELECT id AS fqdn_id, first_ms, last_ms FROM ({numbered('fqdn_anon', 'SELECT * FROM anon')})""",
     "entrada_offset": f"WITH {OBS} SELECT count(DISTINCT fqdn) AS resume_offset FROM obs",
     "cert_dedup": f"""WITH {CERT} SELECT sha256_fingerprint, CAST(max(octet_length(encode(raw))) AS BIGINT) AS n_bytes FROM cert
@@ -260,7 +259,7 @@ ORACLES: dict[str, str] = {
     "log_dim": f"WITH {CERT} SELECT id, url, description FROM ({numbered('url', 'SELECT DISTINCT log_url AS url, description FROM cert')})",
     "log_entry_fact": f"""WITH {CERT}, {_ids('logs', 'log_url', 'SELECT DISTINCT log_url FROM cert')},
         {_ids('certs', 'sha256_fingerprint', 'SELECT DISTINCT sha256_fingerprint FROM cert')}
-        SELECT e.index, epoch_ms(e.ts) AS ts_ms, e.is_precert, c.id AS certificate_id, l.id AS log_id
+        SELECT e.index, (epoch_us(e.ts) // 1000) AS ts_ms, e.is_precert, c.id AS certificate_id, l.id AS log_id
         FROM cert e JOIN certs c USING (sha256_fingerprint) JOIN logs l USING (log_url)""",
     "ct_resume_index": f"""WITH {CERT} SELECT l.log_url, coalesce(max(s.index) + 1, 0) AS resume_index
         FROM (SELECT DISTINCT log_url FROM cert) l LEFT JOIN ({STORED_LOG}) s USING (log_url) GROUP BY l.log_url""",
@@ -273,8 +272,8 @@ ORACLES: dict[str, str] = {
     "log_list_filter": """SELECT DISTINCT 'all' AS mode, source AS url FROM documents WHERE source NOT IN ('src1', 'src2', 'src3')
         UNION ALL SELECT DISTINCT 'some', source FROM documents WHERE source IN ('src1', 'src2', 'src3')""",
     "stage_numbers": f"WITH {STAGES} SELECT measurement_id, seq, stage FROM numbered",
-    "stage_intervals": f"""WITH {STAGES} SELECT measurement_id, stage, epoch_ms(start_time) AS start_ms,
-        coalesce(epoch_ms(lead(start_time) OVER (PARTITION BY measurement_id ORDER BY stage)), 0) AS stop_ms FROM numbered""",
+    "stage_intervals": f"""WITH {STAGES} SELECT measurement_id, stage, (epoch_us(start_time) // 1000) AS start_ms,
+        coalesce((epoch_us(lead(start_time) OVER (PARTITION BY measurement_id ORDER BY stage)) // 1000), 0) AS stop_ms FROM numbered""",
     "stage_lookup": """SELECT CAST(c_custkey AS VARCHAR) AS customer, count(o_orderkey) AS stage_id
         FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey""",
     "ingest_rejects": f"""WITH {ADDRESSES} SELECT 'passive' AS source, reason, name AS payload, count(*) AS n FROM (
@@ -283,20 +282,20 @@ ORACLES: dict[str, str] = {
         WHERE reason IS NOT NULL GROUP BY reason, name""",
     "ingest_table_counts": _table_counts(),
     "metrics_store_hits": _hits(),
-    "metrics_log_entries": f"""WITH {CERT} SELECT epoch_ms(date_trunc('hour', ts)) AS interval_ms, log_url, count(*) AS n
+    "metrics_log_entries": f"""WITH {CERT} SELECT (epoch_us(date_trunc('hour', ts)) // 1000) AS interval_ms, log_url, count(*) AS n
         FROM cert GROUP BY ALL""",
-    "metrics_zone_entries": f"""WITH {EVENTS} SELECT epoch_ms(CAST(snapshot_date AS TIMESTAMP)) AS interval_ms, tld, count(*) AS n
+    "metrics_zone_entries": f"""WITH {EVENTS} SELECT (epoch_us(CAST(snapshot_date AS TIMESTAMP)) // 1000) AS interval_ms, tld, count(*) AS n
         FROM diff GROUP BY ALL""",
     "stream_zone_ingest": f"""WITH {OBS} SELECT apex, count(*) AS n,
         count(*) FILTER ((event_id + user_id) % 3 = 1) AS n_registered, count(*) FILTER ((event_id + user_id) % 3 = 2) AS n_expired,
-        coalesce(max(epoch_ms(ts)) FILTER ((event_id + user_id) % 3 = 2), 0) AS last_expired_ms FROM obs GROUP BY apex""",
-    "stream_passive_ingest": f"""WITH {OBS} SELECT fqdn, count(*) AS n, min(epoch_ms(ts)) AS first_ms, max(epoch_ms(ts)) AS last_ms
+        coalesce(max(epoch_us(ts) // 1000) FILTER ((event_id + user_id) % 3 = 2), 0) AS last_expired_ms FROM obs GROUP BY apex""",
+    "stream_passive_ingest": f"""WITH {OBS} SELECT fqdn, count(*) AS n, min(epoch_us(ts) // 1000) AS first_ms, max(epoch_us(ts) // 1000) AS last_ms
         FROM obs GROUP BY fqdn""",
     "stream_entrada_ingest": f"""WITH {OBS} SELECT sha256(fqdn || '4') AS fqdn, count(*) AS n, CAST(0 AS BIGINT) AS n_linked,
-        max(epoch_ms(ts)) AS last_ms FROM obs GROUP BY obs.fqdn""",
+        max(epoch_us(ts) // 1000) AS last_ms FROM obs GROUP BY obs.fqdn""",
     "stream_ct_tail": f"""WITH {CERT} SELECT log_url, count(*) AS n_entries, count(DISTINCT sha256_fingerprint) AS n_certificates,
         max(index) + 1 AS resume_index FROM cert GROUP BY log_url""",
-    "stream_metrics": f"""WITH {OBS} SELECT epoch_ms(date_trunc('hour', ts)) AS interval_ms, tld, count(*) AS n
+    "stream_metrics": f"""WITH {OBS} SELECT (epoch_us(date_trunc('hour', ts)) // 1000) AS interval_ms, tld, count(*) AS n
         FROM obs GROUP BY ALL""",
     "stream_dedup": f"WITH {OBS} SELECT DISTINCT fqdn FROM obs",
     "stream_zone_diff": f"WITH {EVENTS} SELECT tld, domain, event_type, {_day('snapshot_date')} AS snapshot_date FROM diff",
@@ -304,9 +303,9 @@ ORACLES: dict[str, str] = {
         FROM sightings GROUP BY apex) SELECT sources, count(*) AS n_apexes FROM per_apex GROUP BY sources""",
     "vantage_first_seen": f"""WITH {SIGHTINGS}, firsts AS (SELECT apex, source, min(ts) AS ts FROM sightings GROUP BY ALL),
         ranked AS (SELECT *, row_number() OVER (PARTITION BY apex ORDER BY ts, source) AS r FROM firsts)
-        SELECT apex, {', '.join(f"coalesce(epoch_ms(max(ts) FILTER (source = '{s}')), 0) AS first_{s}_ms"
+        SELECT apex, {', '.join(f"coalesce((epoch_us(max(ts) FILTER (source = '{s}')) // 1000), 0) AS first_{s}_ms"
                                 for s in ('zone', 'ct', 'passive', 'entrada'))},
                max(source) FILTER (r = 1) AS leading_source,
-               coalesce(epoch_ms(max(ts) FILTER (r = 2)) - epoch_ms(max(ts) FILTER (r = 1)), 0) AS lead_ms
+               coalesce((epoch_us(max(ts) FILTER (r = 2)) // 1000) - (epoch_us(max(ts) FILTER (r = 1)) // 1000), 0) AS lead_ms
         FROM ranked GROUP BY apex""",
 }

@@ -637,7 +637,7 @@ def metrics_zone_entries(t: Tables) -> DataFrame:
 
 
 def event_stream(t: Tables) -> DataFrame:
-    return jobs.read_landed(t.spark, t.path("events"), t.events().schema)
+    return jobs.read_landed(t.spark, t.landing("events"), t.events().schema)
 
 
 def streamed(t: Tables, source: str, stream: DataFrame, sightings: Callable[[DataFrame], DataFrame]) -> Store:
@@ -693,7 +693,7 @@ def stream_entrada_ingest(t: Tables) -> DataFrame:
 
 @query
 def stream_ct_tail(t: Tables) -> DataFrame:
-    stream = jobs.read_landed(t.spark, t.path("documents"), t.table("documents").schema)
+    stream = jobs.read_landed(t.spark, t.landing("documents"), t.table("documents").schema)
     store = streamed(t, "ct", stream, lambda rows: in_run(certificate_entries(rows)))
     logs = store.read("logs").select(F.col("id").alias("log_id"), F.col("url").alias("log_url"))
     entries = store.read("log_entries").join(F.broadcast(logs), "log_id")

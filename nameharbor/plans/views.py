@@ -16,6 +16,10 @@ class Tables:
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
+    def landing(self, name: str) -> str:
+        """The table as a file-stream path: a pattern may name one file or a folder of files."""
+        return f"{self.folder}/{name}.{{parquet}}"
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 

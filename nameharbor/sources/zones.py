@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import label_count, snapshot_date, snapshot_tld
+from ..functions.names import label_count, snapshot_date, snapshot_tld, without_final_dot
 
 #: record types that make an owner a registered name
 DOMAIN_TYPES = ("NS", "A", "AAAA")
@@ -64,14 +64,17 @@ def absolute_records(lines: DataFrame) -> DataFrame:
     ``rr_type`` is null for a line that is no record (see :func:`split_rejects`).
     Blank lines and comments are dropped.
     """
-    text = F.regexp_replace("value", r'\s*;(?=(?:[^"]*"[^"]*")*[^"]*$).*$', "")
-    lines = lines.where(F.trim("value") != "").where(~F.ltrim("value").startswith(";"))
-    rr_type = F.nullif(F.regexp_extract(text, _RECORD, 2), F.lit(""))
-    return lines.select(
+    comment = r'\s*;(?=(?:[^"]*"[^"]*")*[^"]*$).*$'
+    value = F.col("value")
+    code = F.when(value.contains(";"), F.regexp_replace(value, comment, "")).otherwise(value)
+    read = lines.where(F.trim(value) != "").where(~F.ltrim(value).startswith(";")).withColumns({
+        "_code": code, "rr_type": F.nullif(F.upper(F.regexp_extract(code, _RECORD, 2)), F.lit("")),
+    })
+    owner = F.regexp_extract("_code", _RECORD, 1)
+    return read.select(
         *lines.columns,
-        F.when(rr_type.isNotNull(), _no_dot(F.regexp_extract(text, _RECORD, 1))).alias("owner"),
-        F.upper(rr_type).alias("rr_type"),
-        F.regexp_extract(text, _RECORD, 3).alias("rdata"),
+        F.when(F.col("rr_type").isNotNull(), without_final_dot(owner)).alias("owner"), "rr_type",
+        F.regexp_extract("_code", _RECORD, 3).alias("rdata"),
     )
 
 
@@ -84,10 +87,6 @@ def split_rejects(records: DataFrame, source: str = "zone") -> tuple[DataFrame,
     return records.where("rr_type is not null"), bad
 
 
-def _no_dot(name: Column) -> Column:
-    return F.when(name.endswith("."), F.substring(name, F.lit(1), F.length(name) - 1)).otherwise(name)
-
-
 # --- master files: $ORIGIN, relative and omitted owners, records over several lines ---
 
 _CLASSES = {"IN", "CH", "HS", "CS"}
@@ -202,7 +201,7 @@ def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def zone_domains(records: DataFrame) -> DataFrame:
     """Distinct lower-case owners of NS, A and AAAA records, bare TLDs left out."""
-    domain = _no_dot(F.lower("owner"))
+    domain = without_final_dot(F.lower("owner"))
     return (
         records.where(F.upper("rr_type").isin(*DOMAIN_TYPES))
         .select("tld", "snapshot_date", domain.alias("domain"))
@@ -214,7 +213,7 @@ def zone_domains(records: DataFrame) -> DataFrame:
 def snapshot_domains(records: DataFrame) -> DataFrame:
     """Owners of any record, lower case, without the zone's own apex: the differ's input."""
     return (
-        records.select("tld", "snapshot_date", _no_dot(F.lower("owner")).alias("domain"))
+        records.select("tld", "snapshot_date", without_final_dot(F.lower("owner")).alias("domain"))
         .where(F.col("domain") != F.col("tld"))
         .distinct()
     )
