@@ -6,14 +6,15 @@ import glob
 import os
 import zipfile
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 import pyarrow as pa
 import pyspark
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .names import is_ip, label_count, last_labels, normalize_name
+from ..schemas import LEVELS
+from .names import is_ip, label_count, normalize_name
 
 _LIST_MEMBER = "mozilla/public-suffix-list.txt"
 #: The rule table is broadcast; a list longer than this is refused.
@@ -71,38 +72,30 @@ def suffix_rules(spark: SparkSession, text: str | None = None, private: bool = T
 
 
 def with_domain_parts(rows: DataFrame, name: Column | str, rules: SuffixRules) -> DataFrame:
-    """Add ``tld, public_suffix, apex, fqdn`` of a name.
+    """Add ``tld, public_suffix, apex, fqdn`` of a name, in place of columns of these names.
 
     The longest tail of each length is looked up in the broadcast rule table,
     so no row moves. An exception wins, then the longest rule, then one label.
     """
     column = F.col(name) if isinstance(name, str) else name
-    out = rows.withColumn("fqdn", normalize_name(column)).withColumn("_n", label_count(F.col("fqdn")))
-    for k in range(1, rules.depth + 1):
-        tail = F.when(F.col("_n") >= k, last_labels(F.col("fqdn"), k))
-        rule = F.broadcast(rules.table.select(F.col("base").alias(f"_b{k}"), F.col("kind").alias(f"_k{k}")))
-        out = out.withColumn("_tail", tail).join(rule, F.col("_tail") == F.col(f"_b{k}"), "left")
-
-    def length(k: int) -> Column:
-        kind, n = F.col(f"_k{k}"), F.col("_n")
-        normal = F.when(kind.bitwiseAND(_NORMAL) != 0, F.lit(k))
-        wild = F.when((kind.bitwiseAND(_WILD) != 0) & (n > k), F.lit(k + 1))
-        return F.greatest(F.coalesce(normal, F.lit(1)), F.coalesce(wild, F.lit(1)))
-
     depths = range(1, rules.depth + 1)
-    exception = F.coalesce(
-        *[F.when(F.col(f"_k{k}").bitwiseAND(_EXCEPTION) != 0, F.lit(k - 1)) for k in reversed(depths)]
-    )
-    longest = reduce(lambda a, k: F.greatest(a, length(k)), depths, F.lit(1))
-    out = out.withColumn("_len", F.coalesce(exception, longest))
-    is_suffix = F.col("_len") >= F.col("_n")
-    fqdn = F.col("fqdn")
-    return out.select(
-        *rows.columns,
-        last_labels(fqdn, 1).alias("tld"),
-        F.when(is_suffix, fqdn).otherwise(last_labels(fqdn, F.col("_len"))).alias("public_suffix"),
-        F.when(is_suffix, fqdn).otherwise(last_labels(fqdn, F.col("_len") + 1)).alias("apex"),
-        fqdn,
+    tails = [f"CASE WHEN _n >= {k} THEN substring_index(fqdn, '.', -{k}) END AS _tail{k}" for k in depths]
+    out = rows.withColumn("fqdn", normalize_name(column)).withColumn("_n", label_count(F.col("fqdn")))
+    out = out.selectExpr("*", *tails)
+    for k in depths:
+        rule = rules.table.selectExpr(f"base AS _tail{k}", f"kind AS _kind{k}")
+        out = out.join(F.broadcast(rule), f"_tail{k}", "left")
+    exceptions = [f"CASE WHEN _kind{k} & {_EXCEPTION} <> 0 THEN {k - 1} END" for k in reversed(depths)]
+    normal = [f"CASE WHEN _kind{k} & {_NORMAL} <> 0 THEN {k} END" for k in depths]
+    wild = [f"CASE WHEN _kind{k} & {_WILD} <> 0 AND _n > {k} THEN {k + 1} END" for k in depths]
+    longest = f"greatest(1, {', '.join(normal + wild)})"
+    out = out.withColumn("_len", F.expr(f"coalesce({', '.join(exceptions)}, {longest})"))
+    return out.selectExpr(
+        *[f"`{c}`" for c in rows.columns if c not in LEVELS],
+        "substring_index(fqdn, '.', -1) AS tld",
+        "CASE WHEN _len >= _n THEN fqdn ELSE substring_index(fqdn, '.', -_len) END AS public_suffix",
+        "CASE WHEN _len >= _n THEN fqdn ELSE substring_index(fqdn, '.', -_len - 1) END AS apex",
+        "fqdn",
     )
 
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.pseudonyms import Anonymizer
 from ..schemas import LEVELS
 
+#: the two tables of a level
+PLAIN, ANON = "plain", "anon"
+
 
 def batch_names(sightings: DataFrame, level: str, anonymous: str = "anonymous") -> DataFrame:
     """Distinct names of a level in a batch, with their parents and create flags.
@@ -44,8 +50,8 @@ def id_bucket(name: Column) -> Column:
     return F.substring(F.md5(name), 1, ID_BUCKET_DIGITS)
 
 
-def with_ids(names: DataFrame, name: str, first: int = 1, column: str = "id") -> DataFrame:
-    """Dense ids from ``first`` for rows with distinct names.
+def with_ids(names: DataFrame, name: str, first: int = 1, column: str = "id", within: Sequence[str] = ()) -> DataFrame:
+    """Dense ids from ``first`` for rows with distinct names, apart for each value of ``within``.
 
     Rows are numbered by hash bucket, then name. Buckets of distinct names are
     even, each is numbered on its own, and 65,536 bucket sizes give the
@@ -53,18 +59,52 @@ def with_ids(names: DataFrame, name: str, first: int = 1, column: str = "id") ->
     or a batch that is replayed, gives every name the id it had.
     """
     bucketed = names.withColumn("_bucket", id_bucket(F.col(name)))
-    sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    # at most 16^ID_BUCKET_DIGITS rows, whatever the number of names
-    before = F.sum("_size").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sizes.select("_bucket", F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_bucket").orderBy(name))
+    sizes = bucketed.groupBy(*within, "_bucket").agg(F.count("*").alias("_size"))
+    # at most 16^ID_BUCKET_DIGITS rows per table, whatever the number of names
+    earlier = Window.partitionBy(*within).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_size").over(earlier), F.lit(0))
+    offsets = sizes.select(*within, "_bucket", before.alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*within, "_bucket").orderBy(name))
     return (
-        bucketed.join(F.broadcast(offsets), "_bucket")
+        bucketed.join(F.broadcast(offsets), [*within, "_bucket"])
         .withColumn(column, (F.lit(first) + F.col("_before") + place - 1).cast("bigint"))
         .drop("_bucket", "_before")
     )
 
 
+def level_names(sightings: DataFrame, anonymizer: Anonymizer) -> DataFrame:
+    """``twin, level, name, create`` of all levels in a batch, plain and as pseudonyms.
+
+    One pass and one shuffle; a TLD that all rows share is one row per task by then.
+    """
+    each = F.explode(F.array(*[
+        F.struct(F.lit(twin).alias("twin"), F.lit(level).alias("level"), name.alias("name"), create.alias("create"))
+        for level in LEVELS
+        for twin, name, create in (
+            (PLAIN, F.col(level), ~F.col("anonymous")),
+            (ANON, anonymizer.of(level, F.col(level)), F.col("anonymous")),
+        )
+    ]))
+    rows = sightings.select(each.alias("n")).select("n.*")
+    return rows.groupBy("twin", "level", "name").agg(F.bool_or("create").alias("create"))
+
+
+def resolve(wanted: DataFrame, stored: DataFrame) -> DataFrame:
+    """``twin, level, name, id, is_new``: stored ids of the wanted names, and new ones to create.
+
+    ``stored`` is ``twin, level, name, id``. New ids go on from the highest of their table.
+    """
+    key = ["twin", "level", "name"]
+    known = wanted.join(stored, key, "left")
+    fresh = with_ids(known.where("id is null and create").select(*key), "name", within=("twin", "level"))
+    # one row per table
+    highest = stored.groupBy("twin", "level").agg(F.max("id").alias("_highest"))
+    fresh = fresh.join(F.broadcast(highest), ["twin", "level"], "left").select(
+        *key, (F.col("id") + F.coalesce("_highest", F.lit(0))).alias("id"), F.lit(True).alias("is_new")
+    )
+    return known.where("id is not null").select(*key, "id", F.lit(False).alias("is_new")).unionByName(fresh)
+
+
 def with_parent_ids(rows: DataFrame, level: str, parents: dict[str, DataFrame]) -> DataFrame:
     """Add ``<parent>_id`` for every level above.
 

@@ -1,16 +1,19 @@
 """One batch of sightings into the stored tables.
 
-Dimensions first, each level after its parents, then certificates, then
-facts, then the commit marker. Every name is looked up once per batch; the
-resulting ids serve children, links and facts.
+All names of the batch are looked up and numbered in one pass; the resulting
+ids serve the rows of every level, the links and the facts. Dimensions are
+written first, then certificates and facts, then the commit marker.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.pseudonyms import Anonymizer, with_pseudonyms
@@ -76,44 +79,69 @@ def _certificate_parts(entries: DataFrame, rules: SuffixRules) -> DataFrame:
     return with_domain_parts(pairs.where(reject_reason(F.col("dns_name")).isNull()), "dns_name", rules)
 
 
-def _twins(pairs: DataFrame, level: str, anonymizer: Anonymizer) -> tuple[DataFrame, DataFrame]:
-    """Names of a level as plain and as pseudonymous rows: name, parents, ``create``."""
+def _all_at_once(spark: SparkSession, *jobs: Callable[[], object]) -> None:
+    """Run independent writes side by side: small ones then do not hold up the cluster."""
+    in_session = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(in_session(job)) for job in jobs]:
+            done.result()
+
+
+def _table(level: str, twin: str) -> str:
+    return LEVEL_TABLE[level] + ("_anon" if twin == dim.ANON else "")
+
+
+def _ids(ids: DataFrame, level: str, twin: str, *more: str) -> DataFrame:
+    rows = ids.where((F.col("twin") == twin) & (F.col("level") == level))
+    return rows.select(F.col("name").alias(level), "id", *more)
+
+
+def _level_rows(names: DataFrame, ids: DataFrame, level: str, twin: str, anonymizer: Anonymizer) -> DataFrame:
+    """New rows of a table with the ids of their parents."""
     parents = LEVELS[: LEVELS.index(level)]
-    plain = pairs.select(level, *parents, F.col("create_plain").alias("create"))
-    hidden = pairs.select(*[anonymizer.of(p, F.col(p)).alias(p) for p in (level, *parents)], "create_anon")
-    # two names may share a pseudonym
-    anon = hidden.groupBy(level).agg(*[F.min(p).alias(p) for p in parents], F.bool_or("create_anon").alias("create"))
-    return plain, anon
-
-
-def _upsert(store: Store, batch: str, table: str, wanted: DataFrame, level: str, parents: dict, before: list[str]):
-    """Store the rows still missing; ``name, id, is_new`` of all wanted names that are stored then."""
-    stored = store.read(table, before)
-    fresh = dim.new_rows(wanted.where("create").drop("create"), stored, level)
-    numbered = dim.with_ids(dim.with_parent_ids(fresh, level, parents), level, store.next_id(table, before))
-    added = store.write(table, batch, numbered).select(level, "id", F.lit(True).alias("is_new"))
-    if not before:
-        return added
-    hits = stored.select(level, "id").join(wanted.select(level), level, "left_semi")
-    return written(hits.withColumn("is_new", F.lit(False)).unionByName(added), "ids")
-
-
-def _store_level(store: Store, batch: str, names: DataFrame, level: str, ids: tuple[dict, dict],
-                 anonymizer: Anonymizer, before: list[str]) -> None:
-    """Store the new plain and pseudonymous rows of a level, and the new links."""
-    table = LEVEL_TABLE[level]
-    pairs = dim.batch_names(names, level)
-    plain, anon = _twins(pairs, level, anonymizer)
-    for into, twin, wanted in ((ids[0], table, plain), (ids[1], f"{table}_anon", anon)):
-        into[level] = _upsert(store, batch, twin, wanted, level, into, before)
-    # the side that came later makes the link, so no stored row changes
-    plain_side = ids[0][level].select(
-        level, F.col("id").alias(f"plain_{level}_id"), F.col("is_new").alias("plain_new"))
-    anon_side = ids[1][level].select(
-        F.col(level).alias("pseudonym"), F.col("id").alias("anon_id"), F.col("is_new").alias("anon_new"))
-    known = pairs.select(level, anonymizer.of(level, F.col(level)).alias("pseudonym"))
-    links = known.join(plain_side, level).join(anon_side, "pseudonym").where("plain_new or anon_new")
-    store.write(f"{table}_anon_links", batch, links)
+    spelled = {p: F.col(p) if twin == dim.PLAIN else anonymizer.of(p, F.col(p)) for p in (level, *parents)}
+    rows = names.select(*[c.alias(p) for p, c in spelled.items()])
+    rows = rows.groupBy(level).agg(*[F.min(p).alias(p) for p in parents]) if parents else rows.distinct()
+    new = rows.join(_ids(ids, level, twin, "is_new").where("is_new").drop("is_new"), level)
+    return dim.with_parent_ids(new, level, {p: _ids(ids, p, twin) for p in parents})
+
+
+def _links(names: DataFrame, ids: DataFrame, level: str, anonymizer: Anonymizer) -> DataFrame:
+    """Links between pseudonyms and plain rows. The side that came later makes the
+    link, so no stored row changes."""
+    plain = _ids(ids, level, dim.PLAIN, "is_new").toDF(level, f"plain_{level}_id", "plain_new")
+    anon = _ids(ids, level, dim.ANON, "is_new").toDF("pseudonym", "anon_id", "anon_new")
+    known = names.select(level).distinct().withColumn("pseudonym", anonymizer.of(level, F.col(level)))
+    return known.join(plain, level).join(anon, "pseudonym").where("plain_new or anon_new")
+
+
+def store_names(store: Store, batch: str, names: DataFrame, anonymizer: Anonymizer, before: list[str]) -> DataFrame:
+    """Store the new names of all levels; ids of all names of the batch that are stored then.
+
+    ``names`` is written: ``tld, public_suffix, apex, fqdn, anonymous``.
+    """
+    tables = [(level, twin) for level in LEVELS for twin in (dim.PLAIN, dim.ANON)]
+    stored = reduce(DataFrame.unionByName, [
+        store.read(_table(level, twin), before).select(
+            F.lit(twin).alias("twin"), F.lit(level).alias("level"), F.col(level).alias("name"), "id"
+        )
+        for level, twin in tables
+    ])
+    ids = written(dim.resolve(dim.level_names(names, anonymizer), stored), "ids", "twin", "level")
+    _all_at_once(
+        store.spark,
+        *[
+            partial(lambda level, twin: store.write(
+                _table(level, twin), batch, _level_rows(names, ids, level, twin, anonymizer)), level, twin)
+            for level, twin in tables
+        ],
+        *[
+            partial(lambda level: store.write(
+                f"{LEVEL_TABLE[level]}_anon_links", batch, _links(names, ids, level, anonymizer)), level)
+            for level in LEVELS
+        ],
+    )
+    return ids
 
 
 def _store_facts(store: Store, batch: str, table: str, rows: DataFrame) -> None:
@@ -159,27 +187,33 @@ def ingest(
         certificate_parts = written(_certificate_parts(accepted["ct"], rules), "certificate-names")
         seen.append(certificate_parts.select(*LEVELS, F.lit(False).alias("anonymous")))
 
-    plain: dict[str, DataFrame] = {}
-    anon: dict[str, DataFrame] = {}
     if seen:
-        # distinct names are far fewer than sightings, and four levels read them
+        # distinct names are far fewer than sightings, and every table reads them
         names = written(reduce(DataFrame.unionByName, seen).distinct(), "names")
-        for level in LEVELS:
-            _store_level(store, batch.id, names, level, (plain, anon), anonymizer, before)
+        ids = store_names(store, batch.id, names, anonymizer, before)
+
+    writes: list[Callable[[], object]] = []
+
+    def fact(table: str, rows: DataFrame) -> None:
+        writes.append(lambda: _store_facts(store, batch.id, table, rows))
 
     if "ct" in accepted:
-        _store_certificates(store, batch.id, accepted["ct"], certificate_parts, plain["fqdn"], before)
+        fqdns = _ids(ids, "fqdn", dim.PLAIN)
+        writes.append(
+            lambda: _store_certificates(store, batch.id, accepted["ct"], certificate_parts, fqdns, before)
+        )
     if "zone" in accepted:
         events = accepted["zone"].select("apex", "event_type", "ts", "stage_id")
-        _store_facts(store, batch.id, "zonefile_entries", facts.zone_facts(events, plain["apex"]))
+        fact("zonefile_entries", facts.zone_facts(events, _ids(ids, "apex", dim.PLAIN)))
     if "passive" in accepted:
         sightings = accepted["passive"].select("fqdn", "ts", "stage_id")
-        _store_facts(store, batch.id, "passive_entries", facts.passive_facts(sightings, plain["fqdn"]))
+        fact("passive_entries", facts.passive_facts(sightings, _ids(ids, "fqdn", dim.PLAIN)))
     if "entrada" in accepted:
         sightings = with_pseudonyms(accepted["entrada"], anonymizer).select(
             "fqdn_anon", "first_seen", "last_seen", "stage_id"
         )
-        _store_facts(store, batch.id, "entrada_entries", facts.warehouse_facts(sightings, anon["fqdn"]))
+        fact("entrada_entries", facts.warehouse_facts(sightings, _ids(ids, "fqdn", dim.ANON)))
     if rejects:
-        store.write("rejects", batch.id, reduce(DataFrame.unionByName, rejects))
+        writes.append(lambda: store.write("rejects", batch.id, reduce(DataFrame.unionByName, rejects)))
+    _all_at_once(store.spark, *writes)
     store.commit(batch.id)

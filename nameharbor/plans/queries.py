@@ -590,7 +590,8 @@ def all_sources(t: Tables) -> Batch:
     obs = t.obs()
     return Batch(
         "all",
-        zone=in_run(zone_sightings(t).drop("tld")),
+        # names and facts both read it: diff once
+        zone=in_run(written(zone_sightings(t).drop("tld"), "zone-events")),
         ct=in_run(t.cert()),
         passive=in_run(obs.select(F.col("fqdn").alias("query"), "ts")),
         entrada=in_run(warehouse.as_sightings(warehouse_rows(t))),
@@ -608,7 +609,8 @@ COUNTED = [
 def ingest_table_counts(t: Tables) -> DataFrame:
     store = Store(t.spark, fresh_path(t.spark, "store"))
     ingest(store, all_sources(t), current_stage(t.spark), suffix_rules(t.spark), SALTS)
-    return metrics.table_counts({name: store.read(name) for name in COUNTED})
+    batches = store.committed()
+    return metrics.table_counts({name: store.read(name, batches) for name in COUNTED})
 
 
 # --- metrics ---

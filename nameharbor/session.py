@@ -34,13 +34,14 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(rows: DataFrame, label: str) -> DataFrame:
+def written(rows: DataFrame, label: str, *folders: str) -> DataFrame:
     """Write rows once to the shared folder and go on from the written table.
 
     Cuts the lineage, pins values that a recomputation could change (range
-    bounds are sampled) and keeps column pruning for the readers.
+    bounds are sampled) and keeps column pruning for the readers. ``folders``
+    are columns whose values get a folder each, for readers of one of them.
     """
     spark = rows.sparkSession
     path = fresh_path(spark, label)
-    rows.write.parquet(path)
+    rows.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
