@@ -31,6 +31,12 @@ def last_labels(name: Column, count: Column | int) -> Column:
     return F.call_function("substring_index", name, F.lit("."), -count)
 
 
+def once(column: Column) -> Column:
+    """The column out of a generator: later filters then read its value instead of
+    repeating its expression below a pushed-down filter."""
+    return F.explode(F.array(column))
+
+
 def tld_of(name: Column) -> Column:
     return last_labels(name, 1)
 

@@ -82,7 +82,7 @@ def _certificate_parts(entries: DataFrame, rules: SuffixRules) -> DataFrame:
 def _all_at_once(spark: SparkSession, *jobs: Callable[[], object]) -> None:
     """Run independent writes side by side: small ones then do not hold up the cluster."""
     in_session = inheritable_thread_target(spark)
-    with ThreadPoolExecutor(max_workers=4) as pool:
+    with ThreadPoolExecutor(max_workers=8) as pool:
         for done in [pool.submit(in_session(job)) for job in jobs]:
             done.result()
 

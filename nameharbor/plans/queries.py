@@ -161,7 +161,7 @@ def log_lines(obs: DataFrame) -> DataFrame:
         return F.format_string('{"preview":false,"result":{"timestamp":"%s"' + queries + "}}", stamp, "fqdn", "apex")
 
     one, many = line(',"query{}":"%2$s","query_type{}":"A"'), line(',"query{}":["%2$s","%3$s"],"query_type{}":["A","AAAA"]')
-    return obs.select("event_id", pick(F.col("event_id"), one, many, line(""), one, many, F.lit('{"result":{')).alias("value"))
+    return obs.select("event_id", names.once(pick(F.col("event_id"), one, many, line(""), one, many, F.lit('{"result":{'))).alias("value"))
 
 
 @query
@@ -174,7 +174,7 @@ def zone_lines(t: Tables) -> DataFrame:
     owner = F.when(F.pmod("event_id", F.lit(50)) == 0, F.col("tld")).otherwise(F.col("domain"))
     kind = pick(F.col("user_id"), F.lit("NS"), F.lit("A"), F.lit("AAAA"), F.lit("TXT"))
     value = F.format_string("%s.   3600  in  %s  dns.%s.", F.upper(owner), F.lower(kind), "tld")
-    return t.snap("event_id", "user_id").select("tld", "snapshot_date", value.alias("value"))
+    return t.snap("event_id", "user_id").select("tld", "snapshot_date", names.once(value).alias("value"))
 
 
 @query

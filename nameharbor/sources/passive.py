@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.names import once
+
 
 def string_or_array(doc: Column, path: str) -> Column:
     """A JSON value that is one string or an array of strings, as an array."""
@@ -15,10 +17,11 @@ def string_or_array(doc: Column, path: str) -> Column:
 
 def parse_log_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """One row per query: ``query, ts``. Unreadable lines and lines without a query give none."""
-    doc = lines.withColumn("_doc", F.try_parse_json(value)).where("_doc is not null")
+    kept = [c for c in lines.columns if c != value]
+    doc = lines.select(*kept, once(F.try_parse_json(value)).alias("_doc"))
     ts = F.try_to_timestamp(F.try_variant_get("_doc", "$.result.timestamp", "string"))
     queries = string_or_array(F.col("_doc"), '$.result["query{}"]')
-    kept = [c for c in lines.columns if c != value]
+    # a line that is no JSON has a null document, hence no queries
     return doc.select(*kept, ts.alias("ts"), F.explode(queries).alias("query"))
 
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.names import label_count, snapshot_date, snapshot_tld, without_final_dot
+from ..functions.names import label_count, once, snapshot_date, snapshot_tld, without_final_dot
 
 #: record types that make an owner a registered name
 DOMAIN_TYPES = ("NS", "A", "AAAA")
@@ -67,14 +67,16 @@ def absolute_records(lines: DataFrame) -> DataFrame:
     comment = r'\s*;(?=(?:[^"]*"[^"]*")*[^"]*$).*$'
     value = F.col("value")
     code = F.when(value.contains(";"), F.regexp_replace(value, comment, "")).otherwise(value)
-    read = lines.where(F.trim(value) != "").where(~F.ltrim(value).startswith(";")).withColumns({
-        "_code": code, "rr_type": F.nullif(F.upper(F.regexp_extract(code, _RECORD, 2)), F.lit("")),
-    })
-    owner = F.regexp_extract("_code", _RECORD, 1)
+    # one match per line: a record becomes three fields, anything else stays one
+    fields = F.split(F.regexp_replace(code, _RECORD, "$1\u0001$2\u0001$3"), "\u0001")
+    written_lines = lines.where(F.trim(value) != "").where(~F.ltrim(value).startswith(";"))
+    read = written_lines.select(*lines.columns, once(fields).alias("_fields"))
+    is_record = F.size("_fields") == 3
     return read.select(
         *lines.columns,
-        F.when(F.col("rr_type").isNotNull(), without_final_dot(owner)).alias("owner"), "rr_type",
-        F.regexp_extract("_code", _RECORD, 3).alias("rdata"),
+        F.when(is_record, without_final_dot(F.get("_fields", F.lit(0)))).alias("owner"),
+        F.when(is_record, F.upper(F.get("_fields", F.lit(1)))).alias("rr_type"),
+        F.when(is_record, F.get("_fields", F.lit(2))).alias("rdata"),
     )
 
 
@@ -201,10 +203,9 @@ def _records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def zone_domains(records: DataFrame) -> DataFrame:
     """Distinct lower-case owners of NS, A and AAAA records, bare TLDs left out."""
-    domain = without_final_dot(F.lower("owner"))
     return (
         records.where(F.upper("rr_type").isin(*DOMAIN_TYPES))
-        .select("tld", "snapshot_date", domain.alias("domain"))
+        .select("tld", "snapshot_date", F.lower("owner").alias("domain"))
         .where(label_count(F.col("domain")) > 1)
         .distinct()
     )
@@ -213,7 +214,7 @@ def zone_domains(records: DataFrame) -> DataFrame:
 def snapshot_domains(records: DataFrame) -> DataFrame:
     """Owners of any record, lower case, without the zone's own apex: the differ's input."""
     return (
-        records.select("tld", "snapshot_date", without_final_dot(F.lower("owner")).alias("domain"))
+        records.select("tld", "snapshot_date", F.lower("owner").alias("domain"))
         .where(F.col("domain") != F.col("tld"))
         .distinct()
     )
