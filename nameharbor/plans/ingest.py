@@ -115,11 +115,16 @@ def _links(names: DataFrame, ids: DataFrame, level: str, anonymizer: Anonymizer)
     return known.join(plain, level).join(anon, "pseudonym").where("plain_new or anon_new")
 
 
-def store_names(store: Store, batch: str, names: DataFrame, anonymizer: Anonymizer, before: list[str]) -> DataFrame:
+def store_names(
+    store: Store, batch: str, names: DataFrame, twins: set[str], anonymizer: Anonymizer, before: list[str]
+) -> DataFrame:
     """Store the new names of all levels; ids of all names of the batch that are stored then.
 
-    ``names`` is written: ``tld, public_suffix, apex, fqdn, anonymous``.
+    ``names`` is written: ``tld, public_suffix, apex, fqdn, anonymous``. Only
+    ``twins`` can get new rows: the other tables are looked up, not written.
     """
+    # a first batch of one kind finds nothing of the other kind to link to
+    linked = bool(before) or len(twins) == 2
     tables = [(level, twin) for level in LEVELS for twin in (dim.PLAIN, dim.ANON)]
     stored = reduce(DataFrame.unionByName, [
         store.read(_table(level, twin), before).select(
@@ -128,18 +133,17 @@ def store_names(store: Store, batch: str, names: DataFrame, anonymizer: Anonymiz
         for level, twin in tables
     ])
     ids = written(dim.resolve(dim.level_names(names, anonymizer), stored), "ids", "twin", "level")
+
+    def rows_of(level: str, twin: str) -> None:
+        store.write(_table(level, twin), batch, _level_rows(names, ids, level, twin, anonymizer))
+
+    def links_of(level: str) -> None:
+        store.write(f"{LEVEL_TABLE[level]}_anon_links", batch, _links(names, ids, level, anonymizer))
+
     _all_at_once(
         store.spark,
-        *[
-            partial(lambda level, twin: store.write(
-                _table(level, twin), batch, _level_rows(names, ids, level, twin, anonymizer)), level, twin)
-            for level, twin in tables
-        ],
-        *[
-            partial(lambda level: store.write(
-                f"{LEVEL_TABLE[level]}_anon_links", batch, _links(names, ids, level, anonymizer)), level)
-            for level in LEVELS
-        ],
+        *[partial(rows_of, level, twin) for level, twin in tables if twin in twins],
+        *[partial(links_of, level) for level in LEVELS if linked],
     )
     return ids
 
@@ -190,7 +194,8 @@ def ingest(
     if seen:
         # distinct names are far fewer than sightings, and every table reads them
         names = written(reduce(DataFrame.unionByName, seen).distinct(), "names")
-        ids = store_names(store, batch.id, names, anonymizer, before)
+        twins = {dim.ANON if source == "entrada" else dim.PLAIN for source in accepted}
+        ids = store_names(store, batch.id, names, twins, anonymizer, before)
 
     writes: list[Callable[[], object]] = []
 

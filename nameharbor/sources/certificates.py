@@ -28,19 +28,23 @@ def log_operators(logs: DataFrame, operators: DataFrame) -> DataFrame:
     return pairs.join(operators, "id").select("url", "description", F.col("name").alias("operator"))
 
 
-def read_entry_pages(spark: SparkSession, path: str, log_url: str | None = None) -> DataFrame:
-    """``log_url, index, leaf_input`` of pages landed as ``entry_<first>_<end>.json``.
+def read_entry_pages(
+    spark: SparkSession, path: str, log_url: str | None = None, overlapping: bool = False
+) -> DataFrame:
+    """``log_url, index, leaf_input`` of pages landed as ``entry_<first>_<last>.json``.
 
     The index of an entry is the first index in the file name plus its place.
-    ``log_url`` may also be a partition folder of ``path``.
+    ``log_url`` may also be a partition folder of ``path``. Pages that were
+    fetched with overlap are merged on request.
     """
     schema = ENTRY_PAGE if log_url is not None else ENTRY_PAGE.add("log_url", "string")
     pages = spark.read.schema(schema).option("multiLine", "true").json(path)
     first = F.regexp_extract(F.col("_metadata.file_name"), r"entry_(\d+)_\d+\.json", 1)
     url = F.lit(log_url) if log_url is not None else F.col("log_url")
-    return pages.select(
+    entries = pages.select(
         url.alias("log_url"), first.try_cast("bigint").alias("first"), F.posexplode("entries").alias("place", "entry")
     ).select("log_url", (F.col("first") + F.col("place")).alias("index"), F.col("entry.leaf_input").alias("leaf_input"))
+    return entries.dropDuplicates(["log_url", "index"]) if overlapping else entries
 
 
 def _number(data: Column, start: Column | int, size: int) -> Column:
