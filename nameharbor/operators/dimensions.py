@@ -89,20 +89,31 @@ def level_names(sightings: DataFrame, anonymizer: Anonymizer) -> DataFrame:
     return rows.groupBy("twin", "level", "name").agg(F.bool_or("create").alias("create"))
 
 
-def resolve(wanted: DataFrame, stored: DataFrame) -> DataFrame:
-    """``twin, level, name, id, is_new``: stored ids of the wanted names, and new ones to create.
+_NAME = ["twin", "level", "name"]
+
+
+def known_names(wanted: DataFrame, stored: DataFrame) -> DataFrame:
+    """Wanted names with their stored id, null for unknown ones.
+
+    The stored names are cut to the wanted ones first: a small batch is
+    broadcast for that and the stored tables, which only grow, do not move.
+    """
+    hits = stored.join(wanted.select(*_NAME), _NAME, "left_semi")
+    return wanted.join(hits, _NAME, "left")
+
+
+def resolve(known: DataFrame, stored: DataFrame) -> DataFrame:
+    """``twin, level, name, id, is_new``: the stored names, and new ones to create.
 
     ``stored`` is ``twin, level, name, id``. New ids go on from the highest of their table.
     """
-    key = ["twin", "level", "name"]
-    known = wanted.join(stored, key, "left")
-    fresh = with_ids(known.where("id is null and create").select(*key), "name", within=("twin", "level"))
+    fresh = with_ids(known.where("id is null and create").select(*_NAME), "name", within=("twin", "level"))
     # one row per table
     highest = stored.groupBy("twin", "level").agg(F.max("id").alias("_highest"))
     fresh = fresh.join(F.broadcast(highest), ["twin", "level"], "left").select(
-        *key, (F.col("id") + F.coalesce("_highest", F.lit(0))).alias("id"), F.lit(True).alias("is_new")
+        *_NAME, (F.col("id") + F.coalesce("_highest", F.lit(0))).alias("id"), F.lit(True).alias("is_new")
     )
-    return known.where("id is not null").select(*key, "id", F.lit(False).alias("is_new")).unionByName(fresh)
+    return known.where("id is not null").select(*_NAME, "id", F.lit(False).alias("is_new")).unionByName(fresh)
 
 
 def with_parent_ids(rows: DataFrame, level: str, parents: dict[str, DataFrame]) -> DataFrame:

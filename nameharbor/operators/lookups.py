@@ -32,16 +32,10 @@ def small_join(
     """Join ``rows`` with a table that is expected to be small and unique by ``on``.
 
     Measured small it is broadcast and ``rows`` stay where they are. Otherwise
-    both sides are shuffled: a hot key is cut by a hash of the whole row into
-    up to 64 pieces, and the table is repeated for each. Copies of a row share
-    a piece; where they mean nothing (``copies_matter=False``) they are merged first.
+    it is an equi join whose hot keys adaptive execution splits; where copies
+    of a row mean nothing (``copies_matter=False``) they are merged before it.
     """
     small = pinned_if_small(table, max_rows)
     if small is not None:
         return rows.join(F.broadcast(small), list(on), how)
-    if not copies_matter:
-        rows = rows.distinct()
-    pieces = min(64, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(pieces)))
-    repeated = table.withColumn("_salt", F.explode(F.expr(f"sequence(0L, {pieces - 1}L)")))
-    return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+    return (rows if copies_matter else rows.distinct()).join(table, list(on), how)

@@ -22,7 +22,7 @@ from ..operators import dimensions as dim
 from ..operators import facts
 from ..operators.runs import with_stage
 from ..schemas import LEVEL_TABLE, LEVELS
-from ..session import written
+from ..session import workspace, written
 from .store import Store
 
 
@@ -115,110 +115,134 @@ def _links(names: DataFrame, ids: DataFrame, level: str, anonymizer: Anonymizer)
     return known.join(plain, level).join(anon, "pseudonym").where("plain_new or anon_new")
 
 
-def store_names(
-    store: Store, batch: str, names: DataFrame, twins: set[str], anonymizer: Anonymizer, before: list[str]
-) -> DataFrame:
+@dataclass(frozen=True)
+class _Open:
+    """An open batch: where it writes, what its reads leave out, where its scratch tables are."""
+
+    store: Store
+    id: str
+    hidden: list[str]
+    first: bool
+    scratch: str
+
+    def read(self, table: str) -> DataFrame:
+        return self.store.read(table, self.hidden)
+
+    def write(self, table: str, rows: DataFrame) -> None:
+        self.store.write(table, self.id, rows)
+
+    def write_facts(self, table: str, rows: DataFrame) -> None:
+        """Facts need an id that is unique within their batch only; nothing refers to it."""
+        self.write(table, rows.withColumn("id", F.monotonically_increasing_id()))
+
+    def kept(self, rows: DataFrame, label: str, *folders: str) -> DataFrame:
+        return written(rows, label, *folders, path=self.scratch)
+
+
+def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anonymizer) -> DataFrame:
     """Store the new names of all levels; ids of all names of the batch that are stored then.
 
-    ``names`` is written: ``tld, public_suffix, apex, fqdn, anonymous``. Only
+    ``names`` is kept: ``tld, public_suffix, apex, fqdn, anonymous``. Only
     ``twins`` can get new rows: the other tables are looked up, not written.
     """
-    # a first batch of one kind finds nothing of the other kind to link to
-    linked = bool(before) or len(twins) == 2
     tables = [(level, twin) for level in LEVELS for twin in (dim.PLAIN, dim.ANON)]
     stored = reduce(DataFrame.unionByName, [
-        store.read(_table(level, twin), before).select(
+        at.read(_table(level, twin)).select(
             F.lit(twin).alias("twin"), F.lit(level).alias("level"), F.col(level).alias("name"), "id"
         )
         for level, twin in tables
     ])
-    ids = written(dim.resolve(dim.level_names(names, anonymizer), stored), "ids", "twin", "level")
+    known = dim.known_names(dim.level_names(names, anonymizer), stored)
+    if not at.first:
+        # three readers; the stored tables are looked through once
+        known = at.kept(known, "known")
+    ids = at.kept(dim.resolve(known, stored), "ids", "twin", "level")
 
     def rows_of(level: str, twin: str) -> None:
-        store.write(_table(level, twin), batch, _level_rows(names, ids, level, twin, anonymizer))
+        at.write(_table(level, twin), _level_rows(names, ids, level, twin, anonymizer))
 
     def links_of(level: str) -> None:
-        store.write(f"{LEVEL_TABLE[level]}_anon_links", batch, _links(names, ids, level, anonymizer))
+        at.write(f"{LEVEL_TABLE[level]}_anon_links", _links(names, ids, level, anonymizer))
 
+    # a first batch of one kind finds nothing of the other kind to link to
+    linked = not at.first or len(twins) == 2
     _all_at_once(
-        store.spark,
+        at.store.spark,
         *[partial(rows_of, level, twin) for level, twin in tables if twin in twins],
         *[partial(links_of, level) for level in LEVELS if linked],
     )
     return ids
 
 
-def _store_facts(store: Store, batch: str, table: str, rows: DataFrame) -> None:
-    """Facts need an id that is unique within their batch only; nothing refers to it."""
-    store.write(table, batch, rows.withColumn("id", F.monotonically_increasing_id()))
-
-
-def _store_certificates(store: Store, batch: str, entries: DataFrame, parts: DataFrame, fqdns: DataFrame,
-                        before: list[str]) -> None:
+def _store_certificates(at: _Open, entries: DataFrame, parts: DataFrame, fqdns: DataFrame) -> None:
     urls = entries.groupBy(F.col("log_url").alias("url")).agg(F.min("description").alias("description"))
-    known_logs = store.read("logs", before)
+    known_logs = at.read("logs")
     new_logs = dim.new_rows(urls, known_logs, "url")
-    added = store.write("logs", batch, dim.with_ids(new_logs, "url", store.next_id("logs", before)))
+    logs = at.kept(dim.with_ids(new_logs, "url", at.store.next_id("logs", at.hidden)), "logs")
+    at.write("logs", logs)
 
     key = "sha256_fingerprint"
-    stored = store.read("certificates", before).select(key, "id")
+    stored = at.read("certificates").select(key, "id")
     fresh = dim.new_rows(entries.select(key).distinct(), stored, key)
     # lookup and numbering see fingerprints only; the bytes join as they are written
-    numbered = written(dim.with_ids(fresh, key, store.next_id("certificates", before)), "certificate-ids")
-    store.write("certificates", batch, facts.distinct_certificates(entries).join(numbered, key))
-    _store_facts(store, batch, "certificate_to_fqdns", facts.bridge(parts, numbered, fqdns))
-    hits = stored.join(entries.select(key), key, "left_semi")
-    rows = facts.log_facts(entries, hits.unionByName(numbered), known_logs.unionByName(added))
-    _store_facts(store, batch, "log_entries", rows)
+    numbered = dim.with_ids(fresh, key, at.store.next_id("certificates", at.hidden))
+    numbered = at.kept(numbered, "certificate-ids")
+    hits = stored.join(entries.select(key).distinct(), key, "left_semi")
+    rows = facts.log_facts(entries, hits.unionByName(numbered), known_logs.select("id", "url").unionByName(logs.select("id", "url")))
+    _all_at_once(
+        at.store.spark,
+        lambda: at.write("certificates", facts.distinct_certificates(entries).join(numbered, key)),
+        lambda: at.write_facts("certificate_to_fqdns", facts.bridge(parts, numbered, fqdns)),
+        lambda: at.write_facts("log_entries", rows),
+    )
 
 
 def ingest(
     store: Store, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer | None = None
 ) -> None:
     """Store a batch. ``current`` is ``muid, stage_id`` of the open runs."""
-    before = store.committed()
-    if batch.id in before:
+    first, hidden = store.is_empty(), store.begin(batch.id)
+    if hidden is None:
         return
-    anonymizer = anonymizer or Anonymizer()
-    accepted, rejects = accept(batch, current, rules)
+    with workspace(store.spark, "ingest") as scratch:
+        _ingest(_Open(store, batch.id, hidden, first, scratch), batch, current, rules, anonymizer or Anonymizer())
+        store.commit(batch.id)
+
 
+def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer) -> None:
+    accepted, rejects = accept(batch, current, rules)
     seen = [
         rows.select(*LEVELS, F.lit(source == "entrada").alias("anonymous"))
         for source, rows in accepted.items() if source != "ct"
     ]
     certificate_parts = None
     if "ct" in accepted:
-        certificate_parts = written(_certificate_parts(accepted["ct"], rules), "certificate-names")
+        certificate_parts = at.kept(_certificate_parts(accepted["ct"], rules), "certificate-names")
         seen.append(certificate_parts.select(*LEVELS, F.lit(False).alias("anonymous")))
-
     if seen:
         # distinct names are far fewer than sightings, and every table reads them
-        names = written(reduce(DataFrame.unionByName, seen).distinct(), "names")
+        names = at.kept(reduce(DataFrame.unionByName, seen).distinct(), "names")
         twins = {dim.ANON if source == "entrada" else dim.PLAIN for source in accepted}
-        ids = store_names(store, batch.id, names, twins, anonymizer, before)
-
-    writes: list[Callable[[], object]] = []
-
-    def fact(table: str, rows: DataFrame) -> None:
-        writes.append(lambda: _store_facts(store, batch.id, table, rows))
+        ids = _store_names(at, names, twins, anonymizer)
 
+    writes: list[Callable[[], None]] = []
     if "ct" in accepted:
         fqdns = _ids(ids, "fqdn", dim.PLAIN)
-        writes.append(
-            lambda: _store_certificates(store, batch.id, accepted["ct"], certificate_parts, fqdns, before)
-        )
+        writes.append(partial(_store_certificates, at, accepted["ct"], certificate_parts, fqdns))
     if "zone" in accepted:
         events = accepted["zone"].select("apex", "event_type", "ts", "stage_id")
-        fact("zonefile_entries", facts.zone_facts(events, _ids(ids, "apex", dim.PLAIN)))
+        rows = facts.zone_facts(events, _ids(ids, "apex", dim.PLAIN))
+        writes.append(partial(at.write_facts, "zonefile_entries", rows))
     if "passive" in accepted:
         sightings = accepted["passive"].select("fqdn", "ts", "stage_id")
-        fact("passive_entries", facts.passive_facts(sightings, _ids(ids, "fqdn", dim.PLAIN)))
+        rows = facts.passive_facts(sightings, _ids(ids, "fqdn", dim.PLAIN))
+        writes.append(partial(at.write_facts, "passive_entries", rows))
     if "entrada" in accepted:
         sightings = with_pseudonyms(accepted["entrada"], anonymizer).select(
             "fqdn_anon", "first_seen", "last_seen", "stage_id"
         )
-        fact("entrada_entries", facts.warehouse_facts(sightings, _ids(ids, "fqdn", dim.ANON)))
+        rows = facts.warehouse_facts(sightings, _ids(ids, "fqdn", dim.ANON))
+        writes.append(partial(at.write_facts, "entrada_entries", rows))
     if rejects:
-        writes.append(lambda: store.write("rejects", batch.id, reduce(DataFrame.unionByName, rejects)))
-    _all_at_once(store.spark, *writes)
-    store.commit(batch.id)
+        writes.append(partial(at.write, "rejects", reduce(DataFrame.unionByName, rejects)))
+    _all_at_once(at.store.spark, *writes)

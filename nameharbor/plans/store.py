@@ -1,4 +1,4 @@
-"""Stored tables as Parquet folders, one subfolder per batch, with a commit marker."""
+"""Stored tables as Parquet folders, one subfolder per batch, with begin and commit marks."""
 
 from __future__ import annotations
 
@@ -10,13 +10,16 @@ from pyspark.sql import types as T
 from ..operators.dimensions import next_id
 from ..schemas import LEVEL_TABLE, TABLES
 
+_BATCH = T.StructField("batch_id", T.StringType())
+
 
 class Store:
     """Tables of one folder.
 
-    A batch writes its own ``batch_id`` folder of each table and is seen by
-    readers once its marker is written, last. Repeating an unfinished batch
-    overwrites its folders; a finished one is left alone. One writer at a time.
+    A batch marks its begin, writes its own ``batch_id`` folder of each table
+    and marks its commit last. Readers leave out batches that have begun and
+    not committed: a handful, however many batches there are. Repeating an
+    open batch overwrites its folders. One writer at a time.
     """
 
     def __init__(self, spark: SparkSession, path: str):
@@ -28,44 +31,63 @@ class Store:
         for name, schema in TABLES.items():
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id=none")
 
-    def committed(self) -> list[str]:
-        """Ids of the finished batches: one short string per batch, as in the folder listing."""
+    def _marks(self, kind: str) -> DataFrame:
+        schema = T.StructType([_BATCH])
         try:
-            marks = self.spark.read.schema("batch_id string").parquet(f"{self.path}/commits")
-        except AnalysisException:
-            return []
-        return sorted(row.batch_id for row in marks.distinct().toLocalIterator())
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}").distinct()
+        except AnalysisException:  # no mark of this kind yet
+            return self.spark.createDataFrame([], schema).where("false")
 
-    def read(self, name: str, batches: list[str] | None = None) -> DataFrame:
-        """Committed rows of a table, or those of the given batches; empty when there are none."""
-        schema = TABLES[name]
-        batches = self.committed() if batches is None else batches
-        if batches:
-            try:
-                with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])
-                rows = self.spark.read.schema(with_batch).parquet(f"{self.path}/{name}")
-                return rows.where(F.col("batch_id").isin(batches)).drop("batch_id")
-            except AnalysisException:  # no batch has written this table yet
-                pass
-        return self.spark.createDataFrame([], schema).where("false")
-
-    def write(self, name: str, batch: str, rows: DataFrame) -> DataFrame:
-        """Write the rows of a batch and return them as stored."""
-        path = f"{self.path}/{name}/batch_id={batch}"
-        schema = TABLES[name]
-        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
-        typed.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(schema).parquet(path)
+    def _mark(self, kind: str, batch: str) -> None:
+        row = self.spark.createDataFrame([(batch,)], T.StructType([_BATCH]))
+        row.coalesce(1).write.mode("append").parquet(f"{self.path}/{kind}")
+
+    def begin(self, batch: str) -> list[str] | None:
+        """Open a batch: the batches its reads must leave out. None when it has committed already."""
+        if not self._marks("commits").where(F.col("batch_id") == batch).isEmpty():
+            return None
+        self._mark("begins", batch)
+        return self.open_batches()
 
     def commit(self, batch: str) -> None:
-        mark = self.spark.createDataFrame([(batch,)], "batch_id string")
-        mark.write.mode("append").parquet(f"{self.path}/commits")
+        self._mark("commits", batch)
+
+    def open_batches(self) -> list[str]:
+        """Batches begun and not committed; one at most for each job that writes here."""
+        left = self._marks("begins").join(self._marks("commits"), "batch_id", "left_anti")
+        return [row.batch_id for row in left.toLocalIterator()]
+
+    def is_empty(self) -> bool:
+        return self._marks("commits").isEmpty()
+
+    def read(self, name: str, hidden: list[str] | None = None, only: list[str] | None = None) -> DataFrame:
+        """Committed rows of a table, empty when there are none.
+
+        ``hidden`` is what :meth:`begin` gave; ``only`` keeps to some batches.
+        """
+        schema = TABLES[name]
+        try:
+            rows = self.spark.read.schema(T.StructType([*schema.fields, _BATCH])).parquet(f"{self.path}/{name}")
+        except AnalysisException:  # no batch has written this table yet
+            return self.spark.createDataFrame([], schema).where("false")
+        hidden = self.open_batches() if hidden is None else hidden
+        if hidden:
+            rows = rows.where(~F.col("batch_id").isin(hidden))
+        if only is not None:
+            rows = rows.where(F.col("batch_id").isin(only))
+        return rows.drop("batch_id")
+
+    def write(self, name: str, batch: str, rows: DataFrame) -> None:
+        """Write the rows of a batch, in place of what an earlier try has left."""
+        typed = rows.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields])
+        typed.write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id={batch}")
 
-    def next_id(self, name: str, batches: list[str] | None = None) -> int:
-        return next_id(self.read(name, batches)).first().next_id
+    def next_id(self, name: str, hidden: list[str] | None = None) -> int:
+        return next_id(self.read(name, hidden)).first().next_id
 
     def anon_view(self, level: str) -> DataFrame:
         """Pseudonymous rows of a level with the id of their plain row, null when there is none."""
         table = f"{LEVEL_TABLE[level]}_anon"
-        links = self.read(f"{table}_links").withColumnRenamed("anon_id", "id")
-        return self.read(table).join(links, "id", "left")
+        hidden = self.open_batches()
+        links = self.read(f"{table}_links", hidden).withColumnRenamed("anon_id", "id")
+        return self.read(table, hidden).join(links, "id", "left")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,7 +36,7 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def written(rows: DataFrame, label: str, *folders: str) -> DataFrame:
+def written(rows: DataFrame, label: str, *folders: str, path: str | None = None) -> DataFrame:
     """Write rows once to the shared folder and go on from the written table.
 
     Cuts the lineage, pins values that a recomputation could change (range
@@ -42,6 +44,15 @@ def written(rows: DataFrame, label: str, *folders: str) -> DataFrame:
     are columns whose values get a folder each, for readers of one of them.
     """
     spark = rows.sparkSession
-    path = fresh_path(spark, label)
+    path = f"{path}/{label}" if path else fresh_path(spark, label)
     rows.write.partitionBy(*folders).parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
+
+
+@contextmanager
+def workspace(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for :func:`written` tables that nobody needs once the block is left."""
+    path = fresh_path(spark, label)
+    yield path
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -23,7 +23,7 @@ from ..operators.snapshots import zone_diff_events
 from ..plans.ingest import Batch, ingest
 from ..plans.store import Store
 from ..schemas import FIRST_SEEN
-from ..session import prepare, written
+from ..session import prepare, workspace, written
 from ..sources.certificates import with_dns_names
 
 Step = Callable[[DataFrame, str], None]
@@ -99,31 +99,37 @@ def zone_diff_step(path: str) -> Step:
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        before = store.committed()
-        if batch in before:
+        hidden = store.begin(batch)
+        if hidden is None:
             return
-        heads = store.read("zone_heads", before)
-        newest = heads.groupBy("tld").agg(F.max("snapshot_date").alias("snapshot_date"), F.max_by("batch", "snapshot_date").alias("batch"))
-        touched = small_join(newest, rows.select("tld").distinct(), ["tld"], "left_semi")
-        touched = written(touched, "heads")
-        # one short string per batch that holds a newest snapshot: prunes the folders to read
-        folders = [row.batch for row in touched.select("batch").distinct().toLocalIterator()]
-        kept = small_join(
-            store.read("zone_state", folders), touched.select("tld", "snapshot_date"), ["tld", "snapshot_date"], "left_semi"
-        )
-        fresh = rows.select("tld", "snapshot_date", "domain")
-        files = touched.select("tld", "snapshot_date").unionByName(fresh.select("tld", "snapshot_date").distinct())
-        events = zone_diff_events(fresh.unionByName(kept), files)
-        # a kept snapshot has been first in its day already
-        known = touched.select("tld", F.lit(True).alias("known"))
-        events = small_join(events, known, ["tld"], "left").where(
-            (F.col("event_type") != FIRST_SEEN) | F.col("known").isNull()
-        )
-        store.write("zone_events", batch, events)
-        last = written(fresh.groupBy("tld").agg(F.max("snapshot_date").alias("snapshot_date")), "last")
-        store.write("zone_state", batch, small_join(fresh, last, ["tld", "snapshot_date"], "left_semi").distinct())
-        store.write("zone_heads", batch, last.withColumn("batch", F.lit(batch)))
-        store.commit(batch)
+        with workspace(store.spark, "diff") as scratch:
+            heads = store.read("zone_heads", hidden)
+            newest = heads.groupBy("tld").agg(
+                F.max("snapshot_date").alias("snapshot_date"), F.max_by("batch", "snapshot_date").alias("batch")
+            )
+            touched = small_join(newest, rows.select("tld").distinct(), ["tld"], "left_semi")
+            touched = written(touched, "heads", path=scratch)
+            # one short string per batch that holds a newest snapshot: prunes the folders to read
+            folders = [row.batch for row in touched.select("batch").distinct().toLocalIterator()]
+            kept = small_join(
+                store.read("zone_state", hidden, only=folders), touched.select("tld", "snapshot_date"),
+                ["tld", "snapshot_date"], "left_semi",
+            )
+            fresh = rows.select("tld", "snapshot_date", "domain")
+            files = touched.select("tld", "snapshot_date").unionByName(fresh.select("tld", "snapshot_date").distinct())
+            events = zone_diff_events(fresh.unionByName(kept), files)
+            # a kept snapshot has been first in its day already
+            known = touched.select("tld", F.lit(True).alias("known"))
+            events = small_join(events, known, ["tld"], "left").where(
+                (F.col("event_type") != FIRST_SEEN) | F.col("known").isNull()
+            )
+            store.write("zone_events", batch, events)
+            last = fresh.groupBy("tld").agg(F.max("snapshot_date").alias("snapshot_date"))
+            last = written(last, "last", path=scratch)
+            state = small_join(fresh, last, ["tld", "snapshot_date"], "left_semi").distinct()
+            store.write("zone_state", batch, state)
+            store.write("zone_heads", batch, last.withColumn("batch", F.lit(batch)))
+            store.commit(batch)
 
     return step
 
@@ -133,10 +139,10 @@ def known_names_step(path: str) -> Step:
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        before = store.committed()
-        if batch not in before:
+        hidden = store.begin(batch)
+        if hidden is not None:
             names = rows.select("fqdn").distinct()
-            store.write("known_names", batch, new_rows(names, store.read("known_names", before), "fqdn"))
+            store.write("known_names", batch, new_rows(names, store.read("known_names", hidden), "fqdn"))
             store.commit(batch)
 
     return step

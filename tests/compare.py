@@ -16,10 +16,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as driver
 
 
-def session(cpus: str = "8") -> SparkSession:
+def session(cpus: str = "8", partitions: str = "8") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("nameharbor")
-        .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g")
+        .config("spark.sql.shuffle.partitions", partitions).config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

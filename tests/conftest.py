@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from nameharbor.session import prepare
 
-    return prepare(session("4"))
+    return prepare(session(partitions="4"))
 
 
 @pytest.fixture

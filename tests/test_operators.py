@@ -119,21 +119,6 @@ def test_small_join_measures_before_it_broadcasts(spark, rows):
     assert "Broadcast" in small_join(big, table, ["k"])._jdf.queryExecution().executedPlan().toString()
 
 
-def test_salted_join_spreads_a_hot_key(spark):
-    hot = spark.range(4000).select(F.lit("hot").alias("k"), "id")
-    table = spark.createDataFrame([("hot", 1), ("cold", 2)], "k string, v int")
-    keep = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        joined = small_join(hot, table, ["k"], max_rows=1)
-        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", keep)
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 4000 and len(sizes) > 1
-
-
 # --- numbering ---
 
 
