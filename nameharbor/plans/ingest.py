@@ -201,11 +201,12 @@ def ingest(
     store: Store, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer | None = None
 ) -> None:
     """Store a batch. ``current`` is ``muid, stage_id`` of the open runs."""
-    first, hidden = store.is_empty(), store.begin(batch.id)
-    if hidden is None:
+    opened = store.begin(batch.id)
+    if opened is None:
         return
     with workspace(store.spark, "ingest") as scratch:
-        _ingest(_Open(store, batch.id, hidden, first, scratch), batch, current, rules, anonymizer or Anonymizer())
+        at = _Open(store, batch.id, opened.hidden, opened.first, scratch)
+        _ingest(at, batch, current, rules, anonymizer or Anonymizer())
         store.commit(batch.id)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,14 @@ from ..schemas import LEVEL_TABLE, TABLES
 _BATCH = T.StructField("batch_id", T.StringType())
 
 
+@dataclass(frozen=True)
+class Opened:
+    """What the reads of an open batch leave out, and whether it is the store's first."""
+
+    hidden: list[str]
+    first: bool
+
+
 class Store:
     """Tables of one folder.
 
@@ -34,7 +44,7 @@ class Store:
     def _marks(self, kind: str) -> DataFrame:
         schema = T.StructType([_BATCH])
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}").distinct()
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}")
         except AnalysisException:  # no mark of this kind yet
             return self.spark.createDataFrame([], schema).where("false")
 
@@ -42,23 +52,29 @@ class Store:
         row = self.spark.createDataFrame([(batch,)], T.StructType([_BATCH]))
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/{kind}")
 
-    def begin(self, batch: str) -> list[str] | None:
-        """Open a batch: the batches its reads must leave out. None when it has committed already."""
-        if not self._marks("commits").where(F.col("batch_id") == batch).isEmpty():
+    def begin(self, batch: str) -> Opened | None:
+        """Open a batch, or None when it has committed already."""
+        state = self._batches().agg(
+            F.collect_set(F.when(~F.col("done"), F.col("batch_id"))).alias("open"),
+            F.coalesce(F.bool_or(F.col("done") & (F.col("batch_id") == batch)), F.lit(False)).alias("done"),
+            (~F.coalesce(F.bool_or("done"), F.lit(False))).alias("first"),
+        ).first()
+        if state.done:
             return None
         self._mark("begins", batch)
-        return self.open_batches()
+        return Opened(sorted({*state.open, batch}), state.first)
 
     def commit(self, batch: str) -> None:
         self._mark("commits", batch)
 
+    def _batches(self) -> DataFrame:
+        begun = self._marks("begins").withColumn("done", F.lit(False))
+        marks = begun.unionByName(self._marks("commits").withColumn("done", F.lit(True)))
+        return marks.groupBy("batch_id").agg(F.bool_or("done").alias("done"))
+
     def open_batches(self) -> list[str]:
         """Batches begun and not committed; one at most for each job that writes here."""
-        left = self._marks("begins").join(self._marks("commits"), "batch_id", "left_anti")
-        return [row.batch_id for row in left.toLocalIterator()]
-
-    def is_empty(self) -> bool:
-        return self._marks("commits").isEmpty()
+        return [row.batch_id for row in self._batches().where("not done").toLocalIterator()]
 
     def read(self, name: str, hidden: list[str] | None = None, only: list[str] | None = None) -> DataFrame:
         """Committed rows of a table, empty when there are none.

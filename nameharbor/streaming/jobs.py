@@ -99,9 +99,10 @@ def zone_diff_step(path: str) -> Step:
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        hidden = store.begin(batch)
-        if hidden is None:
+        opened = store.begin(batch)
+        if opened is None:
             return
+        hidden = opened.hidden
         with workspace(store.spark, "diff") as scratch:
             heads = store.read("zone_heads", hidden)
             newest = heads.groupBy("tld").agg(
@@ -139,10 +140,10 @@ def known_names_step(path: str) -> Step:
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        hidden = store.begin(batch)
-        if hidden is not None:
+        opened = store.begin(batch)
+        if opened is not None:
             names = rows.select("fqdn").distinct()
-            store.write("known_names", batch, new_rows(names, store.read("known_names", hidden), "fqdn"))
+            store.write("known_names", batch, new_rows(names, store.read("known_names", opened.hidden), "fqdn"))
             store.commit(batch)
 
     return step
