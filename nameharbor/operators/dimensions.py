@@ -47,7 +47,9 @@ ID_BUCKET_DIGITS = 4
 
 
 def id_bucket(name: Column) -> Column:
-    return F.substring(F.md5(name), 1, ID_BUCKET_DIGITS)
+    # never null: a null check on one side only would keep the two readers of the
+    # names in with_ids from sharing a shuffle
+    return F.coalesce(F.substring(F.md5(name), 1, ID_BUCKET_DIGITS), F.lit(""))
 
 
 def with_ids(names: DataFrame, name: str, first: int = 1, column: str = "id", within: Sequence[str] = ()) -> DataFrame:

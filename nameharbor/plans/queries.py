@@ -335,10 +335,8 @@ def dim_lookup_anon(t: Tables) -> DataFrame:
 
 def added(t: Tables, name: str, pseudonyms: bool = False) -> DataFrame:
     stored, batch = stored_and_batch(t, name, pseudonyms)
-    # one row, one column: where the new ids start
-    first = dim.next_id(stored)
-    fresh = dim.with_ids(dim.new_rows(batch, stored, name), name, 1)
-    return fresh.crossJoin(F.broadcast(first)).select(name, (F.col("id") + F.col("next_id") - 1).alias("id"))
+    first = dim.next_id(stored).first().next_id  # one number
+    return dim.with_ids(dim.new_rows(batch, stored, name), name, first)
 
 
 @query
@@ -356,20 +354,26 @@ def hierarchy(rows: DataFrame) -> dict[str, DataFrame]:
     tables: dict[str, DataFrame] = {}
     for level in LEVELS:
         parents = LEVELS[: LEVELS.index(level)]
-        distinct = rows.groupBy(level).agg(*[F.min(p).alias(p) for p in parents], F.count("*").alias("_n")).drop("_n")
+        distinct = rows.groupBy(level).agg(*[F.min(p).alias(p) for p in parents]) if parents else rows.select(level).distinct()
         tables[level] = dim.with_parent_ids(dim.with_ids(distinct, level), level, tables)
     return tables
 
 
+def distinct_names(t: Tables) -> DataFrame:
+    """Distinct names of the sightings, far fewer than these; every level reads them."""
+    return written(t.obs().select(*LEVELS).distinct(), "names")
+
+
 @query
 def dim_hierarchy(t: Tables) -> DataFrame:
-    return hierarchy(t.obs())["fqdn"].select("id", "fqdn", "tld_id", "public_suffix_id", "apex_id")
+    return hierarchy(distinct_names(t))["fqdn"].select("id", "fqdn", "tld_id", "public_suffix_id", "apex_id")
 
 
 @query
 def next_ids(t: Tables) -> DataFrame:
+    named = distinct_names(t)
     return union([
-        dim.next_id(dim.with_ids(t.obs().select(level).distinct(), level)).select(
+        dim.next_id(dim.with_ids(named.select(level).distinct(), level)).select(
             F.lit(LEVEL_TABLE[level]).alias("table_name"), "next_id"
         )
         for level in LEVELS

@@ -119,6 +119,34 @@ def test_small_join_measures_before_it_broadcasts(spark, rows):
     assert "Broadcast" in small_join(big, table, ["k"])._jdf.queryExecution().executedPlan().toString()
 
 
+def test_hot_name_is_split_when_it_meets_its_dimension(spark):
+    """Two thirds of all sightings are of one name: its partition is read by several tasks."""
+    sightings = spark.range(60_000).select(
+        F.when(F.col("id") % 3 < 2, "hot.com").otherwise(F.concat(F.lit("n"), F.col("id").cast("string"))).alias("fqdn"),
+        F.timestamp_seconds("id").alias("ts"), F.lit(1).alias("stage_id"), "id",
+    )
+    fqdns = dim.with_ids(sightings.select("fqdn").distinct(), "fqdn")
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    keep = {key: spark.conf.get(key, None) for key in small}
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        found = facts.passive_facts(sightings, fqdns)
+        hot = found.groupBy("fqdn_id").count().agg(F.max("count")).first()[0]
+        shown = facts.passive_facts(sightings, fqdns)
+        shown.collect()
+        plan = shown._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in keep.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert hot == 40_000
+    assert "skew=true" in plan
+
+
 # --- numbering ---
 
 
