@@ -80,8 +80,8 @@ def with_domain_parts(rows: DataFrame, name: Column | str, rules: SuffixRules) -
     column = F.col(name) if isinstance(name, str) else name
     depths = range(1, rules.depth + 1)
     tails = [f"CASE WHEN _n >= {k} THEN substring_index(fqdn, '.', -{k}) END AS _tail{k}" for k in depths]
-    out = rows.withColumn("fqdn", normalize_name(column)).withColumn("_n", label_count(F.col("fqdn")))
-    out = out.selectExpr("*", *tails)
+    out = rows.withColumn("_name", column).withColumn("fqdn", normalize_name(F.col("_name")))
+    out = out.withColumn("_n", label_count(F.col("fqdn"))).selectExpr("*", *tails)
     for k in depths:
         rule = rules.table.selectExpr(f"base AS _tail{k}", f"kind AS _kind{k}")
         out = out.join(F.broadcast(rule), f"_tail{k}", "left")

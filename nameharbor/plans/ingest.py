@@ -146,11 +146,12 @@ def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anony
     ``twins`` can get new rows: the other tables are looked up, not written.
     """
     tables = [(level, twin) for level in LEVELS for twin in (dim.PLAIN, dim.ANON)]
+    looked_in = tables if not at.first else tables[:1]  # a first batch finds every table empty
     stored = reduce(DataFrame.unionByName, [
         at.read(_table(level, twin)).select(
             F.lit(twin).alias("twin"), F.lit(level).alias("level"), F.col(level).alias("name"), "id"
         )
-        for level, twin in tables
+        for level, twin in looked_in
     ])
     known = dim.known_names(dim.level_names(names, anonymizer), stored)
     if not at.first:

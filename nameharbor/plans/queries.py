@@ -237,7 +237,8 @@ def zone_event_columns(t: Tables) -> DataFrame:
 
 @query
 def zone_fact(t: Tables) -> DataFrame:
-    split = with_domain_parts(zone_sightings(t), "domain", suffix_rules(t.spark))
+    # diffed and split once, for the names and for the facts
+    split = written(with_domain_parts(zone_sightings(t), "domain", suffix_rules(t.spark)), "zone-events")
     apexes = dim.with_ids(split.select("apex").distinct(), "apex")
     rows = facts.zone_facts(split.withColumn("stage_id", F.lit(1)), apexes)
     return rows.select(
