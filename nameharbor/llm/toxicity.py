@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from nameharbor.llm.slices import slices
 from nameharbor.llm.texts import Texts, span_hashes
+from nameharbor.session import written
 
 #: Labelled documents of each label to learn from (about, chosen by a hash of the id), terms at most,
 #: words on each side of a hit that are its context.
@@ -240,7 +241,9 @@ def fit_scorer(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scor
         return None
     share = F.when(F.col("toxic") == 1, F.lit(sample / sizes[1])).otherwise(F.lit(sample / sizes[0]))
     chosen = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("__text")).join(chosen, "doc_id").select("__text", "toxic")
+    # the sample is bounded by its parameter, so it goes to the documents and no text is moved
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("__text")).join(F.broadcast(chosen), "doc_id").select("__text", "toxic")
+    rows = written(rows, "toxicity-sample")
     n_toxic, n_clean = min(sizes[1], sample), min(sizes[0], sample)
     terms = rows.mapInArrow(_document_words, "term binary, whole boolean, clean long, toxic long").groupBy("term", "whole").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
