@@ -201,7 +201,8 @@ def fit_field(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Field
     # as many of each label at any size: a share of the hashes
     share = F.when(F.col("quality") == 0, F.lit(sample / counts[0])).otherwise(F.lit(sample / counts[1]))
     known = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("__text")).join(known, "doc_id").select("__text", "quality").mapInArrow(
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("__text")).join(
+        F.broadcast(known), "doc_id").select("__text", "quality").mapInArrow(  # bounded by ``sample``
         _lines_of, "quality int, features binary").collect()
     if len({r["quality"] for r in rows}) < 2:
         return None
