@@ -17,12 +17,14 @@ from nameharbor.llm.texts import Texts, ranges, span_hashes
 from nameharbor.session import written
 
 WINDOW, END_ID, STEP = 4096, 2, 16
+#: Remainders that no combination takes are cut at multiples of so many ids only: their checksums are kept.
+MARK = 32
 #: Words whose ids a Python worker keeps.
 CACHED_WORDS = 1_000_000
 _MARK, _ASCII_LETTER = np.zeros(256, bool), np.zeros(256, bool)
 _MARK[list(b",.!?;:|%$&*#)")] = True
 _ASCII_LETTER[range(0x61, 0x7B)] = True
-_PIECE = "doc_id {0}, text_key long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, slot long"
+_PIECE = "doc_id {0}, marks array<long>, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, slot long"
 
 
 class Tokens:
@@ -131,6 +133,44 @@ def _crc(ids: np.ndarray) -> int:
     return zlib.crc32(ids.astype("<u4").tobytes())
 
 
+def _mark_sums(ids: np.ndarray) -> list[int]:
+    """Checksums of the first MARK, 2 * MARK and so on ids, short of all of them."""
+    data, crc, out = ids.astype("<u4").tobytes(), 0, []
+    for at in range(0, len(data) - 4 * MARK, 4 * MARK):
+        crc = zlib.crc32(data[at:at + 4 * MARK], crc)
+        out.append(crc)
+    return out
+
+
+def _zeros(steps: int = 48) -> np.ndarray:
+    """For each k what 2^k zero bytes make of a checksum of one bit, for all 32 bits."""
+    one = np.arange(32)
+    table = np.where(one > 0, np.int64(1) << np.maximum(one - 1, 0), np.int64(0xEDB88320))  # one zero bit
+    for _ in range(3):
+        table = _times(table, table)
+    out = [table]
+    for _ in range(steps - 1):
+        out.append(_times(out[-1], out[-1]))
+    return np.array(out)
+
+
+def _times(table: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    total = np.zeros_like(crc)
+    for bit in range(32):
+        total ^= np.where((crc >> bit) & 1, table[bit], 0)
+    return total
+
+
+def rest_sums(whole: np.ndarray, first: np.ndarray, n_rest: np.ndarray) -> np.ndarray:
+    """Checksums of what follows a first part, from those of the whole and of the first part (checksums are linear)."""
+    crc, n = first.astype(np.int64), n_rest.astype(np.int64)
+    for k, table in enumerate(_zeros()):
+        if not (n >> k).any():
+            break
+        crc = np.where((n >> k) & 1, _times(table, crc), crc)
+    return whole ^ crc
+
+
 def combinations(bins: int) -> list[tuple[int, ...]]:
     """Bins that fill a window of ``bins`` exactly: all pairs and triples, and quadruples on a grid."""
     out = [(a, bins - a) for a in range(1, bins // 2 + 1)]
@@ -213,8 +253,9 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     A null text is empty and gives its end id alone; each row is a document, also if it occurs again.
     Whole windows of long documents are sequences of their own. The remainders are counted by length
     in steps of 16; combinations of lengths that fill a window are weighed by least squares, rounded
-    down and filled by rank. What is left is laid end to end and cut at windows, so that only the
-    last sequence and less than a step for each piece are padding. Only lengths come together: the
+    down and filled by rank. What is left is laid end to end in whole marks and cut at windows, so that
+    less than a step or a mark for each piece, and the last sequence, are padding. Checksums of cut
+    pieces come from those at the marks, so no text is read twice. Only lengths come together: the
     histogram has ``window / 16`` entries at any size.
     """
     bins = window // STEP
@@ -238,12 +279,13 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
             first = blocks + np.cumsum(whole) - whole
             blocks += int(whole.sum())
             crcs = [[_crc(ids[s:min(s + window, e)]) for s in range(e - c, e, window)] for c, e in zip(counts.tolist(), end.tolist(), strict=True)]
+            marks = [_mark_sums(ids[e - r:e]) for r, e in zip(rest.tolist(), end.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id"), pa.array(span_hashes(texts.buf, texts.starts, texts.ends).view(np.int64)), pa.array(counts),
+                batch.column("doc_id"), pa.array(marks, pa.list_(pa.int64())), pa.array(counts),
                 pa.array(crcs, pa.list_(pa.int64())), pa.array([part] * n, pa.int32()), pa.array(bin_.astype(np.int32)), pa.array(rank),
-                pa.array(whole), pa.array(first)], ["doc_id", "text_key", "n", "crcs", "part", "bin", "rank", "whole", "first"])
+                pa.array(whole), pa.array(first)], ["doc_id", "marks", "n", "crcs", "part", "bin", "rank", "whole", "first"])
 
-    lengths = written(docs.mapInArrow(measure, f"doc_id {kind}, text_key long, n long, crcs array<long>, part int, bin int, rank long, whole long, first long"), "packing-lengths")
+    lengths = written(docs.mapInArrow(measure, f"doc_id {kind}, marks array<long>, n long, crcs array<long>, part int, bin int, rank long, whole long, first long"), "packing-lengths")
     # places over all parts: counts of each part and bin, summed up along the parts
     sums = lengths.groupBy("part", "bin").agg(F.count("*").alias("docs"), F.sum("whole").alias("whole"), F.sum(F.col("n") % window).alias("tokens"))
     ahead = lambda *by: Window.partitionBy(*by).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -262,7 +304,7 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("text_key", "n", "bin", "rank", "whole", "first", "docs_ahead", "blocks_ahead")}
+            got = {k: batch.column(k).to_numpy(zero_copy_only=False) for k in ("n", "bin", "rank", "whole", "first", "docs_ahead", "blocks_ahead")}
             crcs = batch.column("crcs")
             flat, at = crcs.flatten().to_numpy(), np.r_[0, np.cumsum(crcs.value_lengths().to_numpy())]
             rank, rest = got["rank"] + got["docs_ahead"], got["n"] % window
@@ -280,59 +322,48 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
             tail = np.flatnonzero(rest)
             doc = np.r_[head, tail]
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(pa.array(doc)), pa.array(got["text_key"][doc]),
+                batch.column("doc_id").take(pa.array(doc)),
+                batch.column("marks").take(pa.array(doc, mask=np.r_[np.ones(len(head), bool), sequence[tail] >= 0])),
                 pa.array(np.r_[nth * window, got["whole"][tail] * window]), pa.array(np.r_[np.full(len(head), window), rest[tail]]),
                 pa.array(np.r_[flat[at[head] + nth], flat[at[tail] + got["whole"][tail]]]), pa.array(got["n"][doc]),
                 pa.array(np.r_[got["first"][head] + got["blocks_ahead"][head] + nth, sequence[tail]]), pa.array(np.r_[np.zeros(len(head), np.int64), slot[tail]])],
-                ["doc_id", "text_key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot"])
+                ["doc_id", "marks", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot"])
 
     pieces = written(lengths.join(offsets, ["part", "bin"]).mapInArrow(place, _PIECE.format(kind)), "packing-pieces")
     filled = pieces.filter("sequence_id >= 0")
-    # the rest: running lengths within partitions of the written table and their offsets
-    loose = written(pieces.filter("sequence_id < 0").repartitionByRange("length", "doc_id").withColumn("part", F.spark_partition_id()), "packing-rest")
-    before = loose.groupBy("part").agg(F.sum("length").alias("size")).select(
+    # the rest: running lengths, in whole marks, within partitions of the written table and their offsets
+    loose = pieces.filter("sequence_id < 0").withColumn("room", F.ceil(F.col("length") / MARK) * MARK)
+    loose = written(loose.repartitionByRange("length", "doc_id").withColumn("part", F.spark_partition_id()), "packing-rest")
+    before = loose.groupBy("part").agg(F.sum("room").alias("size")).select(
         "part", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    inside = Window.partitionBy("part").orderBy("length", "doc_id", "text_key").rowsBetween(Window.unboundedPreceding, -1)
-    laid = loose.withColumn("at", F.coalesce(F.sum("length").over(inside), F.lit(0))).join(before, "part").withColumn("at", F.col("at") + F.col("ahead"))
-    room = F.lit(window) - F.col("at") % window
-    laid = laid.withColumns({"sequence_id": F.floor(F.col("at") / window) + blocks + plan.sequences, "slot": F.col("at") % window})
-    uncut = laid.filter(F.col("length") <= room)
-    cut = laid.filter(F.col("length") > room).withColumn("room", room)
-
-    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens.shared(tokenizer)
-        for batch in slices(batches, "text"):
-            ids, counts = tokens.encode(Texts.of(batch.column("text")))
-            end = np.cumsum(counts)
-            c = {k: batch.column(k).to_numpy() for k in ("start", "length", "room", "sequence_id", "slot")}
-            begin = end - counts + c["start"]
-            crc = [_crc(ids[b:b + r]) for b, r in zip(begin, c["room"], strict=True)] + [_crc(ids[b + r:b + n]) for b, r, n in zip(begin, c["room"], c["length"], strict=True)]
+    inside = Window.partitionBy("part").orderBy("length", "doc_id", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    laid = loose.withColumn("at", F.coalesce(F.sum("room").over(inside), F.lit(0))).join(before, "part").withColumn("at", F.col("at") + F.col("ahead"))
+    laid = laid.withColumns({"room": F.lit(window) - F.col("at") % window, "sequence_id": F.floor(F.col("at") / window) + blocks + plan.sequences, "slot": F.col("at") % window})
+    uncut = laid.filter(F.col("length") <= F.col("room"))
+    cut = laid.filter(F.col("length") > F.col("room"))
+
+    def halves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            c = {k: batch.column(k).to_numpy() for k in ("start", "length", "room", "ids_crc32", "sequence_id", "slot")}
+            marks = batch.column("marks")
+            ends = np.cumsum(marks.value_lengths().to_numpy())
+            first = marks.flatten().to_numpy()[ends - marks.value_lengths().to_numpy() + c["room"] // MARK - 1] if len(ends) else c["room"]
+            second = rest_sums(c["ids_crc32"], first, (c["length"] - c["room"]) * 4)
             twice = pa.array(np.tile(np.arange(batch.num_rows), 2))
             yield pa.RecordBatch.from_arrays([
-                batch.column("doc_id").take(twice), batch.column("text_key").take(twice), pa.array(np.r_[c["start"], c["start"] + c["room"]]),
-                pa.array(np.r_[c["room"], c["length"] - c["room"]]), pa.array(np.array(crc, np.int64)), batch.column("doc_tokens").take(twice),
-                pa.array(np.r_[c["sequence_id"], c["sequence_id"] + 1]), pa.array(np.r_[c["slot"], np.zeros(batch.num_rows, np.int64)])],
-                ["doc_id", "text_key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot"])
-
-    # the texts of cut documents once more; rows with equal id and text have equal ids
-    texts = docs.mapInArrow(_keyed, f"doc_id {kind}, text string, text_key long")
-    wanted = texts.join(cut.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).distinct(), F.expr("doc_id <=> d AND text_key = k"), "left_semi")
-    wanted = wanted.groupBy("doc_id", "text_key").agg(F.first("text").alias("text"))
-    both = cut.join(wanted.withColumnsRenamed({"doc_id": "d", "text_key": "k"}), F.expr("doc_id <=> d AND text_key = k")).select(
-        "doc_id", "text_key", "start", "length", "doc_tokens", "sequence_id", "slot", "room", "text")
-    names = ["doc_id", "text_key", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot"]
-    every = filled.select(names).unionByName(uncut.select(names)).unionByName(both.mapInArrow(again, _PIECE.format(kind)))
+                batch.column("doc_id").take(twice), pa.array(np.r_[c["start"], c["start"] + c["room"]]),
+                pa.array(np.r_[c["room"], c["length"] - c["room"]]), pa.array(np.r_[first, second]), batch.column("doc_tokens").take(twice),
+                pa.array(np.r_[c["sequence_id"], c["sequence_id"] + 1]), pa.array(np.r_[c["slot"], np.zeros(batch.num_rows, np.int64)])], names)
+
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "slot"]
+    parts = cut.select("doc_id", "marks", "start", "length", "room", "ids_crc32", "doc_tokens", "sequence_id", "slot").mapInArrow(
+        halves, _PIECE.format(kind).replace("marks array<long>, ", ""))
+    every = filled.select(names).unionByName(uncut.select(names)).unionByName(parts)
     running = Window.partitionBy("sequence_id").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
     return every.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", F.col("sequence_id").cast("long").alias("sequence_id"),
                         F.coalesce(F.sum("length").over(running), F.lit(0)).cast("long").alias("offset"))
 
 
-def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches, "text"):
-        texts = Texts.of(batch.column("text"))
-        yield batch.append_column("text_key", pa.array(span_hashes(texts.buf, texts.starts, texts.ends).view(np.int64)))
-
-
 def op2_packing(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
