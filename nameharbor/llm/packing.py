@@ -19,8 +19,8 @@ from nameharbor.session import written
 WINDOW, END_ID, STEP = 4096, 2, 16
 #: Remainders that no combination takes are cut at multiples of so many ids only: their checksums are kept.
 MARK = 32
-#: Words whose ids a Python worker keeps.
-CACHED_WORDS = 1_000_000
+#: Words whose ids a task keeps.
+CACHED_WORDS = 400_000
 _MARK, _ASCII_LETTER = np.zeros(256, bool), np.zeros(256, bool)
 _MARK[list(b",.!?;:|%$&*#)")] = True
 _ASCII_LETTER[range(0x61, 0x7B)] = True
@@ -46,20 +46,24 @@ class Tokens:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word
         self.closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.place: dict[int, int] = {}
-        self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.forget()
 
     @classmethod
     def shared(cls, path: str) -> Tokens:
-        """One for each worker process."""
+        """The worker's own, without the words of its last task."""
         if path not in cls._of:
             cls._of[path] = cls(path)
+        cls._of[path].forget()
         return cls._of[path]
 
+    def forget(self) -> None:
+        """Start again with no word known."""
+        self.place = {}
+        self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
     def _add(self, keys: list[int], words: list[bytes]) -> None:
-        if len(self.place) > CACHED_WORDS:  # start again
-            self.place.clear()
-            self.at, self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        if len(self.place) > CACHED_WORDS:
+            self.forget()
         plain = [i for i, w in enumerate(words) if w.isalpha()]  # ASCII letters alone: ends with its one word-end id
         other = [i for i, w in enumerate(words) if not w.isalpha()]
         lines = [b" ".join(words[i] for i in plain[k:k + 256]).decode() for k in range(0, len(plain), 256)]
@@ -284,6 +288,7 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
                 batch.column("doc_id"), pa.array(marks, pa.list_(pa.int64())), pa.array(counts),
                 pa.array(crcs, pa.list_(pa.int64())), pa.array([part] * n, pa.int32()), pa.array(bin_.astype(np.int32)), pa.array(rank),
                 pa.array(whole), pa.array(first)], ["doc_id", "marks", "n", "crcs", "part", "bin", "rank", "whole", "first"])
+        tokens.forget()
 
     lengths = written(docs.mapInArrow(measure, f"doc_id {kind}, marks array<long>, n long, crcs array<long>, part int, bin int, rank long, whole long, first long"), "packing-lengths")
     # places over all parts: counts of each part and bin, summed up along the parts

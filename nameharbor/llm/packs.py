@@ -1,4 +1,4 @@
-"""Documents in packs of a few MB, and messages that packs send to shards and get back.
+"""Documents in packs of two MB, and messages that packs send to shards and get back.
 
 A pack is a row of a written table, so its number and its order of documents stay the same when a
 task runs again or an executor is lost. What is counted over all documents goes one way only: each
@@ -22,7 +22,7 @@ from nameharbor.llm.texts import Texts, mix
 from nameharbor.session import written
 
 #: Bytes of text in a pack (a single longer document is a pack of its own), and documents at most.
-PACK_BYTES, PACK_DOCS = 4 << 20, 1 << 16
+PACK_BYTES, PACK_DOCS = 2 << 20, 1 << 16
 #: Bytes of text for which there is a shard, and shards at least.
 SHARD_BYTES, LEAST_SHARDS = 8 << 20, 192
 SCHEMA = "pack long, n_docs int, n_bytes long, sizes binary, body binary, rest binary"

@@ -44,7 +44,7 @@ class Lines:
         chars = points[we] - points[ws]
         char_sum = np.r_[0, np.cumsum(chars)]
         self.word_chars = char_sum[last] - char_sum[first]
-        sums = {k: np.r_[0, np.cumsum(t[buf[: len(buf) - 64]], dtype=np.int64)] for k, t in (("symbol", _SYMBOL), ("shout", _SHOUT), ("upper", _UPPER), ("digit", _DIGIT))}
+        sums = {k: np.cumsum(np.r_[False, t[buf[: len(buf) - 64]]], dtype=np.int32) for k, t in (("symbol", _SYMBOL), ("shout", _SHOUT), ("upper", _UPPER), ("digit", _DIGIT))}
         self.n_symbols = sums["symbol"][texts.ends] - sums["symbol"][texts.starts]
 
         starts, ends, self.doc = texts.lines()

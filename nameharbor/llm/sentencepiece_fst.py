@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from nameharbor.llm.slices import slices
 from nameharbor.llm.texts import PAD, Texts, ranges, span_hashes
 
-#: Units (blanks and the word after them) whose pieces a Python worker keeps.
-CACHED_UNITS = 1_000_000
+#: Units (blanks and the word after them) whose pieces a task keeps.
+CACHED_UNITS = 400_000
 _BLANK = 0x20  # stands for U+2581 within the transducer
 #: Bytes of the character that a byte leads (0: none).
 _CHAR = np.array([1] * 128 + [0] * 64 + [2] * 32 + [3] * 16 + [4] * 16, np.int64)
@@ -75,6 +75,10 @@ class Transducer:
                 self.solo[list(piece)] = False
         # a blank within a piece stands behind blanks only, so a word ends before its next blank
         self.splits = not any(b" " in p.lstrip(b" ") for p in pieces)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start again with no unit known."""
         self.known: dict[int, int] = {}
         self.at, self.n, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -82,6 +86,7 @@ class Transducer:
     def shared(cls, path: str) -> Transducer:
         if path not in cls._of:
             cls._of[path] = cls(path)
+        cls._of[path].forget()
         return cls._of[path]
 
     def normalised(self, texts: Texts) -> Texts:
@@ -173,8 +178,7 @@ class Transducer:
         keys = span_hashes(texts.buf, starts, ends)
         codes, unique = pd.factorize(keys)
         if len(self.known) > CACHED_UNITS:
-            self.known.clear()
-            self.at, self.n, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+            self.forget()
         names = unique.tolist()
         new = np.array([i for i, k in enumerate(names) if k not in self.known], np.int64)
         if len(new):
@@ -231,6 +235,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([
                 *(batch.column(i) for i in range(len(names))), lists, pa.array(counts, mask=gone), pa.array((bytes_[last] - bytes_[last - counts]).astype(np.int64), mask=gone),
                 pa.array(sha, pa.string(), mask=gone), pa.array(same & ~gone)], names=schema.names)
+        fst.forget()
 
     schema = docs.limit(0).selectExpr("*", "array(0) ids", "0L n_ids", "0L n_byte_ids", "'' decoded_sha256", "true round_trip").schema
     return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, schema)
