@@ -205,7 +205,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             bodies.append(np.frombuffer(data, np.uint8, offset=8 + n * _HEAD.itemsize))
         head = np.concatenate(heads)
         buf = np.concatenate([*bodies, np.zeros(PAD, np.uint8)])
-        least = earliest(buf, head["size"], head["doc"])
+        # packs that share a passage send the same segment: each different one is sorted once
+        ends = np.cumsum(head["size"])
+        _, first, of = np.unique(span_hashes(buf, ends - head["size"], ends), return_index=True, return_inverse=True)
+        docs, sizes = np.full(len(first), NO_ID), head["size"][first]
+        np.minimum.at(docs, of, head["doc"])
+        own = np.concatenate([buf[ranges(ends[first] - sizes, ends[first])], np.zeros(PAD, np.uint8)])
+        least = earliest(own, sizes, docs)
+        stop = np.cumsum(sizes - LENGTH + 1)
+        least = least[ranges((stop - sizes + LENGTH - 1)[of], stop[of])]
         out, at = [], 0
         for h in heads:
             size = int((h["size"] - LENGTH + 1).sum())
