@@ -22,18 +22,42 @@ def prepare(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    A local one is made only where the session names none, as in tests.
+    A local one is made only where the session names none and runs on one machine, as in tests.
     """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="nameharbor-")
         context.setCheckpointDir(shared)
     return shared
 
 
+_listeners: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    for made in _listeners:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders that are handed out within the block, for a caller that knows when nobody reads them any more."""
+    made: list[str] = []
+    _listeners.append(made)
+    try:
+        yield made
+    finally:
+        _listeners[:] = [m for m in _listeners if m is not made]
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def written(rows: DataFrame, label: str, *folders: str, path: str | None = None) -> DataFrame:
@@ -53,6 +77,7 @@ def written(rows: DataFrame, label: str, *folders: str, path: str | None = None)
 def workspace(spark: SparkSession, label: str) -> Iterator[str]:
     """A folder for :func:`written` tables that nobody needs once the block is left."""
     path = fresh_path(spark, label)
-    yield path
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    try:
+        yield path
+    finally:
+        drop_folder(spark, path)
