@@ -10,7 +10,7 @@ from nameharbor.llm.ngram_join import one_of_each
 from nameharbor.llm.packing import packed
 from nameharbor.llm.quality_rules import quality_verdicts
 from nameharbor.llm.suffix_dedup import remove_repeats
-from nameharbor.session import written
+from nameharbor.session import drop_folder, recorded, written
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,26 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packed(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
-STAGES = [("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near_copies),
-          ("suffix-array dedup", passages), ("packing", packing)]
+#: Scratch folders of each stage. A stage starts when what the one before gave is written and read
+#: again, so those of the stages before it are dropped then.
+_scratch: dict[int, list[str]] = {}
+
+
+def _staged(place: int, stage):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        for earlier in range(place):
+            for path in _scratch.pop(earlier, []):
+                drop_folder(spark, path)
+        with recorded() as made:
+            out = stage(spark, docs, sf_dir)
+        _scratch.setdefault(place, []).extend(made)
+        return out
+
+    return run_stage
+
+
+STAGES = [(name, _staged(place, stage)) for place, (name, stage) in enumerate([
+    ("quality rules", quality), ("line dedup", lines), ("n-gram Jaccard join", near_copies), ("suffix-array dedup", passages), ("packing", packing)])]
 ORACLE_SQL = None  # neither the quality model nor the token ids can be said in SQL
 
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices
+from nameharbor.llm.slices import slices, small_batches
 from nameharbor.llm.texts import PAD, Texts
 
 #: Longest context in bytes, training documents of a language (about, chosen by a hash of the id),
@@ -156,6 +156,7 @@ def identify(docs: DataFrame, tree: ContextTree | None) -> DataFrame:
     ``score`` is its share of the probability of all. ``und`` and 0 for a null text, one without a
     letter, or without a model.
     """
+    small_batches(docs)
     docs = docs.drop("lang_pred", "score")
     names = docs.columns
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices
+from nameharbor.llm.slices import slices, small_batches
 from nameharbor.llm.texts import Texts, ranges, span_hashes
 from nameharbor.session import written
 
@@ -263,6 +263,7 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     histogram has ``window / 16`` entries at any size.
     """
     bins = window // STEP
+    small_batches(docs)
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
@@ -288,7 +289,7 @@ def packed(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
                 batch.column("doc_id"), pa.array(marks, pa.list_(pa.int64())), pa.array(counts),
                 pa.array(crcs, pa.list_(pa.int64())), pa.array([part] * n, pa.int32()), pa.array(bin_.astype(np.int32)), pa.array(rank),
                 pa.array(whole), pa.array(first)], ["doc_id", "marks", "n", "crcs", "part", "bin", "rank", "whole", "first"])
-        tokens.forget()
+        Tokens._of.clear()  # the next stage's worker needs the room
 
     lengths = written(docs.mapInArrow(measure, f"doc_id {kind}, marks array<long>, n long, crcs array<long>, part int, bin int, rank long, whole long, first long"), "packing-lengths")
     # places over all parts: counts of each part and bin, summed up along the parts

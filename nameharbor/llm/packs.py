@@ -18,6 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nameharbor.llm.slices import small_batches
 from nameharbor.llm.texts import Texts, mix
 from nameharbor.session import written
 
@@ -85,6 +86,7 @@ _PACK_ARROW = pa.schema([("pack", pa.int64()), ("n_docs", pa.int32()), ("n_bytes
 
 def packs_of(docs: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """The documents in packs, written to the shared folder. Every column but ``text`` is kept in ``rest``."""
+    small_batches(docs)
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(F.col("text").cast("string").alias("__text"), *others).mapInArrow(_pack_rows, SCHEMA)
     return written(rows, label, path=path)
@@ -101,6 +103,7 @@ def packs_in(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Pack, dict]]:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
             yield Pack(row), row
+    pa.default_memory_pool().release_unused()
 
 
 def dealt(packs: DataFrame, send: Callable[[Pack], Iterator[tuple[int, bytes]]], *columns: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices
+from nameharbor.llm.slices import slices, small_batches
 from nameharbor.llm.texts import Texts, mix, span_hashes, trimmed
 
 #: Labelled documents of each label that the field is trained on, about (chosen by a hash of the id).
@@ -218,6 +218,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     the field marks as content. Without labels to learn from, every line counts as content. Null and
     empty texts have no word and fail. Columns of ``docs`` with the names of the new ones are replaced.
     """
+    small_batches(docs)
     docs = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     field = fit_field(docs, labels, sample)
     names = docs.columns

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices
+from nameharbor.llm.slices import slices, small_batches
 from nameharbor.llm.texts import PAD, Texts, ranges, span_hashes
 
 #: Units (blanks and the word after them) whose pieces a task keeps.
@@ -212,6 +212,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     no count and is no round trip; an empty text has no ids. Columns with the new names are replaced.
     """
     added = ["ids", "n_ids", "n_byte_ids", "decoded_sha256", "round_trip"]
+    small_batches(docs)
     docs = docs.drop(*added)
     names = docs.columns
 

@@ -7,8 +7,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE_BYTES = 2 << 20
+#: Bytes of the Arrow batches between Spark and a Python worker.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(rows: DataFrame) -> DataFrame:
+    """The rows; from here on the session hands long rows to Python in batches of a few MB."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -20,3 +29,4 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             end = int(np.searchsorted(filled, (filled[at - 1] if at else 0) + limit, "right"))
             yield batch.slice(at, max(at + 1, end) - at)
             at = max(at + 1, end)
+    pa.default_memory_pool().release_unused()

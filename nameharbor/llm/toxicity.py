@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices
+from nameharbor.llm.slices import slices, small_batches
 from nameharbor.llm.texts import Texts, span_hashes
 from nameharbor.session import written
 
@@ -270,6 +270,7 @@ def toxicity(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
 
     Null and empty texts are scored as texts without a hit. Without a scorer the score is 0.
     """
+    small_batches(docs)
     docs = docs.drop("score", "predicted")
     names = docs.columns
 
