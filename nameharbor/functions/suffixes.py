@@ -17,8 +17,6 @@ from ..schemas import LEVELS
 from .names import is_ip, label_count, normalize_name
 
 _LIST_MEMBER = "mozilla/public-suffix-list.txt"
-#: The rule table is broadcast; a list longer than this is refused.
-MAX_RULES = 200_000
 
 _NORMAL, _WILD, _EXCEPTION = 1, 2, 4
 
@@ -56,8 +54,6 @@ def _rules_of(text: str | None, private: bool) -> tuple[tuple[str, int], ...]:
         # names on the wire are punycode, list entries are Unicode: keep both spellings
         for form in {base, base.encode("idna").decode("ascii")}:
             kinds[form] = kinds.get(form, 0) | kind
-    if len(kinds) > MAX_RULES:
-        raise ValueError(f"{len(kinds)} suffix rules, more than the {MAX_RULES} that are broadcast")
     return tuple(sorted(kinds.items()))
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .lookups import small_join
 
 
 def resume_indexes(entries: DataFrame, logs: DataFrame) -> DataFrame:
@@ -54,12 +53,12 @@ def index_ranges(
 
 
 def entries_in_ranges(entries: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Entries of each log within its range. One range row per log, broadcast when measured small."""
-    joined = small_join(entries, ranges, ["log_url"])
+    """Entries of each log within its range. One range row per log."""
+    joined = entries.join(ranges, "log_url")
     return joined.where("index >= start_index and index < end_index").drop("start_index", "end_index")
 
 
 def scan_from_time(entries: DataFrame, heads: DataFrame, since: Column) -> DataFrame:
     """Entries from the first index after a time to the end of the log."""
     start = indexes_by_time(entries, heads, start_index=since)
-    return small_join(entries, start, ["log_url"]).where("index >= start_index").drop("start_index")
+    return entries.join(start, "log_url").where("index >= start_index").drop("start_index")

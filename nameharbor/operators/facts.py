@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .lookups import small_join
 from .snapshots import event_columns
 
 
@@ -66,6 +65,6 @@ def log_facts(entries: DataFrame, certificates: DataFrame, logs: DataFrame) -> D
     """Every log entry, also of a certificate that was stored before, as a row of ``log_entries``."""
     keyed = _keyed(entries.drop("raw"), certificates, "sha256_fingerprint", "certificate_id")
     urls = logs.select(F.col("url").alias("log_url"), "id")
-    return small_join(keyed, urls.withColumnRenamed("id", "log_id"), ["log_url"]).select(
+    return keyed.join(urls.withColumnRenamed("id", "log_id"), "log_url").select(
         "index", F.col("ts").alias("timestamp"), "is_precert", "certificate_id", "log_id", "stage_id"
     )

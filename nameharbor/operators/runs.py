@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import TABLES
-from .lookups import small_join
 from .positions import running_count
 
 START, STOP = "measurement_start", "measurement_stop"
@@ -87,7 +86,7 @@ def with_stage(rows: DataFrame, current: DataFrame, source: str, payload: str) -
 
     ``current`` is ``muid, stage_id``, one row per open run.
     """
-    joined = small_join(rows, current.select("muid", "stage_id"), ["muid"], "left")
+    joined = rows.join(current.select("muid", "stage_id"), "muid", "left")
     missing = F.col("muid").isNull() | (F.col("muid") == "")
     reason = F.when(missing, "missing run id").otherwise("no active stage")
     bad = joined.where("stage_id is null").select(

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .lookups import small_join
 
 
 def filter_logs(
@@ -25,7 +24,7 @@ def select_tlds(available: DataFrame, included: DataFrame, excluded: DataFrame)
 
 def without_finished(rows: DataFrame, finished: DataFrame) -> DataFrame:
     """Rows of the TLDs that are not on the finished list."""
-    return small_join(rows, finished.select("tld").distinct(), ["tld"], "left_anti")
+    return rows.join(finished.select("tld").distinct(), "tld", "left_anti")
 
 
 def read_finished(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..schemas import EXPIRATION, FIRST_SEEN, REGISTRATION
 from ..session import written
-from .lookups import BROADCAST_ROWS, pinned_if_small, small_join
 
 
 def calendar_of(files: DataFrame) -> DataFrame:
@@ -21,9 +20,7 @@ def calendar_of(files: DataFrame) -> DataFrame:
     return days.withColumn("rank", rank)
 
 
-def zone_diff_events(
-    snapshots: DataFrame, files: DataFrame | None = None, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def zone_diff_events(snapshots: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """``tld, domain, event_type, snapshot_date`` out of successive snapshots.
 
     A domain of the first snapshot of a TLD is FIRST_SEEN. Later ones give
@@ -31,17 +28,13 @@ def zone_diff_events(
     dated by the later snapshot, when the next one lacks it. Pass ``files``
     when a snapshot may be empty, as it then has no row of its own.
 
-    Rows meet the calendar by broadcast, then move once, by TLD and domain.
-    Copies of a name within a snapshot fall together before that shuffle, and
-    a group is at most one number per snapshot of its TLD.
+    Copies of a name within a snapshot fall together before the shuffle by name. Whether the
+    calendar is broadcast is left to its size in bytes; else adaptive execution
+    splits the days of large TLDs. A group is at most one number per snapshot
+    of its TLD.
     """
-    calendar = calendar_of(snapshots if files is None else files)
-    small = pinned_if_small(calendar, max_rows)
-    calendar = written(calendar, "calendar") if small is None else small
-    ranked = small_join(
-        snapshots.select("tld", "snapshot_date", "domain"), calendar, ["tld", "snapshot_date"],
-        copies_matter=False, max_rows=max_rows,
-    )
+    calendar = written(calendar_of(snapshots if files is None else files), "calendar")
+    ranked = snapshots.select("tld", "snapshot_date", "domain").join(calendar, ["tld", "snapshot_date"])
     seen = ranked.groupBy("tld", "domain").agg(F.array_sort(F.collect_set("rank")).alias("ranks"))
     # came: not seen one snapshot before. gone: not seen one snapshot after, dated there.
     came = F.filter("ranks", lambda r, i: (i == 0) | (F.get("ranks", i - 1) != r - 1))
@@ -54,7 +47,7 @@ def zone_diff_events(
         "tld", "domain", F.inline(F.concat(F.transform(came, arrival), F.transform(gone, departure)))
     )
     # the rank after the last snapshot has no date, which drops departures from it
-    dated = small_join(events, calendar, ["tld", "rank"], max_rows=max_rows)
+    dated = events.join(calendar, ["tld", "rank"])
     return dated.select("tld", "domain", "event_type", "snapshot_date")
 
 

@@ -68,8 +68,12 @@ def accept(batch: Batch, current: DataFrame, rules: SuffixRules) -> tuple[dict[s
             rejects += [bad, bad_names]
     if batch.ct is not None:
         staged, bad = with_stage(facts.fingerprinted(batch.ct), current, "ct", "sha256_fingerprint")
-        accepted["ct"] = staged
-        rejects.append(bad)
+        readable = F.col("dns_names").isNotNull()
+        accepted["ct"] = staged.where(readable)
+        rejects += [bad, staged.where(~readable).select(
+            F.lit("ct").alias("source"), F.lit("unreadable certificate").alias("reason"),
+            F.col("sha256_fingerprint").cast("string").alias("payload"), "stage_id",
+        )]
     return accepted, rejects
 
 
@@ -122,7 +126,6 @@ class _Open:
     store: Store
     id: str
     hidden: list[str]
-    first: bool
     scratch: str
 
     def read(self, table: str) -> DataFrame:
@@ -146,17 +149,14 @@ def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anony
     ``twins`` can get new rows: the other tables are looked up, not written.
     """
     tables = [(level, twin) for level in LEVELS for twin in (dim.PLAIN, dim.ANON)]
-    looked_in = tables if not at.first else tables[:1]  # a first batch finds every table empty
     stored = reduce(DataFrame.unionByName, [
         at.read(_table(level, twin)).select(
             F.lit(twin).alias("twin"), F.lit(level).alias("level"), F.col(level).alias("name"), "id"
         )
-        for level, twin in looked_in
+        for level, twin in tables
     ])
-    known = dim.known_names(dim.level_names(names, anonymizer), stored)
-    if not at.first:
-        # three readers; the stored tables are looked through once
-        known = at.kept(known, "known")
+    # three readers; the stored tables are looked through once
+    known = at.kept(dim.known_names(dim.level_names(names, anonymizer), stored), "known")
     ids = at.kept(dim.resolve(known, stored), "ids", "twin", "level")
 
     def rows_of(level: str, twin: str) -> None:
@@ -165,12 +165,10 @@ def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anony
     def links_of(level: str) -> None:
         at.write(f"{LEVEL_TABLE[level]}_anon_links", _links(names, ids, level, anonymizer))
 
-    # a first batch of one kind finds nothing of the other kind to link to
-    linked = not at.first or len(twins) == 2
     _all_at_once(
         at.store.spark,
         *[partial(rows_of, level, twin) for level, twin in tables if twin in twins],
-        *[partial(links_of, level) for level in LEVELS if linked],
+        *[partial(links_of, level) for level in LEVELS],
     )
     return ids
 
@@ -206,7 +204,7 @@ def ingest(
     if opened is None:
         return
     with workspace(store.spark, "ingest") as scratch:
-        at = _Open(store, batch.id, opened.hidden, opened.first, scratch)
+        at = _Open(store, batch.id, opened.hidden, scratch)
         _ingest(at, batch, current, rules, anonymizer or Anonymizer())
         store.commit(batch.id)
 

@@ -702,7 +702,7 @@ def stream_ct_tail(t: Tables) -> DataFrame:
     stream = jobs.read_landed(t.spark, t.landing("documents"), t.table("documents").schema)
     store = streamed(t, "ct", stream, lambda rows: in_run(certificate_entries(rows)))
     logs = store.read("logs").select(F.col("id").alias("log_id"), F.col("url").alias("log_url"))
-    entries = store.read("log_entries").join(F.broadcast(logs), "log_id")
+    entries = store.read("log_entries").join(logs, "log_id")
     return entries.groupBy("log_url").agg(
         F.count("*").alias("n_entries"), F.countDistinct("certificate_id").alias("n_certificates"),
         (F.max("index") + 1).alias("resume_index"),

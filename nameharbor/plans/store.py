@@ -17,10 +17,9 @@ _BATCH = T.StructField("batch_id", T.StringType())
 
 @dataclass(frozen=True)
 class Opened:
-    """What the reads of an open batch leave out, and whether it is the store's first."""
+    """What the reads of an open batch leave out."""
 
     hidden: list[str]
-    first: bool
 
 
 class Store:
@@ -45,7 +44,9 @@ class Store:
         schema = T.StructType([_BATCH])
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}")
-        except AnalysisException:  # no mark of this kind yet
+        except AnalysisException as error:  # no mark of this kind yet
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema).where("false")
 
     def _mark(self, kind: str, batch: str) -> None:
@@ -57,12 +58,11 @@ class Store:
         state = self._batches().agg(
             F.collect_set(F.when(~F.col("done"), F.col("batch_id"))).alias("open"),
             F.coalesce(F.bool_or(F.col("done") & (F.col("batch_id") == batch)), F.lit(False)).alias("done"),
-            (~F.coalesce(F.bool_or("done"), F.lit(False))).alias("first"),
         ).first()
         if state.done:
             return None
         self._mark("begins", batch)
-        return Opened(sorted({*state.open, batch}), state.first)
+        return Opened(sorted({*state.open, batch}))
 
     def commit(self, batch: str) -> None:
         self._mark("commits", batch)
@@ -84,7 +84,9 @@ class Store:
         schema = TABLES[name]
         try:
             rows = self.spark.read.schema(T.StructType([*schema.fields, _BATCH])).parquet(f"{self.path}/{name}")
-        except AnalysisException:  # no batch has written this table yet
+        except AnalysisException as error:  # no batch has written this table yet
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], schema).where("false")
         hidden = self.open_batches() if hidden is None else hidden
         if hidden:

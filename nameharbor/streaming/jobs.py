@@ -17,7 +17,6 @@ from ..functions.pseudonyms import Anonymizer
 from ..functions.suffixes import SuffixRules
 from ..functions.times import from_unix_ms
 from ..operators.dimensions import new_rows
-from ..operators.lookups import small_join
 from ..operators.metrics import interval_counts
 from ..operators.snapshots import zone_diff_events
 from ..plans.ingest import Batch, ingest
@@ -108,26 +107,25 @@ def zone_diff_step(path: str) -> Step:
             newest = heads.groupBy("tld").agg(
                 F.max("snapshot_date").alias("snapshot_date"), F.max_by("batch", "snapshot_date").alias("batch")
             )
-            touched = small_join(newest, rows.select("tld").distinct(), ["tld"], "left_semi")
+            touched = newest.join(rows.select("tld").distinct(), "tld", "left_semi")
             touched = written(touched, "heads", path=scratch)
             # one short string per batch that holds a newest snapshot: prunes the folders to read
             folders = [row.batch for row in touched.select("batch").distinct().toLocalIterator()]
-            kept = small_join(
-                store.read("zone_state", hidden, only=folders), touched.select("tld", "snapshot_date"),
-                ["tld", "snapshot_date"], "left_semi",
+            kept = store.read("zone_state", hidden, only=folders).join(
+                touched.select("tld", "snapshot_date"), ["tld", "snapshot_date"], "left_semi"
             )
             fresh = rows.select("tld", "snapshot_date", "domain")
             files = touched.select("tld", "snapshot_date").unionByName(fresh.select("tld", "snapshot_date").distinct())
             events = zone_diff_events(fresh.unionByName(kept), files)
             # a kept snapshot has been first in its day already
             known = touched.select("tld", F.lit(True).alias("known"))
-            events = small_join(events, known, ["tld"], "left").where(
+            events = events.join(known, "tld", "left").where(
                 (F.col("event_type") != FIRST_SEEN) | F.col("known").isNull()
             )
             store.write("zone_events", batch, events)
             last = fresh.groupBy("tld").agg(F.max("snapshot_date").alias("snapshot_date"))
             last = written(last, "last", path=scratch)
-            state = small_join(fresh, last, ["tld", "snapshot_date"], "left_semi").distinct()
+            state = fresh.join(last, ["tld", "snapshot_date"], "left_semi").distinct()
             store.write("zone_state", batch, state)
             store.write("zone_heads", batch, last.withColumn("batch", F.lit(batch)))
             store.commit(batch)

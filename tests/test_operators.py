@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from nameharbor.operators import ct, facts, metrics, runs, selections, snapshots
 from nameharbor.operators import dimensions as dim
-from nameharbor.operators.lookups import pinned_if_small, small_join
 from nameharbor.operators.positions import running_count, with_positions
 from nameharbor.plans import vantage
 
@@ -39,14 +38,13 @@ def diff_by_hand(pairs, calendar):
     return sorted(out)
 
 
-@pytest.mark.parametrize("max_rows", [1000, 1])
-def test_differ_against_set_differences(spark, max_rows):
+def test_differ_against_set_differences(spark):
     rng = random.Random(3)
     days = [f"2024-01-{d:02d}" for d in (1, 2, 4, 9, 10, 11, 20)]
     pairs = [(t, d, f"n{n}.{t}") for t in ("com", "net") for d in days for n in range(30) if rng.random() < 0.5]
     pairs += pairs[:50]  # copies within a snapshot
     calendar = {(t, d) for t, d, _ in pairs}
-    found = snapshots.zone_diff_events(snaps(spark, *pairs), max_rows=max_rows)
+    found = snapshots.zone_diff_events(snaps(spark, *pairs))
     assert plain(found) == diff_by_hand(pairs, calendar)
 
 
@@ -108,15 +106,13 @@ def test_event_columns(spark, rows):
     assert rows(out) == [("EXPIRATION", False, True), ("FIRST_SEEN", False, False), ("REGISTRATION", True, False)]
 
 
-def test_small_join_measures_before_it_broadcasts(spark, rows):
-    big = spark.range(100).select((F.col("id") % 3).alias("k"), "id")
-    table = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, v string")
-    assert pinned_if_small(table, 2) is not None and pinned_if_small(table, 1) is None
-    for how in ("inner", "left", "left_semi", "left_anti"):
-        small, large = small_join(big, table, ["k"], how), small_join(big, table, ["k"], how, max_rows=1)
-        assert rows(small) == rows(large)
-        assert rows(small) == rows(big.join(table, "k", how))
-    assert "Broadcast" in small_join(big, table, ["k"])._jdf.queryExecution().executedPlan().toString()
+def test_adaptive_execution_picks_the_join_by_size(spark):
+    entries = spark.range(1000).selectExpr("concat('log', id % 3) AS log_url", "id AS index")
+    ranges = spark.range(3).selectExpr("concat('log', id) AS log_url", "id * 2 AS start_index", "10L AS end_index")
+    found = ct.entries_in_ranges(entries, ranges)
+    assert found.count() == sum(1 for i in range(10) if i >= (i % 3) * 2)
+    found.collect()
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_hot_name_is_split_when_it_meets_its_dimension(spark):
