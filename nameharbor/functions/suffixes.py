@@ -97,6 +97,9 @@ def with_domain_parts(rows: DataFrame, name: Column | str, rules: SuffixRules) -
 
 def reject_reason(name: Column) -> Column:
     """Why a name cannot be stored; null for a good one."""
-    return F.when(name.isNull(), F.lit("missing name")).when(
-        is_ip(normalize_name(name)), F.lit("name is an IP address")
+    full = normalize_name(name)
+    gap = (full == "") | full.startswith(".") | full.contains("..")
+    return (
+        F.when(name.isNull(), F.lit("missing name")).when(is_ip(full), F.lit("name is an IP address"))
+        .when(gap, F.lit("name has an empty label"))
     )

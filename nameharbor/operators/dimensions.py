@@ -74,6 +74,40 @@ def with_ids(names: DataFrame, name: str, first: int = 1, column: str = "id", wi
     )
 
 
+#: hash buckets that repeated rows are numbered in, and rows one task writes out for one value
+ROW_BUCKETS, ROW_RUN = 1 << 16, 1 << 16
+
+
+def with_row_ids(rows: DataFrame, first: int, column: str = "id") -> DataFrame:
+    """Dense ids from ``first`` for rows that may repeat.
+
+    Copies merge before the shuffle and are one row while they are numbered, by
+    hash bucket and value; then each is written out again, in runs that are
+    spread over the tasks. The ids depend on the rows only, so a replayed batch
+    gives the same.
+    """
+    columns = rows.columns
+    merged = rows.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    merged = merged.withColumn("_bucket", F.pmod(F.xxhash64(*columns), F.lit(ROW_BUCKETS)))
+    # at most ROW_BUCKETS rows
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = merged.groupBy("_bucket").agg(F.sum("_copies").alias("_size"))
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_bucket").orderBy(*columns).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.coalesce(F.sum("_copies").over(within), F.lit(0))
+    start = F.lit(first).cast("bigint") + F.col("_before") + place
+    runs = F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {ROW_RUN}"))
+    spread = (
+        merged.join(F.broadcast(offsets), "_bucket").withColumn("_start", start)
+        .select(*columns, "_start", "_copies", F.explode(runs).alias("_run")).repartition("_start", "_run")
+    )
+    ids = F.sequence(
+        F.col("_start") + F.col("_run") * ROW_RUN,
+        F.col("_start") + F.least(F.col("_copies"), (F.col("_run") + 1) * ROW_RUN) - 1,
+    )
+    return spread.select(*columns, F.explode(ids).alias(column))
+
+
 def level_names(sightings: DataFrame, anonymizer: Anonymizer) -> DataFrame:
     """``twin, level, name, create`` of all levels in a batch, plain and as pseudonyms.
 
@@ -104,17 +138,16 @@ def known_names(wanted: DataFrame, stored: DataFrame) -> DataFrame:
     return wanted.join(hits, _NAME, "left")
 
 
-def resolve(known: DataFrame, stored: DataFrame) -> DataFrame:
+def resolve(known: DataFrame, highest: dict[tuple[str, str], int]) -> DataFrame:
     """``twin, level, name, id, is_new``: the stored names, and new ones to create.
 
-    ``stored`` is ``twin, level, name, id``. New ids go on from the highest of their table.
+    New ids go on from ``highest``, by twin and level.
     """
     fresh = with_ids(known.where("id is null and create").select(*_NAME), "name", within=("twin", "level"))
-    # one row per table
-    highest = stored.groupBy("twin", "level").agg(F.max("id").alias("_highest"))
-    fresh = fresh.join(F.broadcast(highest), ["twin", "level"], "left").select(
-        *_NAME, (F.col("id") + F.coalesce("_highest", F.lit(0))).alias("id"), F.lit(True).alias("is_new")
-    )
+    base = F.lit(0)
+    for (twin, level), last in highest.items():
+        base = F.when((F.col("twin") == twin) & (F.col("level") == level), F.lit(last)).otherwise(base)
+    fresh = fresh.select(*_NAME, (F.col("id") + base).alias("id"), F.lit(True).alias("is_new"))
     return known.where("id is not null").select(*_NAME, "id", F.lit(False).alias("is_new")).unionByName(fresh)
 
 

@@ -41,15 +41,16 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def name_hits(sightings: DataFrame, ts: str, interval: str = INTERVAL) -> DataFrame:
     """Names of each level stored (``db-insert``) or met again (``db-hit``) per interval: ``ts, status, type, n``.
 
-    A name counts once per interval. Its intervals are merged before the
-    shuffle, so a hot name is as many values as there are intervals.
+    A name counts once per interval. Copies merge before the shuffle, and a
+    name's intervals stay rows of their own.
     """
     start = F.window(ts, interval)["start"]
     names = F.explode(F.array(*[
         F.struct(F.lit(level.replace("_", "-")).alias("type"), F.col(level).alias("name")) for level in LEVELS
     ]))
     rows = sightings.select(start.alias("start"), *LEVELS).select("start", names.alias("n")).select("start", "n.*")
-    seen = rows.groupBy("type", "name").agg(F.collect_set("start").alias("starts"))
-    each = seen.select("type", F.array_min("starts").alias("first"), F.explode("starts").alias(ts))
+    seen = rows.groupBy("type", "name", F.col("start").alias(ts)).count()
+    firsts = rows.groupBy("type", "name").agg(F.min("start").alias("first"))
+    each = seen.join(firsts, ["type", "name"])
     status = F.when(F.col(ts) == F.col("first"), "db-insert").otherwise("db-hit")
     return each.select(ts, status.alias("status"), "type", F.lit(1).alias("n"))

@@ -126,6 +126,7 @@ class _Open:
     store: Store
     id: str
     hidden: list[str]
+    highest: dict[str, int]
     scratch: str
 
     def read(self, table: str) -> DataFrame:
@@ -135,8 +136,10 @@ class _Open:
         self.store.write(table, self.id, rows)
 
     def write_facts(self, table: str, rows: DataFrame) -> None:
-        """Facts need an id that is unique within their batch only; nothing refers to it."""
-        self.write(table, rows.withColumn("id", F.monotonically_increasing_id()))
+        self.write(table, dim.with_row_ids(rows, self.next_id(table)))
+
+    def next_id(self, table: str) -> int:
+        return self.highest.get(table, 0) + 1
 
     def kept(self, rows: DataFrame, label: str, *folders: str) -> DataFrame:
         return written(rows, label, *folders, path=self.scratch)
@@ -155,9 +158,10 @@ def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anony
         )
         for level, twin in tables
     ])
-    # three readers; the stored tables are looked through once
+    # two readers; the stored tables are looked through once
     known = at.kept(dim.known_names(dim.level_names(names, anonymizer), stored), "known")
-    ids = at.kept(dim.resolve(known, stored), "ids", "twin", "level")
+    highest = {(twin, level): at.next_id(_table(level, twin)) - 1 for level, twin in tables}
+    ids = at.kept(dim.resolve(known, highest), "ids", "twin", "level")
 
     def rows_of(level: str, twin: str) -> None:
         at.write(_table(level, twin), _level_rows(names, ids, level, twin, anonymizer))
@@ -177,14 +181,14 @@ def _store_certificates(at: _Open, entries: DataFrame, parts: DataFrame, fqdns:
     urls = entries.groupBy(F.col("log_url").alias("url")).agg(F.min("description").alias("description"))
     known_logs = at.read("logs")
     new_logs = dim.new_rows(urls, known_logs, "url")
-    logs = at.kept(dim.with_ids(new_logs, "url", at.store.next_id("logs", at.hidden)), "logs")
+    logs = at.kept(dim.with_ids(new_logs, "url", at.next_id("logs")), "logs")
     at.write("logs", logs)
 
     key = "sha256_fingerprint"
     stored = at.read("certificates").select(key, "id")
     fresh = dim.new_rows(entries.select(key).distinct(), stored, key)
     # lookup and numbering see fingerprints only; the bytes join as they are written
-    numbered = dim.with_ids(fresh, key, at.store.next_id("certificates", at.hidden))
+    numbered = dim.with_ids(fresh, key, at.next_id("certificates"))
     numbered = at.kept(numbered, "certificate-ids")
     hits = stored.join(entries.select(key).distinct(), key, "left_semi")
     rows = facts.log_facts(entries, hits.unionByName(numbered), known_logs.select("id", "url").unionByName(logs.select("id", "url")))
@@ -197,16 +201,18 @@ def _store_certificates(at: _Open, entries: DataFrame, parts: DataFrame, fqdns:
 
 
 def ingest(
-    store: Store, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer | None = None
+    store: Store, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer | None = None,
+    more: dict[str, DataFrame] | None = None,
 ) -> None:
-    """Store a batch. ``current`` is ``muid, stage_id`` of the open runs."""
-    opened = store.begin(batch.id)
-    if opened is None:
-        return
-    with workspace(store.spark, "ingest") as scratch:
-        at = _Open(store, batch.id, opened.hidden, scratch)
-        _ingest(at, batch, current, rules, anonymizer or Anonymizer())
-        store.commit(batch.id)
+    """Store a batch. ``current`` is ``muid, stage_id`` of the open runs; ``more`` goes into other tables as it is."""
+    with store.batch(batch.id) as opened:
+        if opened is None:
+            return
+        with workspace(store.spark, "ingest") as scratch:
+            at = _Open(store, batch.id, opened.hidden, opened.highest, scratch)
+            _ingest(at, batch, current, rules, anonymizer or Anonymizer())
+            for table, rows in (more or {}).items():
+                at.write(table, rows)
 
 
 def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer) -> None:

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+import threading
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +17,28 @@ from pyspark.sql import types as T
 
 from ..operators.dimensions import next_id
 from ..schemas import LEVEL_TABLE, TABLES
+from ..session import drop_folder
 
 _BATCH = T.StructField("batch_id", T.StringType())
+#: a mark; a commit also notes the highest id the batch gave in each table
+_MARK = T.StructType([_BATCH, T.StructField("highest", T.MapType(T.StringType(), T.LongType()))])
+_NUMBERED = [name for name, schema in TABLES.items() if "id" in schema.names]
+
+#: stores that a batch of this process is writing
+_held: set[str] = set()
+_lock = threading.Lock()
+
+
+class StoreBusy(RuntimeError):
+    """Another batch is being written into the store."""
 
 
 @dataclass(frozen=True)
 class Opened:
-    """What the reads of an open batch leave out."""
+    """What the reads of an open batch leave out, and the highest ids it goes on from."""
 
     hidden: list[str]
+    highest: dict[str, int] = field(default_factory=dict)
 
 
 class Store:
@@ -28,48 +47,147 @@ class Store:
     A batch marks its begin, writes its own ``batch_id`` folder of each table
     and marks its commit last. Readers leave out batches that have begun and
     not committed: a handful, however many batches there are. Repeating an
-    open batch overwrites its folders. One writer at a time.
+    open batch overwrites its folders.
+
+    One batch at a time: :meth:`begin` makes a claim file, which only one of
+    several writers can, and another batch waits up to ``wait`` seconds before
+    it is refused with :class:`StoreBusy`. A batch that died with its process
+    keeps the claim until it runs again or :meth:`release` is called.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, wait: float = 0):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.wait = wait
 
     def create(self) -> None:
         """Make every table, empty."""
         for name, schema in TABLES.items():
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{self.path}/{name}/batch_id=none")
 
+    @property
+    def _claim(self) -> str:
+        return f"{self.path}/writer.claim"
+
+    def _claimed(self, batch: str) -> bool:
+        """Make the claim file, or take over the one the same batch has left."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._claim)
+        files = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        try:
+            if files.getUri().getScheme() == "file":  # the JVM's own create does not exclude others there
+                local = path.toUri().getPath()
+                os.makedirs(os.path.dirname(local), exist_ok=True)
+                with open(local, "x") as out:
+                    out.write(batch)
+            else:
+                out = files.create(path, False)
+                out.write(bytearray(batch.encode()))
+                out.close()
+            return True
+        except Exception:
+            if not files.exists(path):
+                raise
+            holder = self.spark.read.text(self._claim).first()
+            return holder is not None and holder.value == batch
+
+    def claim(self, batch: str) -> None:
+        """Keep other batches out, or raise :class:`StoreBusy`."""
+        until = time.monotonic() + self.wait
+        while True:
+            with _lock:
+                free = self.path not in _held
+                if free:
+                    _held.add(self.path)
+            if free:
+                claimed = False
+                try:
+                    claimed = self._claimed(batch)
+                finally:
+                    if not claimed:
+                        _held.discard(self.path)
+                if claimed:
+                    return
+            if time.monotonic() >= until:
+                raise StoreBusy(f"{self.path} is being written by another batch than {batch!r}")
+            time.sleep(0.5)
+
+    def release(self) -> None:
+        """Let other batches in."""
+        drop_folder(self.spark, self._claim)
+        _held.discard(self.path)
+
     def _marks(self, kind: str) -> DataFrame:
-        schema = T.StructType([_BATCH])
+        return self._parquet(kind, _MARK)
+
+    def _found(self, folder: str, schema: T.StructType) -> DataFrame | None:
+        """Rows of a folder, None where nothing has been written yet."""
         try:
-            return self.spark.read.schema(schema).parquet(f"{self.path}/{kind}")
-        except AnalysisException as error:  # no mark of this kind yet
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{folder}")
+        except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema).where("false")
+            return None
+
+    def _parquet(self, folder: str, schema: T.StructType) -> DataFrame:
+        rows = self._found(folder, schema)
+        return self.spark.createDataFrame([], schema).where("false") if rows is None else rows
 
-    def _mark(self, kind: str, batch: str) -> None:
-        row = self.spark.createDataFrame([(batch,)], T.StructType([_BATCH]))
+    def _mark(self, kind: str, batch: str, highest: dict[str, int] | None = None) -> None:
+        row = self.spark.createDataFrame([(batch, highest)], _MARK)
         row.coalesce(1).write.mode("append").parquet(f"{self.path}/{kind}")
 
     def begin(self, batch: str) -> Opened | None:
-        """Open a batch, or None when it has committed already."""
-        state = self._batches().agg(
-            F.collect_set(F.when(~F.col("done"), F.col("batch_id"))).alias("open"),
-            F.coalesce(F.bool_or(F.col("done") & (F.col("batch_id") == batch)), F.lit(False)).alias("done"),
-        ).first()
-        if state.done:
-            return None
-        self._mark("begins", batch)
-        return Opened(sorted({*state.open, batch}))
+        """Claim the store for a batch, or None when that has committed already."""
+        self.claim(batch)
+        try:
+            state = self._batches().agg(
+                F.collect_set(F.when(~F.col("done"), F.col("batch_id"))).alias("open"),
+                F.coalesce(F.bool_or(F.col("done") & (F.col("batch_id") == batch)), F.lit(False)).alias("done"),
+            ).first()
+            if not state.done:
+                hidden = sorted({*state.open, batch})
+                self._mark("begins", batch)
+                return Opened(hidden, self.highest(hidden))
+        except BaseException:
+            self.release()
+            raise
+        self.release()
+        return None
 
     def commit(self, batch: str) -> None:
-        self._mark("commits", batch)
+        own = {name: self._found(f"{name}/batch_id={batch}", T.StructType([TABLES[name]["id"]])) for name in _NUMBERED}
+        try:
+            self._mark("commits", batch, _highest(own))
+        finally:
+            self.release()
+
+    @contextmanager
+    def batch(self, batch: str) -> Iterator[Opened | None]:
+        """An open batch that commits at the end of the block; None for a committed one."""
+        opened = self.begin(batch)
+        if opened is None:
+            yield None
+            return
+        try:
+            yield opened
+        except BaseException:
+            self.release()
+            raise
+        self.commit(batch)
+
+    def highest(self, hidden: list[str] | None = None) -> dict[str, int]:
+        """Highest id of every table: from the commit marks, from the rows where no mark names the table."""
+        pairs = self._marks("commits").select(F.explode("highest").alias("table", "id"))
+        noted = {r.table: r.id for r in pairs.groupBy("table").agg(F.max("id").alias("id")).collect()}  # one row per table
+        hidden = self.open_batches() if hidden is None else hidden
+        ids = T.StructType([T.StructField("id", T.LongType()), _BATCH])
+        rest = {name: self._found(name, ids) for name in _NUMBERED if name not in noted}
+        shown = {name: rows if rows is None or not hidden else rows.where(~F.col("batch_id").isin(hidden)) for name, rows in rest.items()}
+        return _highest(shown) | noted
 
     def _batches(self) -> DataFrame:
-        begun = self._marks("begins").withColumn("done", F.lit(False))
-        marks = begun.unionByName(self._marks("commits").withColumn("done", F.lit(True)))
+        begun = self._marks("begins").select("batch_id", F.lit(False).alias("done"))
+        marks = begun.unionByName(self._marks("commits").select("batch_id", F.lit(True).alias("done")))
         return marks.groupBy("batch_id").agg(F.bool_or("done").alias("done"))
 
     def open_batches(self) -> list[str]:
@@ -82,12 +200,7 @@ class Store:
         ``hidden`` is what :meth:`begin` gave; ``only`` keeps to some batches.
         """
         schema = TABLES[name]
-        try:
-            rows = self.spark.read.schema(T.StructType([*schema.fields, _BATCH])).parquet(f"{self.path}/{name}")
-        except AnalysisException as error:  # no batch has written this table yet
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], schema).where("false")
+        rows = self._parquet(name, T.StructType([*schema.fields, _BATCH]))
         hidden = self.open_batches() if hidden is None else hidden
         if hidden:
             rows = rows.where(~F.col("batch_id").isin(hidden))
@@ -109,3 +222,12 @@ class Store:
         hidden = self.open_batches()
         links = self.read(f"{table}_links", hidden).withColumnRenamed("anon_id", "id")
         return self.read(table, hidden).join(links, "id", "left")
+
+
+def _highest(tables: dict[str, DataFrame | None]) -> dict[str, int]:
+    """Highest ``id`` of each table that has one, in one job and one shuffle."""
+    each = [rows.select(F.lit(name).alias("table"), "id") for name, rows in tables.items() if rows is not None]
+    if not each:
+        return {}
+    found = reduce(DataFrame.unionByName, each).groupBy("table").agg(F.max("id").alias("id")).collect()
+    return {r.table: r.id for r in found if r.id is not None}

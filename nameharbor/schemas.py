@@ -64,6 +64,8 @@ TABLES: dict[str, T.StructType] = {
     "zone_state": _struct("tld string, snapshot_date date, domain string"),
     "zone_heads": _struct("tld string, snapshot_date date, batch string"),
     "known_names": _struct("fqdn string"),
+    # TLDs whose snapshots have been diffed
+    "finished_tlds": _struct("tld string"),
     "rejects": _struct("source string, reason string, payload string, stage_id bigint"),
 }
 for _level, _table in LEVEL_TABLE.items():

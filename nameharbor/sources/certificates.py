@@ -80,14 +80,18 @@ def decode_leaves(entries: DataFrame) -> DataFrame:
 
 
 def split_leaves(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Entries with a certificate, and the others as rejects."""
-    supported = F.col("entry_type").isin(_CERTIFICATE, _PRECERTIFICATE)
-    reason = F.when(F.coalesce(supported, F.lit(False)), "bad leaf").otherwise("unsupported entry type")
-    bad = decoded.where("raw is null").select(
+    """Entries with a certificate and an index, and the others as rejects."""
+    kind = F.col("entry_type")
+    unsupported = kind.isNotNull() & ~kind.isin(_CERTIFICATE, _PRECERTIFICATE)
+    reason = (
+        F.when(unsupported, "unsupported entry type").when(F.col("raw").isNull(), "bad leaf").otherwise("no index")
+    )
+    lost = F.col("raw").isNull() | F.col("index").isNull()
+    bad = decoded.where(lost).select(
         F.lit("ct").alias("source"), reason.alias("reason"), F.col("leaf_input").alias("payload"),
         F.lit(None).cast("bigint").alias("stage_id"),
     )
-    return decoded.where("raw is not null").drop("leaf_input"), bad
+    return decoded.where(~lost).drop("leaf_input"), bad
 
 
 # --- names in a certificate ---

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import once
+from ..functions.times import PASSIVE_SHIFT, shifted
 
 
 def string_or_array(doc: Column, path: str) -> Column:
@@ -37,5 +38,7 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "false").text(path)
 
 
-def read_passive(spark: SparkSession, path: str) -> DataFrame:
-    return parse_log_lines(read_log_lines(spark, path))
+def read_passive(spark: SparkSession, path: str, shift: str = PASSIVE_SHIFT) -> tuple[DataFrame, DataFrame]:
+    """Queries of a folder with their time moved by ``shift``, and its unreadable lines as rejects."""
+    lines = read_log_lines(spark, path)
+    return parse_log_lines(lines).withColumn("ts", shifted(F.col("ts"), shift)), unreadable_lines(lines)

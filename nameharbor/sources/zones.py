@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -239,8 +240,55 @@ def list_domains(
     return rows.select("tld", "snapshot_date", domain.alias("domain"))
 
 
-#: how the snapshots of a TLD are written; anything not named here is a zone file
-READERS: dict[str, str] = {"dk": "list"}
+#: reads the snapshots of some TLDs: ``(spark, path, start, end, wanted) -> (domains, rejects)``, where
+#: ``wanted`` is a condition on ``tld``; domains are ``tld, snapshot_date, domain``, rejects those of :func:`rejected`
+Reader = Callable[[SparkSession, str, str | None, str | None, Column], tuple[DataFrame, DataFrame]]
+
+
+def rejected(records: DataFrame) -> DataFrame:
+    """Lines that are no record, with the TLD of their file."""
+    return records.where("rr_type is null").select(
+        F.lit("zone").alias("source"), F.lit("unreadable record").alias("reason"), F.col("value").alias("payload"),
+        F.lit(None).cast("bigint").alias("stage_id"), "tld",
+    )
+
+
+def _parsed(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return snapshot_domains(records.where("rr_type is not null")), rejected(records)
+
+
+def zone_file_reader(
+    spark: SparkSession, path: str, start: str | None, end: str | None, wanted: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Zone files of any form."""
+    return _parsed(master_file_records(record_lines(spark, path, start, end).where(wanted)))
+
+
+def absolute_reader(
+    spark: SparkSession, path: str, start: str | None, end: str | None, wanted: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Zone files whose every line spells out its owner; read in the JVM. Fails on a line that leans on others."""
+    value = F.col("value")
+    leans = value.rlike(r"^\$(?i:ORIGIN|INCLUDE)") | value.rlike(r"^\s+[^\s;]") | value.rlike(r"^[^\s;$]*[^\s;$.]\s+\S+\s+\S")
+    checked = F.when(leans, F.raise_error(F.concat(F.lit("not an absolute record: "), value))).otherwise(value)
+    lines = record_lines(spark, path, start, end).where(wanted)
+    return _parsed(absolute_records(lines.withColumn("value", checked.cast("string"))))
+
+
+def list_reader(
+    spark: SparkSession, path: str, start: str | None, end: str | None, wanted: Column
+) -> tuple[DataFrame, DataFrame]:
+    """Lists of names; no line of one is turned away."""
+    listed = list_domains(spark, path, start, end).where(wanted)
+    names = listed.select("tld", "snapshot_date", F.lower("domain").alias("domain")).where("domain <> tld")
+    nothing = spark.createDataFrame(
+        [], "source string, reason string, payload string, stage_id bigint, tld string"
+    ).where("false")
+    return names.distinct(), nothing
+
+
+#: how the snapshots of a TLD are written; anything not named here goes to the default reader
+READERS: dict[str, Reader] = {"dk": list_reader}
 
 
 def read_snapshots(
@@ -248,20 +296,18 @@ def read_snapshots(
     path: str,
     start: str | None = None,
     end: str | None = None,
-    readers: dict[str, str] | None = None,
-    master_files: bool = False,
-) -> DataFrame:
-    """``tld, snapshot_date, domain`` of a directory, each TLD by its own reader.
-
-    ``master_files`` reads zone files with relative or omitted owners; without
-    it every line must spell out its owner and the parse stays in the JVM.
-    """
-    lists = [tld for tld, kind in (READERS if readers is None else readers).items() if kind == "list"]
-    lines = record_lines(spark, path, start, end).where(~F.col("tld").isin(lists))
-    records = (master_file_records if master_files else absolute_records)(lines)
-    listed = list_domains(spark, path, start, end).where(F.col("tld").isin(lists))
-    listed = listed.select("tld", "snapshot_date", F.lower("domain").alias("domain"))
-    return snapshot_domains(records).unionByName(listed.where("domain <> tld").distinct())
+    readers: dict[str, Reader] | None = None,
+    default: Reader = zone_file_reader,
+) -> tuple[DataFrame, DataFrame]:
+    """``tld, snapshot_date, domain`` of a directory, each TLD by its own reader, and the lines turned away."""
+    readers = READERS if readers is None else readers
+    named: dict[Reader, list[str]] = {}
+    for tld, reader in readers.items():
+        named.setdefault(reader, []).append(tld)
+    parts = [reader(spark, path, start, end, F.col("tld").isin(tlds)) for reader, tlds in named.items()]
+    parts.append(default(spark, path, start, end, ~F.col("tld").isin(list(readers))))
+    domains, rejects = zip(*parts, strict=True)
+    return reduce(DataFrame.unionByName, domains), reduce(DataFrame.unionByName, rejects)
 
 
 def land_snapshots(lines: DataFrame, path: str, mode: str = "append") -> None:

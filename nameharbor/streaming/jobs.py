@@ -76,15 +76,21 @@ def sightings_of(source: str, records: DataFrame) -> DataFrame:
 
 
 def ingest_step(
-    path: str, source: str, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer | None = None,
-    sightings: Callable[[DataFrame], DataFrame] | None = None,
+    path: str, source: str, current: DataFrame | Callable[[Store], DataFrame], rules: SuffixRules,
+    anonymizer: Anonymizer | None = None, sightings: Callable[[DataFrame], DataFrame] | None = None, wait: float = 600,
 ) -> Step:
-    """Store a micro-batch of one source. ``sightings`` replaces the reading of landed records."""
+    """Store a micro-batch of one source. ``sightings`` replaces the reading of landed records.
+
+    ``current`` as a function, such as :func:`..plans.runs.current_stage_ids`, is
+    asked in every micro-batch, so runs that start later are known. Streams
+    into one store wait ``wait`` seconds for each other.
+    """
 
     def step(rows: DataFrame, batch: str) -> None:
-        store = Store(prepare(rows.sparkSession), path)
+        store = Store(prepare(rows.sparkSession), path, wait)
         seen = sightings(rows) if sightings else sightings_of(source, rows)
-        ingest(store, Batch(batch, **{source: seen}), current, rules, anonymizer)
+        now = current(store) if callable(current) else current
+        ingest(store, Batch(batch, **{source: seen}), now, rules, anonymizer)
 
     return step
 
@@ -98,11 +104,10 @@ def zone_diff_step(path: str) -> Step:
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        opened = store.begin(batch)
-        if opened is None:
-            return
-        hidden = opened.hidden
-        with workspace(store.spark, "diff") as scratch:
+        with store.batch(batch) as opened, workspace(store.spark, "diff") as scratch:
+            if opened is None:
+                return
+            hidden = opened.hidden
             heads = store.read("zone_heads", hidden)
             newest = heads.groupBy("tld").agg(
                 F.max("snapshot_date").alias("snapshot_date"), F.max_by("batch", "snapshot_date").alias("batch")
@@ -128,7 +133,6 @@ def zone_diff_step(path: str) -> Step:
             state = fresh.join(last, ["tld", "snapshot_date"], "left_semi").distinct()
             store.write("zone_state", batch, state)
             store.write("zone_heads", batch, last.withColumn("batch", F.lit(batch)))
-            store.commit(batch)
 
     return step
 
@@ -138,11 +142,10 @@ def known_names_step(path: str) -> Step:
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        opened = store.begin(batch)
-        if opened is not None:
-            names = rows.select("fqdn").distinct()
-            store.write("known_names", batch, new_rows(names, store.read("known_names", opened.hidden), "fqdn"))
-            store.commit(batch)
+        with store.batch(batch) as opened:
+            if opened is not None:
+                names = rows.select("fqdn").distinct()
+                store.write("known_names", batch, new_rows(names, store.read("known_names", opened.hidden), "fqdn"))
 
     return step
 

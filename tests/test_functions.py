@@ -126,9 +126,10 @@ def test_normalizing(spark, given_names):
 
 
 def test_rejects(spark):
-    frame = spark.createDataFrame([("1.2.3.4.",), (None,), ("a.com",)], "name string")
+    frame = spark.createDataFrame([("1.2.3.4.",), (None,), ("a.com",), ("..a.com",), (".",), ("a..com",), (".a.com.",)], "name string")
     reasons = [r.r for r in frame.select(reject_reason(F.col("name")).alias("r")).collect()]
-    assert reasons == ["name is an IP address", "missing name", None]
+    gap = "name has an empty label"
+    assert reasons == ["name is an IP address", "missing name", None, gap, gap, gap, None]
 
 
 def test_four_levels_get_four_pseudonyms(spark):

@@ -35,7 +35,10 @@ def test_snapshot_listing(spark, rows, snapshot_dir):
 
 def test_events_of_snapshot_files(spark, rows, snapshot_dir):
     window = ("2021-02-01", "2021-02-03")
-    found = zones.read_snapshots(spark, snapshot_dir, *window)
+    found, bad = zones.read_snapshots(spark, snapshot_dir, *window)
+    assert bad.count() == 0
+    fast, _ = zones.read_snapshots(spark, snapshot_dir, *window, default=zones.absolute_reader)
+    assert rows(fast) == rows(found)
     events = snapshots.zone_diff_events(found, zones.snapshot_files(spark, snapshot_dir, *window))
     assert rows(events, "domain", "event_type", F.col("snapshot_date").cast("string")) == [
         ("example.test", "FIRST_SEEN", "2021-02-01"), ("example2.test", "EXPIRATION", "2021-02-03"),
@@ -46,7 +49,7 @@ def test_events_of_snapshot_files(spark, rows, snapshot_dir):
 def test_list_in_another_charset(spark, rows, tmp_path):
     with gzip.open(tmp_path / "dk.2021-02-01.gz", "wb") as out:
         out.write("blåbær.dk\nøl.dk\n".encode("iso-8859-1"))
-    found = zones.read_snapshots(spark, str(tmp_path))
+    found, _ = zones.read_snapshots(spark, str(tmp_path))
     assert rows(found, "tld", "domain") == [("dk", "blåbær.dk"), ("dk", "øl.dk")]
     upper = zones.list_domains(spark, str(tmp_path), decode=F.upper)
     assert rows(upper, "domain") == [("BLÅBÆR.DK",), ("ØL.DK",)]
@@ -87,6 +90,20 @@ def test_master_file(spark, tmp_path):
     assert [r.owner for r in found.collect()] == OWNERS
 
 
+def test_any_zone_file_by_default(spark, rows, tmp_path):
+    (tmp_path / "com.2021-02-01.zone").write_text(MASTER + "broken\n")
+    (tmp_path / "own.2021-02-01.zone").write_text("whatever")
+    own = lambda session, path, start, end, wanted: (
+        session.sql("SELECT 'own' AS tld, DATE'2021-02-01' AS snapshot_date, 'a.own' AS domain"),
+        zones.list_reader(session, path, start, end, wanted)[1],
+    )
+    found, bad = zones.read_snapshots(spark, str(tmp_path), readers={"own": own})
+    assert rows(found, "domain") == sorted({(o,) for o in OWNERS if o != "com"} | {("a.own",)})
+    assert rows(bad, "tld", "reason", "payload") == [("com", "unreadable record", "broken")]
+    with pytest.raises(Exception, match="not an absolute record"):
+        zones.read_snapshots(spark, str(tmp_path), readers={"own": own}, default=zones.absolute_reader)[0].collect()
+
+
 @pytest.mark.parametrize("size", [40, 64, 100])
 def test_master_file_in_many_splits(spark, tmp_path, size):
     """State crosses file splits: every split size gives the same records."""
@@ -136,10 +153,11 @@ def test_passive_logs(spark, rows, tmp_path):
     (tmp_path / "skipped.txt").write_text(line("2019-07-23T13:08:22.784554Z", {"query{}": "no.com"}))
     (tmp_path / "deep").mkdir()
     (tmp_path / "deep" / "three.json").write_text(line("2019-07-23T13:08:22.784554Z", {"query{}": "no.com"}))
-    found = passive.read_passive(spark, str(tmp_path))
+    found, bad = passive.read_passive(spark, str(tmp_path))
     assert rows(found, "query") == [("a.com",), ("a.com",), ("a.com",), ("b.com",), ("www.a.com",)]
     assert found.where("query = 'b.com'").first().ts.microsecond == 216423
-    assert rows(passive.unreadable_lines(passive.read_log_lines(spark, str(tmp_path))), "payload") == [("{garbage",)]
+    assert found.where("query = 'b.com'").first().ts.day == 24  # a day later
+    assert rows(bad, "payload") == [("{garbage",)]
 
 
 def test_warehouse_rows(spark, rows):
@@ -231,7 +249,7 @@ def test_entry_pages(spark, rows, pages):
         (4, 1502390596223, 1, True, len(tbs), "flowers.example"),
     ]
     assert bytes(good.where("index = 2").first().raw) == tbs
-    assert rows(bad, "reason") == [("unsupported entry type",), ("unsupported entry type",)]
+    assert rows(bad, "reason") == [("bad leaf",), ("unsupported entry type",)]
 
     entries = found.select("log_url", "index", F.col("timestamp").alias("ts"))
     heads = ct.tree_heads(entries)

@@ -1,4 +1,5 @@
 import shutil
+import threading
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from nameharbor.functions.pseudonyms import Anonymizer
 from nameharbor.functions.suffixes import suffix_rules
 from nameharbor.plans.ingest import Batch, ingest
-from nameharbor.plans.store import Store
+from nameharbor.plans.store import Store, StoreBusy
 from nameharbor.schemas import LEVELS, LEVEL_TABLE, TABLES
 
 SALTS = Anonymizer.sha256("1", "2", "3", "4")
@@ -153,3 +154,81 @@ def test_empty_tables(make):
     assert make.store.next_id("fqdns") == 1
     make.ingest("one", passive=make.passive(*[f"n{i}.com" for i in range(10)]))
     assert make.store.next_id("apexes") == 11
+
+
+FACTS = ("passive_entries", "entrada_entries", "zonefile_entries", "log_entries", "certificate_to_fqdns")
+
+
+def test_fact_ids_are_unique_over_batches_and_repeat(make):
+    hot = ["hot.org"] * 300
+    two = dict(passive=make.passive("a.com", *hot), zone=make.zone(*hot), entrada=make.entrada("e.com"), ct=make.ct(["a.com"]))
+    for batch in ("one", "two"):
+        make.ingest(batch, **two)
+    for table in FACTS:
+        ids = sorted(r.id for r in make.store.read(table).collect())
+        assert ids == list(range(1, len(ids) + 1))
+    assert make.counts("passive_entries") == [602]
+    found = snapshot_of(make.store)
+    # as if batch two had died before its mark; it runs again and gives the same
+    highest = make.store.highest([])
+    shutil.rmtree(f"{make.store.path}/commits")
+    make.store.commit("one")
+    assert make.store.highest()["passive_entries"] == 301
+    make.ingest("two", **two)
+    assert snapshot_of(make.store) == found and make.store.highest() == highest
+
+
+@pytest.mark.parametrize("delay", [0, 0.5, 2])
+def test_two_writers_at_once(make, delay):
+    """The second is refused, or comes after the first; names and ids stay unique."""
+    make.ingest("seed", passive=make.passive("seed.com"))
+    refused = []
+
+    def write(batch, names, wait):
+        threading.Event().wait(wait)
+        try:
+            make.ingest(batch, passive=make.passive(*names))
+        except StoreBusy:
+            refused.append(batch)
+
+    threads = [threading.Thread(target=write, args=a) for a in (("a", ["a.com", "x.org"], 0), ("b", ["a.com", "y.net"], delay))]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert len(refused) < 2
+    for batch in refused:
+        make.ingest(batch, passive=make.passive("a.com", "x.org" if batch == "a" else "y.net"))
+    assert make.counts("fqdns", "passive_entries") == [4, 5]
+    check_keys(make.store)
+
+
+def test_claim_of_another_process(make):
+    """A claim file left by a dead batch keeps others out; the same batch takes it over."""
+    make.store.claim("dead")
+    from nameharbor.plans import store as stores
+    stores._held.clear()
+    with pytest.raises(StoreBusy):
+        make.ingest("other", passive=make.passive("a.com"))
+    make.ingest("dead", passive=make.passive("a.com"))
+    make.ingest("other", passive=make.passive("b.com"))
+    assert make.counts("fqdns") == [2]
+
+
+def test_runs_in_the_store(spark, make, rows):
+    from nameharbor.operators import runs
+    from nameharbor.plans.runs import current_stage_ids, record_events, stored_measurements, stored_stages
+
+    def event(batch, kind, muid, minute):
+        record_events(make.store, batch, runs.run_event(spark, kind, muid, "text", "host", AT + timedelta(minutes=minute)))
+
+    event("r1", runs.START, "one", 0)
+    event("r2", runs.START, "two", 1)
+    event("r3", runs.STAGE_STOP, "one", 2)
+    event("r4", runs.STAGE_START, "one", 3)
+    assert rows(current_stage_ids(make.store)) == [("one", 3), ("two", 2)]
+    event("r5", runs.STOP, "one", 4)
+    event("r5", runs.STOP, "one", 4)  # a repeated batch
+    assert rows(stored_measurements(make.store), "id", "muid", F.minute("start_time"), F.minute("end_time")) == [(1, "one", 0, 4), (2, "two", 1, None)]
+    assert rows(stored_stages(make.store), "id", "muid", "stage", F.minute("start_time"), F.minute("stop_time")) == [
+        (1, "one", 1, 0, 2), (2, "two", 1, 1, None), (3, "one", 2, 3, 4)]
