@@ -131,9 +131,10 @@ def ngram_classes(docs: DataFrame, packs: DataFrame | None = None) -> DataFrame:
     Documents with equal sets are one class, named by its smallest node; ``component`` is the smallest
     node that can be reached over links, null where a document links with nothing. Null and empty texts
     have an empty set. A row is a document, also if its id is null or occurs again. ``packs``: of just
-    these documents, where the caller has them.
+    these documents, where the caller has them; their other columns are left behind. Columns of ``docs``
+    with a name of the new ones, or of the inner ``sign_a, sign_b, alive``, are dropped.
     """
-    docs = docs.drop("node", "n_shingles", "class_node", "component")
+    docs = docs.drop("node", "n_shingles", "class_node", "component", "sign_a", "sign_b", "alive")
     if packs is None:
         with workspace(docs.sparkSession, "ngram-packs") as scratch:
             sets, shards = _sets(packs_of(docs, "packs", scratch))
@@ -148,7 +149,7 @@ def ngram_classes(docs: DataFrame, packs: DataFrame | None = None) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 with pa.ipc.open_stream(unpacked(row["rest"])) as stream:
-                    rest = stream.read_all().combine_chunks()
+                    rest = stream.read_all().combine_chunks().select([f.name for f in kinds])
                 n = np.frombuffer(row["sizes"], np.int64)
                 columns = [pa.array(row["pack"] * PACK_DOCS + np.arange(len(n))), pa.array(n), *(pa.array(np.frombuffer(row[k], np.int64)) for k in ("sign_a", "sign_b")),
                            pa.array(np.frombuffer(row["alive"], bool))]
@@ -299,7 +300,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without those that link, over any way, with one of a smaller id (or, of equal or null ids, an earlier row)."""
     packs = packs_of(docs, "ngram-packs")
-    found = ngram_classes(docs, packs)
+    found = ngram_classes(docs.select("doc_id", "text"), packs)  # the texts and other columns wait in the packs
     linked = found.filter("component IS NOT NULL").select("component", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node").alias("place"))
     first = linked.groupBy("component").agg(F.min("place").alias("first"))
     gone = linked.join(first, "component").filter(F.col("place.node") != F.col("first.node")).select(F.col("place.node").alias("node"))

@@ -116,6 +116,14 @@ def test_near_duplicates(odd):
     assert left.filter("doc_id IS NULL AND text IS NULL").count() == 1
 
 
+def test_near_duplicates_with_clashing_columns(odd):
+    """Columns named like inner ones stay as they are."""
+    clash = odd.withColumns({c: F.lit(7) for c in ("node", "component", "alive", "sign_a", "pack", "n_shingles", "tokens", "stay")})
+    left = ngram_join.one_of_each(clash)
+    assert left.columns == clash.columns and left.filter("node = 7 AND alive = 7 AND pack = 7").count() == ngram_join.one_of_each(odd).count()
+    assert ngram_join.ngram_classes(clash).count() == len(ODD)
+
+
 def test_sharding(odd):
     got = sharding.shard_by_bytes(odd).toPandas()
     assert len(got) == len(ODD)
