@@ -34,6 +34,27 @@ def indexes_by_time(entries: DataFrame, heads: DataFrame, **times: Column) -> Da
     )
 
 
+def log_positions(entries: DataFrame, stored: Column, **times: Column) -> DataFrame:
+    """``log_url, resume_index, tree_size`` and the first index after each time, in one pass.
+
+    ``stored`` tells which entries are stored; the indexes are as in the functions above.
+    """
+    found = entries.groupBy("log_url").agg(
+        (F.max("index") + 1).alias("tree_size"), (F.max(F.when(stored, F.col("index"))) + 1).alias("resume_index"),
+        *[F.min(F.when(F.col("ts") > t, F.col("index"))).alias(name) for name, t in times.items()],
+    )
+    first = [F.coalesce(name, "tree_size").alias(name) for name in times]
+    return found.select("log_url", "tree_size", F.coalesce("resume_index", F.lit(0)).alias("resume_index"), *first)
+
+
+def position_ranges(positions: DataFrame) -> DataFrame:
+    """``log_url, start_index, end_index`` of :func:`log_positions` with ``from_index`` and ``to_index``."""
+    return positions.select(
+        "log_url", F.greatest("resume_index", "from_index").alias("start_index"),
+        F.least("tree_size", "to_index").alias("end_index"),
+    ).where("start_index < end_index")
+
+
 def index_ranges(
     resume: DataFrame, heads: DataFrame, by_time: DataFrame | None = None
 ) -> DataFrame:

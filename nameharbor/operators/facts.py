@@ -45,8 +45,8 @@ def fingerprinted(entries: DataFrame) -> DataFrame:
 
 
 def distinct_certificates(entries: DataFrame) -> DataFrame:
-    """``sha256_fingerprint, raw``: one row per certificate; copies merge before the shuffle."""
-    return entries.select("sha256_fingerprint", "raw").dropDuplicates(["sha256_fingerprint"])
+    """One row per certificate; copies merge before the shuffle."""
+    return entries.dropDuplicates(["sha256_fingerprint"])
 
 
 def certificate_names(entries: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import LEVELS
+from .dimensions import ANON
 
 INTERVAL = "1 hour"
 
@@ -26,6 +27,39 @@ def store_hits(hits: DataFrame, ts: str, interval: str = INTERVAL) -> DataFrame:
     )
 
 
+#: stored table -> type in the counts of a batch; name tables are counted by :func:`name_points`
+COUNTED = {
+    "certificates": "cert", "logs": "log", "zonefile_entries": "zone-entry",
+    "passive_entries": "passive-entry", "entrada_entries": "entrada-entry",
+}
+
+
+def _points(rows: DataFrame, name: str, **tags: Column) -> DataFrame:
+    labels = [tags.get(tag, F.lit(None).cast("string")).alias(tag) for tag in ("status", "type", "key")]
+    return rows.select(F.lit(name).alias("name"), *labels, "n")
+
+
+def name_points(known: DataFrame) -> DataFrame:
+    """Names a batch has stored (``db-insert``) and has found stored (``db-hit``), by type.
+
+    ``known`` is ``twin, level, create, id``, no id where a name was new.
+    """
+    counts = known.where("create").groupBy("twin", "level", F.col("id").isNull().alias("new")).agg(F.count("*").alias("n"))
+    kind = F.concat(F.translate("level", "_", "-"), F.when(F.col("twin") == ANON, "-anon").otherwise(""))
+    return _points(counts, "store-hits", status=F.when(F.col("new"), "db-insert").otherwise("db-hit"), type=kind)
+
+
+def table_points(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rows a batch has stored in tables of :data:`COUNTED`, none for an empty one."""
+    kind = F.col("table_name")
+    return _points(table_counts({COUNTED[t]: rows for t, rows in tables.items()}).where("n > 0"), "store-hits", status=F.lit("db-insert"), type=kind)
+
+
+def key_points(rows: DataFrame, name: str, key: str) -> DataFrame:
+    """Rows of a batch by log or TLD."""
+    return _points(rows.groupBy(key).agg(F.count("*").alias("n")), name, key=F.col(key))
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """``table_name, n`` for each table; an empty one counts 0."""
     counts = [

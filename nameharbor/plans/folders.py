@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.suffixes import SuffixRules
 from ..functions.pseudonyms import Anonymizer
-from ..operators import ct
+from ..operators import ct, runs
 from ..operators.selections import without_finished
 from ..operators.snapshots import zone_diff_events
+from ..schemas import FIRST_SEEN
 from ..session import workspace, written
 from ..sources import certificates, passive, warehouse, zones
 from .ingest import Batch, ingest
-from .runs import current_stage_ids
+from .runs import current_stage_ids, record_events
 from .store import Store
 
 
@@ -48,6 +51,33 @@ def store_snapshots(
         )
 
 
+def store_round(
+    store: Store, number: int, muid: str, domains: DataFrame, rules: SuffixRules, at: datetime,
+    ended: datetime | None = None, rejects: DataFrame | None = None,
+) -> None:
+    """One round of zone collection: every ``domain`` as seen at the time of the round, in a stage of its own.
+
+    Rounds count from 0; the first one has the stage that the run opened itself. A
+    round ends its stage. A round that is repeated goes on with the step it died in.
+    """
+    batch = f"{muid}-round-{number:06d}"
+    if number:
+        record_events(store, f"{batch}-start", runs.run_event(store.spark, runs.STAGE_START, muid, ts=at))
+    seen = domains.select("domain").distinct().select("domain", F.lit(FIRST_SEEN).alias("event_type"), F.lit(at).alias("ts"))
+    sent = [] if rejects is None else [rejects]
+    ingest(store, Batch(batch, zone=_of_run(seen, muid), rejects=sent), current_stage_ids(store), rules)
+    record_events(store, f"{batch}-stop", runs.run_event(store.spark, runs.STAGE_STOP, muid, ts=ended, seq=1))
+
+
+def store_zone_round(
+    store: Store, number: int, muid: str, path: str, rules: SuffixRules, at: datetime, start: str | None = None,
+    end: str | None = None, readers: dict[str, zones.Reader] | None = None, ended: datetime | None = None,
+) -> None:
+    """A round over the zone files of a folder; unreadable lines are rejects, the rest of the file is stored."""
+    domains, rejects = zones.read_snapshots(store.spark, path, start, end, readers)
+    store_round(store, number, muid, domains, rules, at, ended, rejects.drop("tld"))
+
+
 def store_entry_pages(
     store: Store, batch: str, muid: str, path: str, rules: SuffixRules, logs: DataFrame,
     since: Column | None = None, until: Column | None = None,

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.pseudonyms import Anonymizer, with_pseudonyms
 from ..functions.suffixes import SuffixRules, reject_reason, with_domain_parts
 from ..operators import dimensions as dim
-from ..operators import facts
+from ..operators import facts, metrics
 from ..operators.runs import with_stage
 from ..schemas import LEVEL_TABLE, LEVELS
 from ..session import workspace, written
@@ -67,7 +67,8 @@ def accept(batch: Batch, current: DataFrame, rules: SuffixRules) -> tuple[dict[s
             accepted[source], bad_names = split_names(staged, source, name, rules)
             rejects += [bad, bad_names]
     if batch.ct is not None:
-        staged, bad = with_stage(facts.fingerprinted(batch.ct), current, "ct", "sha256_fingerprint")
+        prints = batch.ct if "sha256_fingerprint" in batch.ct.columns else facts.fingerprinted(batch.ct)
+        staged, bad = with_stage(prints, current, "ct", "sha256_fingerprint")
         readable = F.col("dns_names").isNotNull()
         accepted["ct"] = staged.where(readable)
         rejects += [bad, staged.where(~readable).select(
@@ -135,6 +136,10 @@ class _Open:
     def write(self, table: str, rows: DataFrame) -> None:
         self.store.write(table, self.id, rows)
 
+    def written_rows(self, table: str) -> DataFrame:
+        """What this batch has written into a table."""
+        return self.store.read(table, [], only=[self.id])
+
     def write_facts(self, table: str, rows: DataFrame) -> None:
         self.write(table, dim.with_row_ids(rows, self.next_id(table)))
 
@@ -145,8 +150,8 @@ class _Open:
         return written(rows, label, *folders, path=self.scratch)
 
 
-def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anonymizer) -> DataFrame:
-    """Store the new names of all levels; ids of all names of the batch that are stored then.
+def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anonymizer) -> tuple[DataFrame, DataFrame]:
+    """Store the new names of all levels; what was known before, and ids of all names of the batch that are stored then.
 
     ``names`` is kept: ``tld, public_suffix, apex, fqdn, anonymous``. Only
     ``twins`` can get new rows: the other tables are looked up, not written.
@@ -158,7 +163,7 @@ def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anony
         )
         for level, twin in tables
     ])
-    # two readers; the stored tables are looked through once
+    # three readers; the stored tables are looked through once
     known = at.kept(dim.known_names(dim.level_names(names, anonymizer), stored), "known")
     highest = {(twin, level): at.next_id(_table(level, twin)) - 1 for level, twin in tables}
     ids = at.kept(dim.resolve(known, highest), "ids", "twin", "level")
@@ -174,10 +179,11 @@ def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anony
         *[partial(rows_of, level, twin) for level, twin in tables if twin in twins],
         *[partial(links_of, level) for level in LEVELS],
     )
-    return ids
+    return known, ids
 
 
-def _store_certificates(at: _Open, entries: DataFrame, parts: DataFrame, fqdns: DataFrame) -> None:
+def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame, parts: DataFrame, fqdns: DataFrame) -> None:
+    """``entries`` are without the bytes, ``certificates`` are ``sha256_fingerprint, raw`` of all of the batch."""
     urls = entries.groupBy(F.col("log_url").alias("url")).agg(F.min("description").alias("description"))
     known_logs = at.read("logs")
     new_logs = dim.new_rows(urls, known_logs, "url")
@@ -194,7 +200,7 @@ def _store_certificates(at: _Open, entries: DataFrame, parts: DataFrame, fqdns:
     rows = facts.log_facts(entries, hits.unionByName(numbered), known_logs.select("id", "url").unionByName(logs.select("id", "url")))
     _all_at_once(
         at.store.spark,
-        lambda: at.write("certificates", facts.distinct_certificates(entries).join(numbered, key)),
+        lambda: at.write("certificates", facts.distinct_certificates(certificates.join(numbered, key))),
         lambda: at.write_facts("certificate_to_fqdns", facts.bridge(parts, numbered, fqdns)),
         lambda: at.write_facts("log_entries", rows),
     )
@@ -216,12 +222,18 @@ def ingest(
 
 
 def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer) -> None:
+    if batch.ct is not None:
+        prints = facts.fingerprinted(batch.ct)
+        # many readers; the bytes are read once here, and once more when new certificates are written
+        batch = replace(batch, ct=at.kept(prints.drop("raw"), "entries"))
+        certificates = prints.select("sha256_fingerprint", "raw")
     accepted, rejects = accept(batch, current, rules)
     seen = [
         rows.select(*LEVELS, F.lit(source == "entrada").alias("anonymous"))
         for source, rows in accepted.items() if source != "ct"
     ]
     certificate_parts = None
+    points: list[DataFrame] = []
     if "ct" in accepted:
         certificate_parts = at.kept(_certificate_parts(accepted["ct"], rules), "certificate-names")
         seen.append(certificate_parts.select(*LEVELS, F.lit(False).alias("anonymous")))
@@ -229,12 +241,13 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
         # distinct names are far fewer than sightings, and every table reads them
         names = at.kept(reduce(DataFrame.unionByName, seen).distinct(), "names")
         twins = {dim.ANON if source == "entrada" else dim.PLAIN for source in accepted}
-        ids = _store_names(at, names, twins, anonymizer)
+        known, ids = _store_names(at, names, twins, anonymizer)
+        points.append(metrics.name_points(known))
 
     writes: list[Callable[[], None]] = []
     if "ct" in accepted:
         fqdns = _ids(ids, "fqdn", dim.PLAIN)
-        writes.append(partial(_store_certificates, at, accepted["ct"], certificate_parts, fqdns))
+        writes.append(partial(_store_certificates, at, accepted["ct"], certificates, certificate_parts, fqdns))
     if "zone" in accepted:
         events = accepted["zone"].select("apex", "event_type", "ts", "stage_id")
         rows = facts.zone_facts(events, _ids(ids, "apex", dim.PLAIN))
@@ -252,3 +265,10 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
     if rejects:
         writes.append(partial(at.write, "rejects", reduce(DataFrame.unionByName, rejects)))
     _all_at_once(at.store.spark, *writes)
+    points.append(metrics.table_points({table: at.written_rows(table) for table in metrics.COUNTED}))
+    if "ct" in accepted:
+        points.append(metrics.key_points(accepted["ct"], "log-entries", "log_url"))
+    if "zone" in accepted:
+        points.append(metrics.key_points(accepted["zone"], "zone-entries", "tld"))
+    counts = reduce(DataFrame.unionByName, points).withColumn("ts", F.current_timestamp())
+    at.write("metrics", counts.coalesce(1))  # a row for each type, log and TLD

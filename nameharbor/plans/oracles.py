@@ -164,6 +164,21 @@ def _hits() -> str:
       FROM seen s JOIN firsts f USING (type, name) GROUP BY ALL"""
 
 
+def _batch_points() -> str:
+    levels = [
+        f"SELECT '{level.replace('_', '-')}' AS type, {level} AS name, ts >= TIMESTAMP '2024-01-15' AS late FROM obs"
+        for level in ("tld", "public_suffix", "apex", "fqdn")
+    ]
+    return f"""WITH {OBS}, names AS (
+      SELECT type, name, bool_or(late) AS late, bool_or(NOT late) AS early FROM ({' UNION ALL '.join(levels)}) GROUP BY type, name)
+      SELECT * FROM (
+        SELECT 'db-insert' AS status, type, count(*) AS n FROM names GROUP BY type
+        UNION ALL SELECT 'db-hit', type, count(*) FROM names WHERE late AND early GROUP BY type
+        UNION ALL SELECT 'db-insert', type || '-anon', count(*) FROM names GROUP BY type
+        UNION ALL SELECT 'db-insert', 'passive-entry', count(*) FROM obs
+        UNION ALL SELECT 'db-insert', 'entrada-entry', count(DISTINCT fqdn) FROM obs)"""
+
+
 SIGHTINGS = f"""{CERT}, {SNAPROWS}, sightings AS (
   SELECT CASE event_type WHEN 'signup' THEN 'zone' WHEN 'view' THEN 'zone' WHEN 'click' THEN 'passive'
               WHEN 'purchase' THEN 'ct' ELSE 'entrada' END AS source, domain AS apex, ts FROM snaprows
@@ -281,6 +296,9 @@ ORACLES: dict[str, str] = {
                             WHEN is_ip THEN 'name is an IP address' END AS reason FROM addressed)
         WHERE reason IS NOT NULL GROUP BY reason, name""",
     "ingest_table_counts": _table_counts(),
+    "ingest_metrics": _batch_points(),
+    "zone_rounds": f"""WITH {OBS} SELECT DISTINCT CAST(CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS BIGINT) AS stage, apex,
+        CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 1 ELSE 2 END AS stop_hour FROM obs""",
     "metrics_store_hits": _hits(),
     "metrics_log_entries": f"""WITH {CERT} SELECT (epoch_us(date_trunc('hour', ts)) // 1000) AS interval_ms, log_url, count(*) AS n
         FROM cert GROUP BY ALL""",

@@ -7,6 +7,7 @@ answer can be compared by value.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +23,9 @@ from ..session import fresh_path, prepare, written
 from ..sources import passive, warehouse, zones
 from ..streaming import jobs
 from . import vantage
+from .folders import store_round
 from .ingest import Batch, accept, ingest
+from .runs import record_events, stored_stages
 from .store import Store
 from .views import Tables, certificate_entries, observations, pick
 from .views import snapshots as snapshot_rows
@@ -499,8 +502,12 @@ def log_entries(t: Tables) -> DataFrame:
     return t.cert().select("log_url", "index", "ts")
 
 
+def is_stored() -> Column:
+    return F.col("ts") < F.to_timestamp(F.lit("2024-01-01 03:00:00"))
+
+
 def stored_entries(t: Tables) -> DataFrame:
-    return log_entries(t).where(F.col("ts") < F.to_timestamp(F.lit("2024-01-01 03:00:00")))
+    return log_entries(t).where(is_stored())
 
 
 @query
@@ -508,10 +515,13 @@ def ct_resume_index(t: Tables) -> DataFrame:
     return ct.resume_indexes(stored_entries(t), log_entries(t))
 
 
-def window_indexes(t: Tables) -> DataFrame:
+def window_times() -> dict[str, Column]:
     bounds = {"from_index": "2024-01-01 01:00:00", "to_index": "2024-01-01 06:00:00"}
-    at = {name: F.to_timestamp(F.lit(text)) for name, text in bounds.items()}
-    return ct.indexes_by_time(log_entries(t), ct.tree_heads(log_entries(t)), **at)
+    return {name: F.to_timestamp(F.lit(text)) for name, text in bounds.items()}
+
+
+def window_indexes(t: Tables) -> DataFrame:
+    return ct.indexes_by_time(log_entries(t), ct.tree_heads(log_entries(t)), **window_times())
 
 
 @query
@@ -521,8 +531,7 @@ def ct_index_by_date(t: Tables) -> DataFrame:
 
 @query
 def ct_index_range(t: Tables) -> DataFrame:
-    resume = ct.resume_indexes(stored_entries(t), log_entries(t))
-    ranges = ct.index_ranges(resume, ct.tree_heads(log_entries(t)), window_indexes(t))
+    ranges = ct.position_ranges(ct.log_positions(log_entries(t), is_stored(), **window_times()))
     return ct.entries_in_ranges(log_entries(t), ranges).select("log_url", "index")
 
 
@@ -617,6 +626,36 @@ def ingest_table_counts(t: Tables) -> DataFrame:
     return metrics.table_counts({name: store.read(name, []) for name in COUNTED})
 
 
+def halves(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Observations before and from :data:`CUT`."""
+    return t.obs().where(F.col("ts") < instant(CUT)), t.obs().where(F.col("ts") >= instant(CUT))
+
+
+@query
+def ingest_metrics(t: Tables) -> DataFrame:
+    """Counts that two batches leave in the store, the second with the warehouse as well."""
+    store = Store(t.spark, fresh_path(t.spark, "store"))
+    more = [{}, {"entrada": in_run(warehouse.as_sightings(warehouse_rows(t)))}]
+    for number, (half, also) in enumerate(zip(halves(t), more, strict=True)):
+        batch = Batch(str(number), passive=in_run(half.select(F.col("fqdn").alias("query"), "ts")), **also)
+        ingest(store, batch, current_stage(t.spark), suffix_rules(t.spark), SALTS)
+    return store.read("metrics").groupBy("status", "type").agg(F.sum("n").alias("n"))
+
+
+@query
+def zone_rounds(t: Tables) -> DataFrame:
+    """Two rounds of zone collection of one run; which stage holds which domain."""
+    store = Store(t.spark, fresh_path(t.spark, "store"))
+    at = datetime(2024, 1, 1)
+    record_events(store, "run", runs.run_event(t.spark, runs.START, RUN, ts=at))
+    for number, half in enumerate(halves(t)):
+        hour = at + timedelta(hours=number + 1)
+        store_round(store, number, RUN, half.select(F.col("apex").alias("domain")), suffix_rules(t.spark), hour, hour + timedelta(minutes=30))
+    stages = stored_stages(store).select(F.col("id").alias("stage_id"), "stage", F.hour("stop_time").alias("stop_hour"))
+    names = store.read("apexes").select(F.col("id").alias("apex_id"), "apex")
+    return store.read("zonefile_entries").join(stages, "stage_id").join(names, "apex_id").select("stage", "apex", "stop_hour")
+
+
 # --- metrics ---
 
 

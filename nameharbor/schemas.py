@@ -66,6 +66,8 @@ TABLES: dict[str, T.StructType] = {
     "known_names": _struct("fqdn string"),
     # TLDs whose snapshots have been diffed
     "finished_tlds": _struct("tld string"),
+    # counts of each batch; key is a log or a TLD
+    "metrics": _struct("name string, status string, type string, key string, n bigint, ts timestamp"),
     "rejects": _struct("source string, reason string, payload string, stage_id bigint"),
 }
 for _level, _table in LEVEL_TABLE.items():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from nameharbor.functions.suffixes import suffix_rules
 from nameharbor.operators import runs
 from nameharbor.plans import folders
-from nameharbor.plans.runs import current_stage_ids, record_events
+from nameharbor.plans.runs import current_stage_ids, record_events, stored_stages
 from nameharbor.plans.store import Store
 from nameharbor.schemas import RECORDS
 from nameharbor.streaming import jobs
@@ -39,6 +39,23 @@ def test_snapshots(spark, rows, store, tmp_path):
     assert rows(store.read("rejects").distinct(), "reason", "payload") == [("unreadable record", "broken")]
 
 
+def test_zone_rounds(spark, rows, store, tmp_path):
+    """Each round has a stage of its own; a repeated round changes nothing."""
+    for day, text in enumerate(["a.com. in ns x.\n", "a.com. in ns x.\nb.com. in ns x.\nbroken\n"], 1):
+        with gzip.open(tmp_path / f"com.2021-02-0{day}.gz", "wt") as out:
+            out.write(text)
+    for number in (0, 1, 1):
+        day, at = f"2021-02-0{number + 1}", datetime(2024, 1, 1, number + 1)
+        folders.store_zone_round(store, number, "run", f"{tmp_path}/*.gz", suffix_rules(spark), at, day, day, ended=at.replace(minute=30))
+    stages = stored_stages(store)
+    assert rows(stages, "stage", F.hour("start_time"), F.hour("stop_time"), F.minute("stop_time")) == [(1, 0, 1, 30), (2, 2, 2, 30)]
+    found = store.read("zonefile_entries").join(stages.select(F.col("id").alias("stage_id"), "stage"), "stage_id")
+    assert rows(found.groupBy("stage").count()) == [(1, 1), (2, 2)]
+    assert rows(store.read("rejects"), "payload") == [("broken",)]
+    zones = store.read("metrics").where("name = 'zone-entries'")
+    assert rows(zones, "key", "n") == [("com", 1), ("com", 2)]
+
+
 def test_pages(spark, rows, store, tmp_path):
     import json
 

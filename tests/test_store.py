@@ -178,6 +178,19 @@ def test_fact_ids_are_unique_over_batches_and_repeat(make):
     assert snapshot_of(make.store) == found and make.store.highest() == highest
 
 
+def test_metrics_of_each_batch(make, rows):
+    for batch in ("one", "two"):
+        make.ingest(batch, ct=make.ct(["a.com"], ["a.com"], ["b.com"]), zone=make.zone("a.com"), passive=make.passive("a.com", "b.com"))
+    points = make.store.read("metrics")
+    hits = points.where("name = 'store-hits'").groupBy("status", "type").agg(F.sum("n").alias("n"))
+    stored = {(r.status, r.type): r.n for r in hits.collect()}
+    assert stored == {
+        **{("db-insert", k): n for k, n in {"tld": 1, "public-suffix": 1, "apex": 2, "fqdn": 2, "cert": 2, "log": 1, "zone-entry": 2, "passive-entry": 4}.items()},
+        **{("db-hit", k): n for k, n in {"tld": 1, "public-suffix": 1, "apex": 2, "fqdn": 2}.items()}}
+    assert rows(points.where("key is not null"), "name", "key", "n") == [("log-entries", "log/", 3)] * 2 + [("zone-entries", "com", 1)] * 2
+    assert points.where("ts is null").count() == 0
+
+
 @pytest.mark.parametrize("delay", [0, 0.5, 2])
 def test_two_writers_at_once(make, delay):
     """The second is refused, or comes after the first; names and ids stay unique."""
