@@ -15,8 +15,12 @@ from nameharbor.session import written
 
 #: Trees, vectors that a leaf should hold, share of a node's vectors that go to both sides, cosine of a link.
 TREES, LEAF, SPILL, COSINE = 12, 256, 0.12, 0.93
-#: Different vectors that splits are fitted on, about (chosen by a hash); rows of a block in a leaf.
+#: Different vectors that splits are fitted on, about (chosen by a hash); rows that are compared at once.
 SAMPLE, BLOCK = 32_768, 1024
+#: Blocks of a large leaf at most (more where they would pass so many rows).
+BLOCKS, BLOCK_ROWS = 16, 8192
+#: Sampled vectors whose links judge a split, links that make a verdict, share of them that a split may part, ways that are tried.
+JUDGES, EVIDENCE, PARTED, WAYS = 192, 16, 0.1, 16
 
 
 @dataclass
@@ -42,11 +46,52 @@ class Tree:
         return both[:, 0], both[:, 1]
 
 
+def _way(rng: np.random.Generator, x: np.ndarray) -> tuple[np.ndarray, float, float, np.ndarray, np.ndarray] | None:
+    """Direction, cut, margin and sides of a split of the vectors; None: they are best compared with each other.
+
+    Where enough pairs of the vectors link, a split must keep nearly all of them on a common side: a
+    tight group is not cut, it is parted from others or stays whole.
+    """
+    dim = x.shape[1]
+    judges = rng.permutation(len(x))[:JUDGES]
+    i, j = np.triu_indices(len(judges), 1)
+    cosine = (x[judges] @ x[judges].T)[i, j]
+    linked = cosine >= COSINE
+    if linked.mean() > 0.5:
+        return None
+    i, j = judges[i], judges[j]
+    dense = linked.sum() >= EVIDENCE
+    a, b, apart = i[linked], j[linked], np.flatnonzero(~linked)
+    best, least = None, np.inf
+    for k in range(WAYS if dense else 1):
+        if k % 2:  # from one vector to another that it does not link with
+            pair = apart[rng.integers(len(apart))]
+            way = x[j[pair]] - x[i[pair]]
+        else:
+            way = rng.normal(size=dim)
+        way /= max(np.linalg.norm(way), 1e-300)
+        at = x @ way
+        shares = (0.5, 0.35, 0.65, 0.2, 0.8) if dense else (0.5,)
+        for middle in np.quantile(at, shares).tolist():
+            wide = float(np.quantile(np.abs(at - middle), SPILL))
+            left, right = at <= middle + wide, at >= middle - wide
+            largest = max(left.mean(), right.mean())
+            if largest > 0.9:  # many alike: this direction does not part them
+                continue
+            parted = float(1 - ((left[a] & left[b]) | (right[a] & right[b])).mean()) if dense else 0.0
+            if parted <= PARTED and parted + 0.2 * largest < least:
+                best, least = (way, middle, wide, left, right), parted + 0.2 * largest
+        if least < 0.15:  # good enough
+            break
+    return best
+
+
 def grow(sample: np.ndarray, total: int, seed: int) -> Tree:
     """Split at random directions until a leaf holds LEAF of ``total`` vectors, by what it holds of the sample.
 
-    Where the sample has run out, splits go on at the mean of what is left of it, without spill counts
-    to go by, for as many levels as the size asks for.
+    A node whose vectors mostly link, or that no direction parts without parting links, is a leaf of
+    any size. Where the sample has run out, splits go on at the mean of what is left of it, without
+    spill counts to go by, for as many levels as the size asks for.
     """
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
@@ -58,18 +103,19 @@ def grow(sample: np.ndarray, total: int, seed: int) -> Tree:
         node, own, size = todo.pop()
         if size <= LEAF:
             continue
-        way = rng.normal(size=dim)
-        way /= np.linalg.norm(way)
-        at = sample[own] @ way
         if len(own) >= 16:
-            middle = float(np.median(at))
-            wide = float(np.quantile(np.abs(at - middle), SPILL))
-            parts = own[at <= middle + wide], own[at >= middle - wide]
-            sizes = [len(p) * share for p in parts]
-            if max(len(p) for p in parts) > 0.9 * len(own):  # many alike: no direction parts them
+            found = _way(rng, sample[own])
+            if found is None:
                 continue
+            way, middle, wide, *sides = found
+            parts = [own[side] for side in sides]
+            sizes = [len(p) * share for p in parts]
         else:
-            middle, wide = float(at.mean()) if len(own) else 0.0, 0.02
+            if len(own) >= 3 and (sample[own] @ sample[own].T >= COSINE)[np.triu_indices(len(own), 1)].mean() > 0.5:
+                continue
+            way = rng.normal(size=dim)
+            way /= np.linalg.norm(way)
+            middle, wide = float((sample[own] @ way).mean()) if len(own) else 0.0, 0.02
             parts, sizes = (own, own), [size * 0.56] * 2
         direction[node], cut[node], margin[node] = way, middle, wide
         for k in (0, 1):
@@ -88,6 +134,66 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+def _least_joined(adjacent: np.ndarray, left: np.ndarray, right: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """``node`` with each row of ``left`` and ``right`` set to the smallest node that it is joined with."""
+    least, none = node.copy(), np.iinfo(np.int64).max
+    while True:
+        before = least[left], least[right]
+        least[left] = np.minimum(least[left], np.where(adjacent, least[right], none).min(1))
+        least[right] = np.minimum(least[right], np.where(adjacent, least[left][:, None], none).min(0))
+        if (before[0] == least[left]).all() and (before[1] == least[right]).all():
+            return least
+
+
+def linked(table: pa.Table) -> pa.Table:
+    """``node, others, least`` of two blocks of a leaf: rows that a node links with, and a node it is joined with.
+
+    A link counts in the first of the leaves that both ends reach, so no link counts twice and no
+    pairs have to be kept to tell.
+    """
+    node, block, copies = (table.column(c).to_numpy() for c in ("node", "block", "copies"))
+    x = _unit(_matrix(table.column("v").combine_chunks()))
+    code = int(table.column("code")[0].as_py())
+    codes = table.column("codes").combine_chunks()
+    of, codes = np.repeat(np.arange(len(node)), np.diff(codes.offsets.to_numpy())), codes.flatten().to_numpy()
+    of, codes = of[codes < code], codes[codes < code]
+    order = np.argsort(codes, kind="stable")
+    earlier = np.split(of[order], np.flatnonzero(np.diff(codes[order])) + 1)
+    one = int(table.column("one")[0].as_py())
+    first = np.flatnonzero(block == one)
+    same = one == table.column("two")[0].as_py()
+    second = first if same else np.flatnonzero(block != one)
+    place = np.empty(len(node), np.int64)
+    place[first], place[second] = np.arange(len(first)), np.arange(len(second))
+    in_second = np.zeros(len(node), bool)
+    in_second[second] = True
+    out = []
+    for s in range(0, len(first), BLOCK):
+        part = first[s:s + BLOCK]
+        adjacent = x[part] @ x[second].T >= COSINE
+        if same:
+            adjacent &= np.arange(len(second)) > np.arange(s, s + len(part))[:, None]
+        if not adjacent.any():
+            continue
+        in_part = np.zeros(len(node), bool)
+        in_part[part] = True
+        for rows in earlier:
+            left, right = rows[in_part[rows]], rows[in_second[rows]]
+            if len(left) and len(right):
+                adjacent[np.ix_(place[left] - s, place[right])] = False
+        left, right = np.flatnonzero(adjacent.any(1)), np.flatnonzero(adjacent.any(0))
+        if not len(left):
+            continue
+        adjacent = adjacent[np.ix_(left, right)]
+        left, right = part[left], second[right]
+        others = np.zeros(len(node), np.int64)
+        others[left] += (adjacent.astype(float) @ copies[right]).astype(np.int64)
+        others[right] += (copies[left] @ adjacent.astype(float)).astype(np.int64)
+        own = np.flatnonzero(others)
+        out.append(pa.table({"node": node[own], "others": others[own], "least": _least_joined(adjacent, left, right, node)[own]}))
+    return pa.concat_tables(out) if out else pa.table({c: np.zeros(0, np.int64) for c in ("node", "others", "least")})
+
+
 def near_vectors(rows: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of each row with ``vec_id, embedding, label``.
 
@@ -129,31 +235,18 @@ def near_vectors(rows: DataFrame) -> DataFrame:
 
     leaves = written(classes.select("label", "dim", "node", "v").mapInArrow(assign, "tree int, leaf long, node long"), "vector-leaves")
     # a large leaf is compared in pairs of blocks
-    blocks = leaves.groupBy("tree", "leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    size = F.count("*")
+    blocks = F.least(F.ceil(size / BLOCK), F.greatest(F.lit(BLOCKS), F.ceil(size / BLOCK_ROWS))).cast("int")
+    blocks = leaves.groupBy("tree", "leaf").agg(blocks.alias("blocks"))
     dealt = leaves.join(blocks, ["tree", "leaf"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    code = F.shiftleft(F.col("tree").cast("long"), 32) + F.col("leaf")
     dealt = dealt.withColumn("with", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "tree", "leaf", F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), "block", "node")
-
-    def compare(table: pa.Table) -> pa.Table:
-        node, block, x = table.column("node").to_numpy(), table.column("block").to_numpy(), _unit(_matrix(table.column("v").combine_chunks()))
-        one = int(table.column("one")[0].as_py())
-        first = np.flatnonzero(block == one)
-        second = first if one == table.column("two")[0].as_py() else np.flatnonzero(block != one)
-        a, b = [], []
-        for s in range(0, len(first), BLOCK):
-            part = first[s:s + BLOCK]
-            i, j = np.nonzero(x[part] @ x[second].T >= COSINE)
-            a.append(node[part[i]])
-            b.append(node[second[j]])
-        a, b = np.concatenate([*a, np.zeros(0, np.int64)]), np.concatenate([*b, np.zeros(0, np.int64)])
-        keep = a < b if second is first else a != b
-        return pa.table({"a": np.minimum(a, b)[keep], "b": np.maximum(a, b)[keep]})
-
-    pairs = dealt.join(classes.select("node", "v"), "node").groupBy("tree", "leaf", "one", "two").applyInArrow(compare, "a long, b long")
-    links = written(pairs.distinct(), "vector-links")
-    copies = classes.select("node", "copies")
-    ends = links.join(copies.withColumnsRenamed({"node": "b", "copies": "n"}), "b").select(F.col("a").alias("node"), "n").unionByName(
-        links.join(copies.withColumnsRenamed({"node": "a", "copies": "n"}), "a").select(F.col("b").alias("node"), "n"))
+        code.alias("code"), F.least("block", "with").alias("one"), F.greatest("block", "with").alias("two"), "block", "node")
+    reached = leaves.groupBy("node").agg(F.collect_list(code).alias("codes"))
+    rows_of = classes.select("node", "v", "copies").join(reached, "node")
+    links = written(dealt.join(rows_of, "node").groupBy("code", "one", "two").applyInArrow(linked, "node long, others long, least long"), "vector-links")
+    ends = links.select("node", F.col("others").alias("n"))
+    links = links.filter("least <> node").select(F.col("least").alias("a"), F.col("node").alias("b"))
     found = classes.join(ends.groupBy("node").agg(F.sum("n").alias("others")), "node", "left").join(components(links), "node", "left")
     found = found.select("label", "v", F.coalesce("component", "node").alias("component"), (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
     member = good.join(found, ["label", "v"]).select("row", "vec_id", "component", "n_links")

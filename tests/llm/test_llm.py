@@ -5,6 +5,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from compare import database, differences
@@ -211,6 +212,30 @@ def test_vectors(spark):
     assert all(got[i] == (0, i, True) for i in range(4, 12))
 
 
+def near_copy_table(group, others, seed=5):
+    """Vectors of one label: a group of near copies, and random ones, every tenth with a near copy."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(rng.normal(size=(others, 64)))
+    x[::10] = unit(x[1::10][:len(x[::10])] + rng.normal(size=(len(x[::10]), 64)) * 0.02)
+    centre = unit(rng.normal(size=(1, 64)))
+    x = np.vstack([unit(centre + rng.normal(size=(group, 64)) * 0.029), x]).astype(np.float32)
+    return pd.DataFrame({"vec_id": np.arange(len(x)), "embedding": x.tolist(), "label": 1})
+
+
+def brute_links(table):
+    x = np.stack(table.embedding).astype(float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    return np.concatenate([(x[s:s + 1024] @ x.T >= 0.93).sum(1) - 1 for s in range(0, len(x), 1024)])
+
+
+def test_vectors_of_a_large_group(spark):
+    table = near_copy_table(2000, 4000)
+    expect = brute_links(table)
+    got = near_vectors(spark.createDataFrame(table, "vec_id long, embedding array<float>, label int")).toPandas().set_index("vec_id").n_links.loc[table.vec_id].to_numpy()
+    assert (got <= expect).all() and got.sum() > 0.97 * expect.sum() and got[2000:].sum() > 0.9 * expect[2000:].sum()
+
+
 def test_pipeline(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
