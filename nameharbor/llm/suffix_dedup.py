@@ -3,6 +3,8 @@
 Suffixes are dealt to buckets by the smallest hash of the short strings within their first ``length``
 bytes. Neighbouring suffixes mostly share it and travel as one segment of text, and equal strings
 always meet in one bucket. Buckets whose hash occurs in one document only are passed over first.
+A bucket of very many different segments (a short phrase with other neighbours in each document) is
+parted again: each of its strings goes to the bucket that the hash of the whole string names.
 Then each bucket is sorted alone: suffixes by their first bytes, longer ties by the ranks of a
 difference-cover sample of the bucket, which are computed before and hold for every pair of suffixes.
 """
@@ -37,6 +39,8 @@ from nameharbor.llm.texts import PAD, loads, mix, ranges, span_hashes
 
 #: Bytes of a repeated string, and of the strings whose smallest hash names a suffix's bucket.
 LENGTH, INNER = 50, 24
+#: Different segments of a bucket, copies in a pack merged, beyond which it is parted by whole strings.
+HOT = 1 << 14
 #: A difference cover: every number is a difference of two of these modulo PERIOD (fixed values).
 PERIOD, COVER = 21, (0, 1, 4, 14, 16)
 NO_ID = np.iinfo(np.int64).max
@@ -115,6 +119,33 @@ def earliest(buf: np.ndarray, sizes: np.ndarray, docs: np.ndarray) -> np.ndarray
     return least[classes]
 
 
+def _pair(one: bytes, two: bytes) -> bytes:
+    return np.int64(len(one)).tobytes() + one + two
+
+
+def _parts(message: bytes) -> tuple[bytes, bytes]:
+    size = 8 + int(np.frombuffer(message, np.int64, 1)[0])
+    return message[8:size], message[size:]
+
+
+def answer_runs(messages: list[bytes], hot: int) -> list[bytes | None]:
+    """The keys of each message that more than one document holds: those with up to ``hot`` segments, and the hot ones.
+
+    Keys with equal low bits are counted together, which only makes more of them hot.
+    """
+    parts = [_parts(m) for m in messages]
+    keys, counts = np.unique(np.concatenate([np.frombuffer(k, "<u4") for k, _ in parts]), return_counts=True)
+    heavy = np.concatenate([np.frombuffer(h, "<u4").reshape(-1, 2) for _, h in parts])
+    np.add.at(counts, np.searchsorted(keys, heavy[:, 0]), heavy[:, 1].astype(np.int64))
+    large = keys[counts > hot]
+    out: list[bytes | None] = []
+    for shared in answer_shared([k for k, _ in parts]):
+        own = np.frombuffer(shared or b"", "<u4")
+        among = np.isin(own, large)
+        out.append(_pair(own[~among].tobytes(), own[among].tobytes()) if len(own) else None)
+    return out
+
+
 class Runs:
     """Neighbouring strings of LENGTH bytes of a pack with the same smallest inner hash."""
 
@@ -146,10 +177,36 @@ class Runs:
         self.start, self.stop, self.key = at[first], at[last] + 1, low[first]
         self.doc = np.searchsorted(texts.ends, self.start, "right")
 
+    def many(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys of several runs, and how many different segment texts each has."""
+        order = np.argsort(self.key, kind="stable")
+        first = np.flatnonzero(np.r_[True, self.key[order][1:] != self.key[order][:-1]]) if len(order) else order
+        runs = np.diff(np.r_[first, len(order)])
+        own = order[np.repeat(runs > 2, runs)]
+        texts = span_hashes(self.buf, self.start[own], self.stop[own] + LENGTH - 1)
+        order = np.lexsort((texts, self.key[own]))
+        keys, texts = self.key[own][order], texts[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = (keys[1:] != keys[:-1]) | (texts[1:] != texts[:-1])
+        return np.unique(keys[new], return_counts=True)
+
+    def messages(self, shards: int) -> Iterator[tuple[int, bytes]]:
+        """What :func:`answer_runs` needs: the keys for :func:`answer_shared`, then keys of several runs and their counts."""
+        keys, counts = self.many()
+        heavy = {s: np.column_stack([keys[own].astype("<u4"), counts[own].astype("<u4")]).tobytes()
+                 for s, own in split(keys, key_shards(keys, shards), shards)}
+        for s, message in send_keys(self.key, self.doc, shards):
+            yield s, _pair(message, heavy.get(s, b""))
+
     def shared(self, answers: list | None, shards: int) -> None:
-        """Only runs whose hash other documents have, too."""
-        keep = shared_mask(answers, self.key, shards)
-        self.start, self.stop, self.key, self.doc = self.start[keep], self.stop[keep], self.key[keep], self.doc[keep]
+        """Only runs whose hash other documents have, too; those of hot keys string by string."""
+        parts = [(x["shard"], *_parts(x["message"])) for x in answers or []]
+        keep = shared_mask([{"shard": s, "message": m} for s, m, _ in parts], self.key, shards)
+        hot = shared_mask([{"shard": s, "message": m} for s, _, m in parts], self.key, shards)
+        places = ranges(self.start[hot], self.stop[hot])
+        doc = np.repeat(self.doc[hot], self.stop[hot] - self.start[hot])
+        self.start, self.stop = np.r_[self.start[keep], places], np.r_[self.stop[keep], places + 1]
+        self.key, self.doc = np.r_[self.key[keep], span_hashes(self.buf, places, places + LENGTH)], np.r_[self.doc[keep], doc]
 
     def segments(self, shards: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """For each shard: a run for each different segment text, the smallest id, and the segment of each run of the shard."""
@@ -168,13 +225,13 @@ def _to_message(runs: Runs, pick: np.ndarray, least: np.ndarray) -> bytes:
     return packed_bytes(np.int64(len(pick)).tobytes() + head.tobytes() + runs.buf[ranges(start, stop)].tobytes())
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     """All columns of ``docs`` with ``kept`` (binary) and ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256``.
 
     ``text`` becomes the kept bytes as UTF-8; bytes of a character that was cut in two are left out of
     it (``kept`` and its hash have them). A null text is empty, a null id is larger than all others;
     rows with the same id remove nothing from each other, since neither id is smaller. Columns of
-    ``docs`` with the names of the new ones are replaced.
+    ``docs`` with the names of the new ones are replaced. ``hot``: see :data:`HOT`.
     """
     added = {"kept": "binary", "n_bytes": "long", "n_removed": "long", "n_spans": "long", "kept_sha256": "string"}
     docs = docs.drop(*added)
@@ -183,8 +240,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     blocks = 4 * shards
 
     def send_hashes(pack: Pack) -> Iterator[tuple[int, bytes]]:
-        runs = Runs(pack)
-        yield from send_keys(runs.key, runs.doc, shards)
+        yield from Runs(pack).messages(shards)
 
     def send_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for pack, row in packs_in(batches):
@@ -259,7 +315,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 "kept": pa.array(kept, pa.binary()), "n_bytes": pa.array(texts.ends - texts.starts), "n_removed": pa.array(n_removed.astype(np.int64)),
                 "n_spans": pa.array((spans[texts.ends] - spans[texts.starts]).astype(np.int64)), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())})
 
-    shared = answered(dealt(packs, send_hashes, "rest"), answer_shared)
+    shared = answered(dealt(packs, send_hashes, "rest"), lambda messages: answer_runs(messages, hot))
     first = with_answers(packs, shared)
     columns = ["pack", "sizes", "body", "rest", "answers"]
     segments = first.select(columns).mapInArrow(send_segments, "shard int, pack long, message binary")

@@ -16,6 +16,7 @@ import corpus_pipeline
 from nameharbor.llm import line_dedup, ngram_join, packing, quality_rules, queries, sharding, suffix_dedup
 from nameharbor.llm.embedding_neardup import near_vectors
 from nameharbor.llm.language_id import ContextTree, fit_tree, identify
+from nameharbor.llm.packs import Pack, packed_bytes
 from nameharbor.llm.sentencepiece_fst import Transducer, encoded
 from nameharbor.llm.texts import Texts
 from nameharbor.llm.toxicity import TermAutomaton, fit_scorer, toxicity
@@ -109,6 +110,58 @@ def test_suffixes(odd):
     assert sum(seen) > 0 and sorted(map(tuple, got), key=repr) == sorted(expect, key=repr)
 
 
+def phrase_texts(n):
+    """A phrase of 44 bytes between other words in each text, in every tenth as in the one before."""
+    rng = np.random.default_rng(3)
+    words = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 60))
+    texts = []
+    for i in range(n):
+        texts.append(texts[-1][5:-5] if i % 10 == 9 else words() + " share this page with a friend or colleague " + words())
+    return texts
+
+
+def test_suffixes_of_a_hot_phrase(spark):
+    texts = phrase_texts(300)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), hot=16)
+    got = {r["doc_id"]: r["kept"] for r in got.collect()}
+    seen, n_removed = set(), 0
+    for d, text in enumerate(texts):
+        gone = np.zeros(len(text), bool)
+        for i in range(len(text) - 49):
+            if text[i:i + 50] in seen:
+                gone[i:i + 50] = True
+        seen |= {text[i:i + 50] for i in range(len(text) - 49)}
+        n_removed += gone.sum()
+        assert got[d].decode() == "".join(c for c, g in zip(text, gone, strict=True) if not g)
+    assert n_removed > 0
+
+
+def test_hot_bucket_is_parted():
+    texts = phrase_texts(2000)
+    packs = []
+    for part in (texts[:1000], texts[1000:]):
+        pack = Pack.__new__(Pack)
+        pack.texts, pack._rest = Texts.of(pa.array(part)), None
+        sink = pa.BufferOutputStream()
+        rest = pa.table({"doc_id": np.arange(len(part))})
+        with pa.ipc.new_stream(sink, rest.schema) as stream:
+            stream.write_table(rest)
+        pack._rest = packed_bytes(sink.getvalue().to_pybytes())
+        packs.append(pack)
+    runs, shards = [suffix_dedup.Runs(p) for p in packs], 8
+    most = max(np.unique(r.key, return_counts=True)[1].max() for r in runs)
+    answers = [[] for _ in runs]
+    sent = [dict(r.messages(shards)) for r in runs]
+    for s in range(shards):
+        own = [i for i, m in enumerate(sent) if s in m]
+        for i, a in zip(own, suffix_dedup.answer_runs([sent[i][s] for i in own], 100), strict=True):
+            if a is not None:
+                answers[i].append({"shard": s, "message": a})
+    for r, a in zip(runs, answers, strict=True):
+        r.shared(a, shards)
+    assert most > 500 and max(np.unique(r.key, return_counts=True)[1].max() for r in runs) <= 100
+
+
 def test_near_duplicates(odd):
     got = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in ngram_join.near_duplicates(odd).collect()}
     assert got[(8, 57)] == 3 and got[(2, 0)] == 2 and got[(6, 7)] == 4 and got[(None, 0)] is None
