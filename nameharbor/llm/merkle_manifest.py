@@ -193,15 +193,16 @@ def _steps_down(trees: DataFrame, height: int) -> DataFrame:
     return rows.mapInArrow(run, "group string, block long, above binary, subroot binary")
 
 
-def with_paths(levels: list[DataFrame], above: DataFrame, height: int) -> DataFrame:
+def with_paths(levels: list[DataFrame], above: DataFrame | None, height: int) -> DataFrame:
     """The lowest trees with ``above``, the steps from their root to the root of all, and their group's ``subroot``.
 
-    ``above`` (``group, above, subroot``) has the steps over each group. A group meets it in one row,
-    that of its root; from there each subtree hands its leaves' steps to the subtrees below.
+    ``above`` (``group, above, subroot``) has the steps over each group, None where there are none. A group meets
+    it in one row, that of its root; from there each subtree hands its leaves' steps to the subtrees below.
     """
     trees = None
     for level in reversed(levels):
-        met = level.filter("last = 0").join(above, "group")
+        top, nothing = level.filter("last = 0"), F.expr("cast('' AS binary)")
+        met = top.select("*", nothing.alias("above"), nothing.alias("subroot")) if above is None else top.join(above, "group")
         trees = met if trees is None else met.unionByName(level.filter("last > 0").join(_steps_down(trees, height), ["group", "block"]))
     return trees
 
@@ -242,9 +243,7 @@ def manifest(leaves: DataFrame, *order: str, kept: tuple[str, ...] = (), height:
     levels = stacked(numbered(keyed, "group", *order), height, *kept)
     ranked = numbered(tops(levels).select(F.lit("").alias("group"), F.col("group").alias("of"), "digest"), "group", "of")
     upper = stacked(ranked, height, "of")
-    nothing = F.expr("cast('' AS binary)")
-    start = leaves.sparkSession.range(1).select(F.lit("").alias("group"), nothing.alias("above"), nothing.alias("subroot"))
-    groups = Manifest(with_paths(upper, start, height), None, ("of",)).proofs()
+    groups = Manifest(with_paths(upper, None, height), None, ("of",)).proofs()
     groups = groups.select(F.col("of").alias("group"), F.col("path").alias("above"), F.col("leaf").alias("subroot"))
     top = tops(upper).first()
     return Manifest(with_paths(levels, groups, height), top and hexlify(top["digest"]).decode(), kept)

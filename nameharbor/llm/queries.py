@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from nameharbor.llm.embedding_neardup import op4_embedding_neardup
+from nameharbor.llm.html_extraction import op11_html_extraction
 from nameharbor.llm.language_id import op10_language_id
 from nameharbor.llm.line_dedup import OP1_SQL, op1_line_dedup
 from nameharbor.llm.merkle_manifest import OP12_SQL, op12_merkle_manifest
@@ -26,8 +27,10 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_quality_rules": op9_quality_rules,
     "op10_language_id": op10_language_id,
+    "op11_html_extraction": op11_html_extraction,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_vector_codes": op13_vector_codes,
 }
 ORACLES = {"op1_line_dedup": OP1_SQL, "op5_suffix_dedup": OP5_SQL, "op6_sharding": OP6_SQL, "op7_ngram_join": OP7_SQL,
-           "op12_merkle_manifest": OP12_SQL, "op13_vector_codes": OP13_SQL}
+           "op11_html_extraction": op11_html_extraction,
+    "op12_merkle_manifest": OP12_SQL, "op13_vector_codes": OP13_SQL}
