@@ -37,7 +37,8 @@ def read_entry_pages(
     ``log_url`` may also be a partition folder of ``path``. Pages that were
     fetched with overlap are merged on request.
     """
-    schema = ENTRY_PAGE if log_url is not None else ENTRY_PAGE.add("log_url", "string")
+    # a schema of its own: add() would change the shared one
+    schema = ENTRY_PAGE if log_url is not None else T.StructType([*ENTRY_PAGE.fields, T.StructField("log_url", T.StringType())])
     pages = spark.read.schema(schema).option("multiLine", "true").json(path)
     first = F.regexp_extract(F.col("_metadata.file_name"), r"entry_(\d+)_\d+\.json", 1)
     url = F.lit(log_url) if log_url is not None else F.col("log_url")
