@@ -2,49 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nameharbor.llm.html_text import Block, blocks_of
-from nameharbor.llm.packs import Pack, packed_bytes, packs_in, packs_of, unpacked, with_answers
-from nameharbor.llm.texts import Texts, mix, span_hashes
+from nameharbor.llm.packs import packed_bytes, unpacked
+from nameharbor.llm.slices import slices, small_batches
+from nameharbor.llm.texts import mix
 from nameharbor.session import written
 
 #: Tokens of the shortest substring that counts as repeated (a whole run of text that is shorter counts too).
 WINDOW = 8
-#: Bytes of HTML for which there is a shard of substrings, and packs whose messages are put together at once.
-SHARD_BYTES, PACKS_AT_ONCE = 32 << 20, 4096
+#: Bytes of HTML for which there is a shard of substrings, and slices whose messages are put together at once.
+SHARD_BYTES, SLICES_AT_ONCE = 32 << 20, 4096
+#: Rows of frames up to which they are sent to every task; more are joined by host.
+SENT_ROWS = 1 << 16
 #: A substring's hash, and that of the page it is on.
 ENTRY = np.dtype([("key", "<u8"), ("page", "<u4")])
-VOTES = "pack long, frame long, text long, covered boolean, open boolean"
+#: A block in a stream: its page, host, frame and text, its first token and its end, the words of its page that the markup
+#: does not set aside, and whether the markup does so with this one or leaves it open.
+BLOCK = np.dtype([("page", "<u4"), ("host", "<i8"), ("frame", "<i8"), ("text", "<i8"), ("first", "<u4"), ("end", "<u4"), ("plain", "<u4"),
+                  ("marked", "?"), ("open", "?")])
+VOTES = "host long, frame long, text long, covered boolean, open boolean"
 
 
-def hashed(tokens: list[str]) -> np.ndarray:
-    """A 64-bit hash of each token."""
-    texts = Texts.of(pa.array([t.encode("utf-8", "surrogatepass") for t in tokens], pa.large_binary()))
-    return span_hashes(texts.buf, texts.starts, texts.ends)
+def hashed(text: str) -> int:
+    return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def frame_key(host: str, frame: str) -> int:
+    """A frame of a host as a signed 64-bit number."""
+    return int(np.uint64(hashed(f"{host}\0{frame}")).view(np.int64))
 
 
 @dataclass
 class Streams:
-    """The token streams of a pack's pages, one after the other.
+    """The token streams of some pages, one after the other.
 
     A page's stream has, for each block, a token for its containers (its frame) and its words. Plain
     prose of an article or main element is no boilerplate wherever else it stands: it is left out,
     and parts the stream into runs. ``token`` is a hash; ``end``: where the run of each token ends.
     """
 
-    blocks: list[list[Block]]
     token: np.ndarray
     end: np.ndarray
     host: np.ndarray
     page: np.ndarray
-    #: of each block in a stream: its page's place in the pack, its place there, its first word and its end in the stream
     block: np.ndarray
 
     def windows(self) -> np.ndarray:
@@ -73,20 +83,20 @@ class Streams:
         return np.argsort(rank, kind="stable"), rank
 
 
-def streams_of(pack: Pack) -> Streams:
-    """The streams of a pack. Pages without a host have none: there is nothing to compare them with."""
-    hosts = pack.rest.column("__host").to_pylist()
+def streams_of(pages: Iterable[tuple[str | None, int, str]]) -> Streams:
+    """The streams of pages (host, its key, html). Pages without a host have none: there is nothing to compare them with."""
     ids: dict[str, int] = {}
     tokens: list[int] = []
     ends: list[tuple[int, int]] = []
-    all_blocks, of_page, blocks = [], [], []
-    for i, host in enumerate(hosts):
-        found = blocks_of(pack.texts.bytes_of(i).decode("utf-8", "replace"))
-        all_blocks.append(found)
+    of_page: list[tuple[int, int, int]] = []
+    blocks: list[tuple] = []
+    for number, (host, key, page) in enumerate(pages):
         if host is None:
             continue
-        begin, page_begin = len(tokens), len(tokens)
-        for b, block in enumerate(found):
+        found = blocks_of(page)
+        begin = page_begin = len(tokens)
+        plain = sum(len(b.words) for b in found if not b.marked)
+        for block in found:
             if block.declared:
                 if len(tokens) > begin:
                     ends.append((begin, len(tokens)))
@@ -95,17 +105,16 @@ def streams_of(pack: Pack) -> Streams:
             tokens.append(ids.setdefault("\0" + block.frame, len(ids)))
             first = len(tokens)
             tokens.extend([ids.setdefault(word, len(ids)) for word in block.words])
-            blocks.append((i, b, first, len(tokens)))
+            text = int(np.uint64(hashed(" ".join(block.words))).view(np.int64))
+            blocks.append((number, key, frame_key(host, block.frame), text, first, len(tokens), plain, block.marked, block.inside and not block.marked))
         if len(tokens) > begin:
             ends.append((begin, len(tokens)))
-        of_page.append((i, len(tokens) - page_begin))
-    vocabulary = hashed(list(ids)) if ids else np.zeros(0, np.uint64)
-    sizes = np.array([n for _, n in of_page], np.int64)
-    pages = span_hashes(pack.texts.buf, pack.texts.starts, pack.texts.ends)
-    host_hash = hashed([h or "" for h in hosts]) if hosts else np.zeros(0, np.uint64)
-    which = np.repeat(np.array([i for i, _ in of_page], np.int64), sizes)
+        of_page.append((len(tokens) - page_begin, hashed(host), hashed(page)))
+    vocabulary = np.array([hashed(t) for t in ids], np.uint64)
+    sizes = np.array([n for n, _, _ in of_page], np.int64)
     end = np.repeat(np.array([e for _, e in ends], np.int64), np.array([e - s for s, e in ends], np.int64))
-    return Streams(all_blocks, vocabulary[np.array(tokens, np.int64)], end, host_hash[which], pages[which], np.array(blocks, np.int64).reshape(-1, 4))
+    host, page = (np.repeat(np.array([x[i] for x in of_page], np.uint64), sizes) for i in (1, 2))
+    return Streams(vocabulary[np.array(tokens, np.int64)], end, host, page, np.array(blocks, BLOCK))
 
 
 def repeated_entries(streams: Streams) -> np.ndarray:
@@ -147,22 +156,41 @@ def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]
         yield s, own
 
 
-def repeats(packs: DataFrame) -> DataFrame:
-    """``pack, shard, message``: of what each pack has, the substrings that differing pages of a host share.
+STATE = -1
+
+
+def substrings(pages: DataFrame, shards: int) -> DataFrame:
+    """``slice, shard, message``: for each slice of pages, what it sends each shard, and its state (shard STATE).
 
-    A pack sends each shard its different substrings. They are put together for PACKS_AT_ONCE packs
-    at a time, then over all of those; what is shared goes back the same way. So a substring that
-    every page of a hot host has is one entry for each pack and then one for each PACKS_AT_ONCE packs.
+    The message has the slice's different substrings, the state its blocks and the substring at each
+    of its tokens. Pages are read once for both, and no text goes further.
     """
-    size, n = packs.agg(F.sum("n_bytes"), F.count("*")).first()
-    shards, rounds = max(8, -(-(size or 0) // SHARD_BYTES)), -(-n // PACKS_AT_ONCE) or 1
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pack, _ in packs_in(batches):
-            entries = repeated_entries(streams_of(pack))
-            out = [(s, packed_bytes(entries[own].tobytes())) for s, own in _by_shard(entries["key"], shards)]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in out], pa.int32()), pa.array([pack.number] * len(out), pa.int64()),
-                                              pa.array([m for _, m in out], pa.binary())], ["shard", "pack", "message"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 24
+        for batch in slices(batches, "__html"):
+            columns = (batch.column(c).to_pylist() for c in ("__host", "__key", "__html"))
+            streams = streams_of((host, key, page or "") for host, key, page in zip(*columns, strict=True))
+            entries = repeated_entries(streams)
+            out = [(s, entries[own].tobytes()) for s, own in _by_shard(entries["key"], shards)]
+            if len(streams.block):
+                out.append((STATE, len(streams.block).to_bytes(8, "little") + streams.block.tobytes()
+                            + streams.windows().tobytes() + streams.end.astype("<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([number] * len(out), pa.int64()), pa.array([s for s, _ in out], pa.int32()),
+                                              pa.array([packed_bytes(m) for _, m in out], pa.binary())], ["slice", "shard", "message"])
+            number += 1
+
+    return written(pages.select("__host", "__key", "__html").mapInArrow(run, "slice long, shard int, message binary"), "substrings")
+
+
+def repeats(sent: DataFrame) -> DataFrame:
+    """``slice, shard, message``: of what each slice has sent, the substrings that differing pages of a host share.
+
+    Messages are put together for SLICES_AT_ONCE slices at a time, then over all of those; what is
+    shared goes back the same way. So a substring that every page of a hot host has is one entry for
+    each slice and then one for each SLICES_AT_ONCE slices.
+    """
+    rounds = -(-sent.filter(F.col("shard") == STATE).count() // SLICES_AT_ONCE) or 1
 
     def put_together(table: pa.Table) -> pa.Table:
         both = merged(table.column("message").to_pylist())
@@ -176,88 +204,80 @@ def repeats(packs: DataFrame) -> DataFrame:
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         keys = np.frombuffer(unpacked(known.column("shared")[0].as_py()), "<u8") if known.num_rows else np.zeros(0, "<u8")
         out = []
-        for s, pack, message in zip(*(asked.column(c).to_pylist() for c in ("shard", "pack", "message")), strict=True):
+        for s, place, message in zip(*(asked.column(c).to_pylist() for c in ("shard", "slice", "message")), strict=True):
             own = np.unique(np.frombuffer(unpacked(message), ENTRY)["key"])
             own = own[np.isin(own, keys, assume_unique=True)]
             if len(own):
-                out.append((pack, s, packed_bytes(own.tobytes())))
-        return pa.table([pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["pack", "shard", "message"])
+                out.append((place, s, packed_bytes(own.tobytes())))
+        return pa.table([pa.array([x[i] for x in out], kind) for i, kind in enumerate((pa.int64(), pa.int32(), pa.binary()))], ["slice", "shard", "message"])
 
-    turn = F.pmod(F.xxhash64("pack"), F.lit(rounds)).cast("int").alias("turn")
-    messages = written(packs.select("pack", "sizes", "body", "rest").mapInArrow(send, "shard int, pack long, message binary").select("*", turn), "substrings")
+    turn = F.pmod(F.xxhash64("slice"), F.lit(rounds)).cast("int").alias("turn")
+    messages = sent.filter(F.col("shard") != STATE).select("*", turn)
     partial = messages.groupBy("shard", "turn").applyInArrow(put_together, "shard int, message binary")
     known = partial.groupBy("shard").applyInArrow(shared, "shard int, shared binary")
     known = known.select("*", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("turn"))
-    return messages.groupBy("shard", "turn").cogroup(known.groupBy("shard", "turn")).applyInArrow(answer, "pack long, shard int, message binary")
+    return messages.groupBy("shard", "turn").cogroup(known.groupBy("shard", "turn")).applyInArrow(answer, "slice long, shard int, message binary")
 
 
-def covered_blocks(streams: Streams, shared: np.ndarray) -> np.ndarray:
-    """Which blocks of the streams have at least half their words in shared substrings."""
-    hit = np.isin(streams.windows(), shared) if len(streams.token) else np.zeros(0, bool)
-    at = np.flatnonzero(hit)
-    step = np.zeros(len(hit) + 1, np.int64)
-    np.add.at(step, at, 1)
-    np.subtract.at(step, np.minimum(at + WINDOW, streams.end[at]), 1)
+def covered_blocks(block: np.ndarray, windows: np.ndarray, ends: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Which blocks have at least half their words in shared substrings."""
+    hit = np.flatnonzero(np.isin(windows, shared))
+    step = np.zeros(len(windows) + 1, np.int64)
+    np.add.at(step, hit, 1)
+    np.subtract.at(step, np.minimum(hit + WINDOW, ends[hit]), 1)
     before = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
-    first, end = streams.block[:, 2], streams.block[:, 3]
+    first, end = block["first"].astype(np.int64), block["end"].astype(np.int64)
     return 2 * (before[end] - before[first]) >= end - first
 
 
-def _frame_keys(host: str, frames: list[str]) -> list[int]:
-    return hashed([f"{host}\0{frame}" for frame in frames]).view(np.int64).tolist() if frames else []
-
-
-def _votes(pack: Pack, shared: np.ndarray) -> pa.RecordBatch:
+def _votes(state: bytes, shared: np.ndarray) -> pa.RecordBatch:
     """Of each block in a stream: its frame on its host, its text, and whether it is covered.
 
     A page of which more than half the words that its markup does not set aside are covered is a copy
     of another page, and no witness of what is boilerplate; its frames are only asked about.
     """
-    streams, hosts = streams_of(pack), pack.rest.column("__host").to_pylist()
-    covered = covered_blocks(streams, shared)
-    pages: dict[int, list[tuple[int, bool]]] = {}
-    for (page, place, *_), is_covered in zip(streams.block.tolist(), covered.tolist(), strict=True):
-        pages.setdefault(page, []).append((place, is_covered))
-    out: set[tuple[int, int | None, bool, bool]] = set()
-    for page, found in pages.items():
-        blocks = streams.blocks[page]
-        plain = sum(len(b.words) for b in blocks if not b.marked)
-        copied = sum(len(blocks[place].words) for place, is_covered in found if is_covered and not blocks[place].marked)
-        keys = _frame_keys(hosts[page], [blocks[place].frame for place, _ in found])
-        texts = hashed([" ".join(blocks[place].words) for place, _ in found]).view(np.int64).tolist()
-        for (place, is_covered), key, text in zip(found, keys, texts, strict=True):
-            undecided = blocks[place].inside and not blocks[place].marked
-            if 2 * copied <= plain:
-                out.add((key, text, is_covered, undecided))
-            elif undecided:
-                out.add((key, None, False, True))
-    rows = list(out)
-    return pa.RecordBatch.from_arrays([pa.array([pack.number] * len(rows), pa.int64()), *(
-        pa.array([x[i] for x in rows], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.bool_(), pa.bool_())))],
-        ["pack", "frame", "text", "covered", "open"])
-
-
-def boilerplate_frames(packs: DataFrame) -> DataFrame:
-    """``pack, frame``: the frames that a pack's pages leave open and that hold boilerplate on their host.
+    n, at = int.from_bytes(state[:8], "little"), 8
+    block = np.frombuffer(state, BLOCK, n, at)
+    at += n * BLOCK.itemsize
+    tokens = (len(state) - at) // 12
+    windows, ends = np.frombuffer(state, "<u8", tokens, at), np.frombuffer(state, "<u4", tokens, at + 8 * tokens).astype(np.int64)
+    covered = covered_blocks(block, windows, ends, shared)
+    words = np.where(covered & ~block["marked"], block["end"] - block["first"], 0)
+    copied = np.bincount(block["page"], words)[block["page"]] * 2 > block["plain"]
+    kept = ~copied | block["open"]
+    rows = np.zeros(n, [("host", "<i8"), ("frame", "<i8"), ("text", "<i8"), ("covered", "?"), ("open", "?"), ("null", "?")])
+    rows["host"], rows["frame"], rows["open"], rows["null"] = block["host"], block["frame"], block["open"], copied
+    rows["text"], rows["covered"] = np.where(copied, 0, block["text"]), covered & ~copied
+    rows = np.unique(rows[kept])
+    columns = [pa.array(rows["host"]), pa.array(rows["frame"]), pa.array(rows["text"], mask=rows["null"]), pa.array(rows["covered"]), pa.array(rows["open"])]
+    return pa.RecordBatch.from_arrays(columns, ["host", "frame", "text", "covered", "open"])
+
+
+def boilerplate_frames(pages: DataFrame) -> DataFrame:
+    """``host, frame``: the keys of frames that pages leave open and that hold boilerplate on their host.
 
     Those are frames of whose different texts more than half are covered by substrings that differing
     pages share. A text counts once however many pages have it.
     """
+    size = pages.agg(F.sum(F.octet_length("__html"))).first()[0] or 0
+    sent = substrings(pages, max(8, -(-size // SHARD_BYTES)))
+    answers = repeats(sent).groupBy("slice").agg(F.collect_list("message").alias("answers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pack, row in packs_in(batches):
-            got = [np.frombuffer(unpacked(x["message"]), "<u8") for x in row["answers"] or []]
-            yield _votes(pack, np.sort(np.concatenate(got)) if got else np.zeros(0, "<u8"))
+        for batch in batches:
+            for row in (batch.slice(i, 1).to_pylist()[0] for i in range(batch.num_rows)):
+                got = [np.frombuffer(unpacked(x), "<u8") for x in row["answers"] or []]
+                yield _votes(unpacked(row["message"]), np.sort(np.concatenate(got)) if got else np.zeros(0, "<u8"))
 
-    asked = with_answers(packs.select("pack", "sizes", "body", "rest"), repeats(packs))
-    votes = written(asked.mapInArrow(run, VOTES), "votes")
-    texts = votes.filter("text IS NOT NULL").groupBy("frame", "text").agg(F.max("covered").alias("covered"))
-    frames = texts.groupBy("frame").agg(F.count_if("covered").alias("n_covered"), F.count("*").alias("n"))
-    frames = written(frames.filter("2 * n_covered > n").select("frame"), "frames")
-    return votes.filter("open").select("pack", "frame").distinct().join(frames, "frame")
+    states = sent.filter(F.col("shard") == STATE).select("slice", "message").join(answers, "slice", "left")
+    votes = states.select("message", "answers").mapInArrow(run, VOTES)
+    texts = votes.groupBy("host", "frame", "text").agg(F.max("covered").alias("covered"), F.max("open").alias("open"))
+    frames = texts.groupBy("host", "frame").agg(F.count_if("covered").alias("n_covered"), F.count("text").alias("n"), F.max("open").alias("open"))
+    return frames.filter("open AND 2 * n_covered > n").select("host", "frame")
 
 
-def main_texts(pages: DataFrame, html: str = "html", url: str = "url", kept: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
+def main_texts(pages: DataFrame, html: str = "html", url: str = "url", kept: tuple[str, ...] = ("page_id", "url"),
+               sent_rows: int = SENT_ROWS) -> DataFrame:
     """The ``kept`` columns, ``text`` and ``n_chars`` (code points), ``n_blocks`` and ``n_removed`` of each page.
 
     ``text`` has the page's blocks that are left, joined by \\n. Those go that stand, on their host,
@@ -271,32 +291,33 @@ def main_texts(pages: DataFrame, html: str = "html", url: str = "url", kept: tup
     unclosed comment, script or tag hides what follows it. Pages may be of any length and columns of
     any name; an empty table gives no row.
     """
+    small_batches(pages)
     host = F.lower(F.regexp_extract(F.col(f"`{url}`").cast("string"), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1))
     columns = [F.col(f"`{c}`").alias(f"__kept{i}") for i, c in enumerate(kept)]
-    rows = pages.select(F.col(f"`{html}`").cast("string").alias("text"), F.when(host != "", host).alias("__host"), *columns)
-    packs = packs_of(rows, "pages")
-    answers = boilerplate_frames(packs).groupBy("pack").agg(F.collect_list("frame").alias("frames"))
+    rows = pages.select(F.col(f"`{html}`").cast("string").alias("__html"), F.when(host != "", host).alias("__host"),
+                        F.xxhash64(host).alias("__key"), *columns)
+    frames = written(boilerplate_frames(rows), "frames")
+    # up to a checked number they go to every task; more are joined to the pages of their host
+    gone = frozenset(r["frame"] for r in frames.collect()) if frames.count() <= sent_rows else None
+    if gone is None:
+        of_host = written(frames.groupBy("host").agg(F.collect_list("frame").alias("__gone")), "host-frames")
+        rows = rows.join(of_host, F.col("__key") == F.col("host"), "left").drop("host")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for pack, row in packs_in(batches):
-            gone, rest = set(row["frames"] or []), pack.rest
-            hosts = rest.column("__host").to_pylist()
-            texts, n_blocks = [], []
-            for i, host in enumerate(hosts):
-                blocks = blocks_of(pack.texts.bytes_of(i).decode("utf-8", "replace"))
-                left = [b for b in blocks if b.inside and not b.marked]
-                if gone and host is not None:
-                    keys = _frame_keys(host, [b.frame for b in left])
-                    left = [b for b, key in zip(left, keys, strict=True) if b.declared or key not in gone]
+        for batch in slices(batches, "__html"):
+            hosts, texts, counts = batch.column("__host").to_pylist(), [], []
+            more = batch.column("__gone").to_pylist() if gone is None else None
+            for i, page in enumerate(batch.column("__html").to_pylist()):
+                blocks, drop = blocks_of(page or ""), gone if more is None else set(more[i] or [])
+                left = [b for b in blocks if b.inside and not b.marked and (b.declared or not drop or hosts[i] is None or frame_key(hosts[i], b.frame) not in drop)]
                 texts.append("\n".join(" ".join(b.words) for b in left))
-                n_blocks.append((len(blocks), len(blocks) - len(left)))
-            yield pa.RecordBatch.from_arrays([*(rest.column(f"__kept{i}").combine_chunks() for i in range(len(kept))), pa.array(texts, pa.string()), *(
-                pa.array(x, pa.int64()) for x in ([len(t) for t in texts], [n for n, _ in n_blocks], [n for _, n in n_blocks]))], names)
+                counts.append((len(texts[-1]), len(blocks), len(blocks) - len(left)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(f"__kept{i}") for i in range(len(kept))), pa.array(texts, pa.string()),
+                                              *(pa.array([c[i] for c in counts], pa.int64()) for i in range(3))], names)
 
     names = [*(f"__kept{i}" for i in range(len(kept))), "__text", "__chars", "__blocks", "__removed"]
     kinds = [*(rows.schema[c].dataType.simpleString() for c in names[:len(kept)]), "string", "long", "long", "long"]
-    asked = packs.select("pack", "sizes", "body", "rest").join(answers, "pack", "left")
-    out = asked.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in zip(names, kinds, strict=True)))
+    out = rows.mapInArrow(run, ", ".join(f"{c} {kind}" for c, kind in zip(names, kinds, strict=True)))
     return out.toDF(*kept, "text", "n_chars", "n_blocks", "n_removed")
 
 

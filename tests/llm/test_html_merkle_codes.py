@@ -5,13 +5,12 @@ import math
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from conftest import SMALL
 
 from nameharbor.llm import html_extraction, merkle_manifest, vector_codes
 from nameharbor.llm.html_text import blocks_of
-from nameharbor.llm.packs import Pack, packed_bytes
+from nameharbor.llm.packs import packed_bytes
 
 
 # --- extraction
@@ -35,17 +34,6 @@ def test_blocks(page, text):
     assert shown(page) == text
 
 
-def pack_of(pages):
-    """A pack of (host, html) as one task sees it."""
-    rest = pa.table({"__host": pa.array([h for h, _ in pages], pa.string())})
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, rest.schema) as stream:
-        stream.write_table(rest)
-    data = [p.encode() for _, p in pages]
-    return Pack({"pack": 0, "sizes": np.array([len(d) for d in data], np.int64).tobytes(), "body": packed_bytes(b"".join(data)),
-                 "rest": packed_bytes(sink.getvalue().to_pybytes())})
-
-
 def random_pages(seed, n=40):
     rng = np.random.default_rng(seed)
     chrome = [" ".join(f"c{x}" for x in rng.integers(0, 6, rng.integers(1, 30))) for _ in range(5)]
@@ -60,7 +48,7 @@ def random_pages(seed, n=40):
 def test_suffixes_find_what_pages_share(seed):
     """Against a dictionary of every substring of WINDOW tokens, shorter at the end of a stream."""
     pages = random_pages(seed)
-    streams = html_extraction.streams_of(pack_of(pages))
+    streams = html_extraction.streams_of((host, 0, page) for host, page in pages)
     of_window = {}
     for host, page in pages:
         tokens = [t for b in blocks_of(page) for t in ("\0" + b.frame, *b.words)]
@@ -84,7 +72,7 @@ def test_suffixes_find_what_pages_share(seed):
     entries = html_extraction.merged([packed_bytes(html_extraction.repeated_entries(streams).tobytes())])
     keys = entries["key"]
     shared = keys[1:][keys[1:] == keys[:-1]]
-    assert html_extraction.covered_blocks(streams, shared).tolist() == expect
+    assert html_extraction.covered_blocks(streams.block, streams.windows(), streams.end, shared).tolist() == expect
     order, rank = streams.suffixes()
     assert (np.diff(rank[order]) >= 0).all() and sorted(order.tolist()) == list(range(len(rank)))
     assert len(np.unique(rank)) == len({tuple(w) for w in of_window if w[0] is not None})
@@ -96,7 +84,8 @@ def template(i, text, notice="Please read our terms before you use this site at
             f"<p>paragraph number {i} of this page says {i * 7919} things</p></div><div class='x2'>{notice}</div></body></html>")
 
 
-def test_repeats_go_and_texts_stay(spark):
+@pytest.mark.parametrize("sent_rows", [0, 100])
+def test_repeats_go_and_texts_stay(spark, sent_rows):
     """Unmarked parts that a host repeats go; copies, passages that articles share and pages without a host stay."""
     passage = "a passage that a third of all articles share with each other word for word and that is no boilerplate"
     texts = [f"article {i} has words of its own {i * 31} {i * 17} and " + (passage if i % 3 == 0 else f"nothing else {i}") for i in range(30)]
@@ -106,8 +95,8 @@ def test_repeats_go_and_texts_stay(spark):
              (203, "http://host.example.com/", None), (204, "http://host.example.com/", ""), (None, "http://host.example.com/?q", "<article><p>" + passage + "</article>")]
     rows += [(300 + i, "http://two.example.com/", f"<article><h1>t</h1><p>{passage}</p></article><footer>f</footer>") for i in range(2)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    pages = pages.selectExpr("*", "'x' AS text", "1 AS n_chars", "'y' AS __text", "2 AS pack", "'z' AS __host").repartition(5)
-    got = {r["page_id"]: r for r in html_extraction.main_texts(pages).collect()}
+    pages = pages.selectExpr("*", "'x' AS text", "1 AS n_chars", "'y' AS __text", "2 AS host", "'z' AS __host", "3 AS __key").repartition(5)
+    got = {r["page_id"]: r for r in html_extraction.main_texts(pages, sent_rows=sent_rows).collect()}
     assert len(got) == len(rows)
     for i, text in enumerate(texts):
         assert got[i]["text"] == f"{text}\nparagraph number {i} of this page says {i * 7919} things"
