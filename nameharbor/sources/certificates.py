@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.times import from_unix_ms
 from ..schemas import ENTRY_PAGE, LOG_LIST
+from .der import dns_names, names_of_certificates  # noqa: F401 -- the names of one certificate are read here too
 
 
 def read_log_list(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -95,52 +94,9 @@ def split_leaves(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return decoded.where(~lost).drop("leaf_input"), bad
 
 
-# --- names in a certificate ---
-
-_SAN = bytes.fromhex("0603551d11")  # object identifier 2.5.29.17
-_SEQUENCE, _EXTENSIONS, _BOOLEAN, _OCTETS, _DNS_NAME = 0x30, 0xA3, 0x01, 0x04, 0x82
-
-
-def _elements(data: bytes) -> Iterator[tuple[int, bytes, bytes]]:
-    """Tag, content and whole encoding of each element of a DER string."""
-    at = 0
-    while at + 2 <= len(data):
-        size, head = data[at + 1], 2
-        if size & 0x80:
-            head += size & 0x7F
-            size = int.from_bytes(data[at + 2 : at + head], "big")
-        end = at + head + size
-        if end > len(data):
-            raise ValueError("element runs past its parent")
-        yield data[at], data[at + head : end], data[at:end]
-        at = end
-
-
-def dns_names(raw: bytes) -> list[str] | None:
-    """DNS names of a certificate or of its to-be-signed part; null when unreadable."""
-    try:
-        outer = next(_elements(raw))[1]
-        fields = list(_elements(outer))
-        # a certificate holds its to-be-signed part as first of three elements
-        if len(fields) == 3 and fields[0][0] == _SEQUENCE:
-            fields = list(_elements(fields[0][1]))
-        for tag, content, _ in fields:
-            if tag != _EXTENSIONS:
-                continue
-            for _, extension, _ in _elements(next(_elements(content))[1]):
-                parts = list(_elements(extension))
-                if parts[0][2] == _SAN:
-                    value = next(p for t, p, _ in parts[1:] if t == _OCTETS)
-                    names = _elements(next(_elements(value))[1])
-                    return [name.decode("latin-1") for t, name, _ in names if t == _DNS_NAME]
-        return []
-    except (ValueError, StopIteration, IndexError):
-        return None
-
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _dns_names(raw: pd.Series) -> pd.Series:
-    return raw.map(dns_names, na_action="ignore")
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _dns_names(raw: pa.Array) -> pa.Array:
+    return names_of_certificates(raw)
 
 
 def with_dns_names(entries: DataFrame) -> DataFrame:

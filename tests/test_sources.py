@@ -260,6 +260,21 @@ def test_entry_pages(spark, rows, pages):
     assert rows(late, "index") == [(2,), (3,), (4,)]
 
 
+def test_entry_pages_of_many_folders(spark, pages, tmp_path):
+    """Reading folders by log, and others, any number of times in one process; the shared schema stays."""
+    import shutil
+
+    from nameharbor.schemas import ENTRY_PAGE
+
+    before = ENTRY_PAGE.json()
+    by_log = tmp_path / "by-log"
+    shutil.copytree(pages[0], by_log / "log_url=one", ignore=lambda _, names: [n for n in names if n == "by-log"])
+    for _ in range(3):
+        assert certificates.read_entry_pages(spark, str(by_log)).where("log_url = 'one'").count() == 7
+        assert certificates.read_entry_pages(spark, f"{pages[0]}/entry_*.json", "log/").count() == 7
+    assert ENTRY_PAGE.json() == before
+
+
 def test_log_list(spark, rows, tmp_path):
     logs = [{"description": f"Log {i}", "key": "k", "url": f"log{i}", "maximum_merge_delay": 86400, "operated_by": [i % 2]} for i in range(1, 4)]
     (tmp_path / "logs.json").write_text(json.dumps({"logs": logs, "operators": [{"name": "A", "id": 0}, {"name": "B", "id": 1}]}, indent=2))
