@@ -51,6 +51,72 @@ def zone_diff_events(snapshots: DataFrame, files: DataFrame | None = None) -> Da
     return dated.select("tld", "domain", "event_type", "snapshot_date")
 
 
+def held_events(changes: DataFrame) -> DataFrame:
+    """Events that hold, out of added (``n`` 1) and retracted (``n`` -1) ones."""
+    key = ["tld", "domain", "event_type", "snapshot_date"]
+    return changes.groupBy(*key).agg(F.sum("n").alias("n")).where("n > 0").select(*key)
+
+
+def snapshots_at(events: DataFrame, dates: DataFrame) -> DataFrame:
+    """``tld, snapshot_date, domain``: the snapshots of some dates, rebuilt from the events that hold.
+
+    A domain is in a snapshot when its last event up to then is no EXPIRATION.
+    A group is the events of one domain; ``dates`` has a few rows for each TLD.
+    """
+    asked = dates.groupBy("tld").agg(F.sort_array(F.collect_set("snapshot_date")).alias("_asked"))
+    # two events of a domain never share a date
+    event = F.struct(F.col("snapshot_date").alias("at"), (F.col("event_type") != EXPIRATION).alias("there"))
+    history = events.groupBy("tld", "domain").agg(F.sort_array(F.collect_list(event)).alias("_events"))
+
+    def present(day: Column) -> Column:
+        last = F.try_element_at(F.filter("_events", lambda e: e["at"] <= day), F.lit(-1))
+        return F.coalesce(last["there"], F.lit(False))
+
+    rows = history.join(asked, "tld")
+    return rows.select("tld", F.explode(F.filter("_asked", present)).alias("snapshot_date"), "domain")
+
+
+def event_changes(arrived: DataFrame, calendar: DataFrame, changes: DataFrame, scratch: str | None = None) -> DataFrame:
+    """What snapshots that arrive in any order change: ``tld, domain, event_type, snapshot_date, n``.
+
+    ``arrived`` is ``tld, snapshot_date, domain`` of whole snapshots, also
+    earlier than known ones or in place of one; ``calendar`` has the known
+    snapshots and ``changes`` the added and retracted events, both of the TLDs
+    that have something arriving. Only the events of an arrived date and of
+    the next one can change: they are found anew from those snapshots and the
+    one before, and what differs from the events that held is returned with
+    ``n`` 1 or -1.
+
+    Snapshots that are not at hand are rebuilt from the events. Rows move by
+    TLD and domain; a TLD's calendar is as long as its history.
+    """
+    new = arrived.select("tld", "snapshot_date").distinct().withColumn("_new", F.lit(True))
+    every = calendar.select("tld", "snapshot_date").distinct().join(new, ["tld", "snapshot_date"], "full")
+    order = Window.partitionBy("tld").orderBy("snapshot_date")
+    is_new = F.coalesce("_new", F.lit(False))
+    days = written(every.select(
+        "tld", "snapshot_date", is_new.alias("new"), F.coalesce(F.lag(is_new).over(order), F.lit(False)).alias("after_new"),
+        F.coalesce(F.lead(is_new).over(order), F.lit(False)).alias("before_new"),
+        F.lag("snapshot_date").over(order).isNull().alias("earliest"), F.lead("snapshot_date").over(order).alias("next_date"),
+    ), "calendar", path=scratch)
+    held = held_events(changes)
+    kept = snapshots_at(held, days.where("not new and (after_new or before_new)"))
+    sets = arrived.select("tld", "snapshot_date", "domain").distinct().unionByName(kept)
+    # each snapshot is looked at on its own date, and as the one before the next date
+    here = F.struct(F.col("snapshot_date").alias("at"), F.lit(True).alias("here"), (F.col("new") | F.col("after_new")).alias("_due"))
+    then = F.struct(F.col("next_date").alias("at"), F.lit(False).alias("here"), ((F.col("new") | F.col("before_new")) & F.col("next_date").isNotNull()).alias("_due"))
+    seen = sets.join(days, ["tld", "snapshot_date"]).select("tld", "domain", F.inline(F.array(here, then))).where("_due")
+    sides = seen.groupBy("tld", "at", "domain").agg(F.bool_or("here").alias("is_here"), F.bool_or(~F.col("here")).alias("was_here"))
+    first = days.where("earliest").select("tld", F.col("snapshot_date").alias("_first"))
+    kind = F.when(~F.col("is_here"), EXPIRATION).when(F.col("at") == F.col("_first"), FIRST_SEEN).otherwise(REGISTRATION)
+    found = sides.where("is_here != was_here").join(first, "tld").select("tld", "domain", kind.alias("event_type"), F.col("at").alias("snapshot_date"))
+    due = days.where("new or after_new").select("tld", "snapshot_date")
+    held_then = held.join(due, ["tld", "snapshot_date"], "left_semi")
+    key = ["tld", "domain", "event_type", "snapshot_date"]
+    both = found.select(*key, F.lit(1).alias("n")).unionByName(held_then.select(*key, F.lit(-1).alias("n")))
+    return both.groupBy(*key).agg(F.sum("n").alias("n")).where("n <> 0")
+
+
 def event_counts(events: DataFrame) -> DataFrame:
     return events.groupBy("tld", "snapshot_date", "event_type").agg(F.count("*").alias("n"))
 
