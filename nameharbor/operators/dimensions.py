@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.pseudonyms import Anonymizer
+from ..functions.pseudonyms import Anonymizer, with_pseudonyms
 from ..schemas import LEVELS
 
 #: the two tables of a level
@@ -38,6 +39,60 @@ def new_rows(names: DataFrame, dimension: DataFrame, name: str) -> DataFrame:
     return names.join(dimension.select(name), name, "left_anti")
 
 
+#: hex digits of a stored name's bucket at most, rows from which on a table is parted, and names that are looked up by value
+BUCKET_DIGITS, BUCKET_ROWS, FEW = 3, 1 << 20, 64
+
+
+def bucket_of(name: Column, n: int, rows: int = BUCKET_ROWS) -> Column:
+    """The folder of a name among ``n``: so many digits of its hash that a bucket holds about ``rows``, ``-`` for none.
+
+    Buckets of more digits are parts of those of fewer, so batches of any size are looked up together.
+    """
+    digits = 0
+    while digits < BUCKET_DIGITS and n > rows * 16**digits:
+        digits += 1
+    return F.substring(F.md5(name), 1, digits) if digits else F.lit("-")
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """Names to look up in a table: how many, the first digits of their hashes, and the names where they are few."""
+
+    n: int = 0
+    prefixes: frozenset[str] = frozenset()
+    names: tuple[str, ...] | None = ()
+
+    def condition(self, key: str) -> Column:
+        """Keeps the buckets that can hold one of the names. Few names reach the statistics and Bloom filters of the files."""
+        buckets = {"-"} | {p[:digits] for p in self.prefixes for digits in range(1, BUCKET_DIGITS + 1)}
+        # one literal, however many buckets: thousands of them would be dear to plan with
+        listed = F.lit("," + ",".join(sorted(buckets)) + ",")
+        every = len(self.prefixes) == 16**BUCKET_DIGITS
+        kept = F.lit(True) if every else listed.contains(F.concat(F.lit(","), F.col("bucket"), F.lit(",")))
+        return kept if self.names is None else kept & F.col(key).isin(list(self.names))
+
+
+def wanted_names(names: DataFrame) -> dict[tuple[str, str], Wanted]:
+    """What is looked up of each twin and level. ``names`` (``twin, level, name``) are written ones; read twice at most."""
+    start = F.substring(F.md5("name"), 1, BUCKET_DIGITS)
+    # at most 16^BUCKET_DIGITS short strings for each of eight tables
+    found = names.groupBy("twin", "level").agg(F.count("*").alias("n"), F.collect_set(start).alias("prefixes")).collect()
+    few = [(r.twin, r.level) for r in found if r.n <= FEW]
+    values: dict[tuple[str, str], list[str]] = {table: [] for table in few}
+    if few:
+        for row in names.where(F.struct("twin", "level").isin([F.struct(F.lit(t), F.lit(v)) for t, v in few])).select(*_NAME).collect():
+            values[row.twin, row.level].append(row["name"])
+    return {
+        (r.twin, r.level): Wanted(r.n, frozenset(r.prefixes), tuple(values[r.twin, r.level]) if (r.twin, r.level) in values else None) for r in found
+    }
+
+
+def wanted_in(rows: DataFrame, key: str) -> Wanted:
+    """What is looked up of one column of written rows without copies."""
+    asked = rows.select(F.lit(PLAIN).alias("twin"), F.lit(key).alias("level"), F.col(key).alias("name"))
+    return wanted_names(asked).get((PLAIN, key), Wanted())
+
+
 def next_id(table: DataFrame, column: str = "id") -> DataFrame:
     """One row ``next_id``: one past the highest id, 1 for an empty table."""
     return table.agg((F.coalesce(F.max(column), F.lit(0)) + 1).cast("bigint").alias("next_id"))
@@ -108,24 +163,29 @@ def with_row_ids(rows: DataFrame, first: int, column: str = "id") -> DataFrame:
     return spread.select(*columns, F.explode(ids).alias(column))
 
 
+_NAME = ["twin", "level", "name"]
+#: levels that are above others
+PARENTS = LEVELS[:-1]
+
+
 def level_names(sightings: DataFrame, anonymizer: Anonymizer) -> DataFrame:
-    """``twin, level, name, create`` of all levels in a batch, plain and as pseudonyms.
+    """``twin, level, name, create`` of all levels in a batch, plain and as pseudonyms, with the names of the levels above.
 
     One pass and one shuffle; a TLD that all rows share is one row per task by then.
     """
+
+    def spelled(twin: str, level: str) -> Column:
+        return F.col(level) if twin == PLAIN else F.col(f"{level}_anon")
+
     each = F.explode(F.array(*[
-        F.struct(F.lit(twin).alias("twin"), F.lit(level).alias("level"), name.alias("name"), create.alias("create"))
-        for level in LEVELS
-        for twin, name, create in (
-            (PLAIN, F.col(level), ~F.col("anonymous")),
-            (ANON, anonymizer.of(level, F.col(level)), F.col("anonymous")),
+        F.struct(
+            F.lit(twin).alias("twin"), F.lit(level).alias("level"), spelled(twin, level).alias("name"), create.alias("create"),
+            *[(spelled(twin, p) if p in LEVELS[: LEVELS.index(level)] else F.lit(None).cast("string")).alias(p) for p in PARENTS],
         )
+        for level in LEVELS for twin, create in ((PLAIN, ~F.col("anonymous")), (ANON, F.col("anonymous")))
     ]))
-    rows = sightings.select(each.alias("n")).select("n.*")
-    return rows.groupBy("twin", "level", "name").agg(F.bool_or("create").alias("create"))
-
-
-_NAME = ["twin", "level", "name"]
+    rows = with_pseudonyms(sightings, anonymizer).select(each.alias("n")).select("n.*")
+    return rows.groupBy(*_NAME).agg(F.bool_or("create").alias("create"), *[F.min(p).alias(p) for p in PARENTS])
 
 
 def known_names(wanted: DataFrame, stored: DataFrame) -> DataFrame:
@@ -139,16 +199,43 @@ def known_names(wanted: DataFrame, stored: DataFrame) -> DataFrame:
 
 
 def resolve(known: DataFrame, highest: dict[tuple[str, str], int]) -> DataFrame:
-    """``twin, level, name, id, is_new``: the stored names, and new ones to create.
+    """``twin, level, name, id, is_new`` and the names above: the stored names, and new ones to create.
 
     New ids go on from ``highest``, by twin and level.
     """
-    fresh = with_ids(known.where("id is null and create").select(*_NAME), "name", within=("twin", "level"))
+    fresh = with_ids(known.where("id is null and create").select(*_NAME, *PARENTS), "name", within=("twin", "level"))
     base = F.lit(0)
     for (twin, level), last in highest.items():
         base = F.when((F.col("twin") == twin) & (F.col("level") == level), F.lit(last)).otherwise(base)
-    fresh = fresh.select(*_NAME, (F.col("id") + base).alias("id"), F.lit(True).alias("is_new"))
-    return known.where("id is not null").select(*_NAME, "id", F.lit(False).alias("is_new")).unionByName(fresh)
+    fresh = fresh.select(*_NAME, *PARENTS, (F.col("id") + base).alias("id"), F.lit(True).alias("is_new"))
+    return known.where("id is not null").select(*_NAME, *PARENTS, "id", F.lit(False).alias("is_new")).unionByName(fresh)
+
+
+def name_rows(ids: DataFrame) -> DataFrame:
+    """New rows of all name tables with the ids of the levels above.
+
+    Many rows may share a parent: adaptive skew handling splits those.
+    """
+    rows = ids.where("is_new")
+    for parent in PARENTS:
+        above = ids.where(F.col("level") == parent).select("twin", F.col("name").alias(parent), F.col("id").alias(f"{parent}_id"))
+        rows = rows.join(above, ["twin", parent], "left")
+    return rows
+
+
+def link_rows(ids: DataFrame, anonymizer: Anonymizer) -> DataFrame:
+    """``level, anon_id, plain_id`` of pseudonyms and plain rows that are both stored now, and were not both before.
+
+    The side that came later makes the link, so no stored row changes.
+    """
+    pseudonym = F.lit(None).cast("string")
+    for level in LEVELS:
+        pseudonym = F.when(F.col("level") == level, anonymizer.of(level, F.col("name"))).otherwise(pseudonym)
+    plain = ids.where(F.col("twin") == PLAIN).select(
+        "level", pseudonym.alias("pseudonym"), F.col("id").alias("plain_id"), F.col("is_new").alias("plain_new"))
+    anon = ids.where(F.col("twin") == ANON).select(
+        "level", F.col("name").alias("pseudonym"), F.col("id").alias("anon_id"), F.col("is_new").alias("anon_new"))
+    return plain.join(anon, ["level", "pseudonym"]).where("plain_new or anon_new")
 
 
 def with_parent_ids(rows: DataFrame, level: str, parents: dict[str, DataFrame]) -> DataFrame:

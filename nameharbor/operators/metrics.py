@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import LEVELS
+from ..session import small_rows
 from .dimensions import ANON
 
 INTERVAL = "1 hour"
@@ -34,30 +36,32 @@ COUNTED = {
 }
 
 
-def _points(rows: DataFrame, name: str, **tags: Column) -> DataFrame:
-    labels = [tags.get(tag, F.lit(None).cast("string")).alias(tag) for tag in ("status", "type", "key")]
-    return rows.select(F.lit(name).alias("name"), *labels, "n")
+POINT = T.StructType([*(T.StructField(tag, T.StringType()) for tag in ("name", "status", "type", "key")), T.StructField("n", T.LongType())])
 
 
-def name_points(known: DataFrame) -> DataFrame:
-    """Names a batch has stored (``db-insert``) and has found stored (``db-hit``), by type.
+def name_points(spark: SparkSession, counts: dict[tuple[str, str, bool], int]) -> DataFrame:
+    """Names a batch has stored (``db-insert``) and has found stored (``db-hit``), by type; none for a count of 0.
 
-    ``known`` is ``twin, level, create, id``, no id where a name was new.
+    ``counts`` are by twin, level and whether the names were new.
     """
-    counts = known.where("create").groupBy("twin", "level", F.col("id").isNull().alias("new")).agg(F.count("*").alias("n"))
-    kind = F.concat(F.translate("level", "_", "-"), F.when(F.col("twin") == ANON, "-anon").otherwise(""))
-    return _points(counts, "store-hits", status=F.when(F.col("new"), "db-insert").otherwise("db-hit"), type=kind)
+    return small_rows(spark, [
+        ("store-hits", "db-insert" if new else "db-hit", level.replace("_", "-") + ("-anon" if twin == ANON else ""), None, n)
+        for (twin, level, new), n in sorted(counts.items()) if n
+    ], POINT)
 
 
-def table_points(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows a batch has stored in tables of :data:`COUNTED`, none for an empty one."""
-    kind = F.col("table_name")
-    return _points(table_counts({COUNTED[t]: rows for t, rows in tables.items()}).where("n > 0"), "store-hits", status=F.lit("db-insert"), type=kind)
+def table_points(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    """Rows a batch has stored in tables of :data:`COUNTED`; none for a count of 0."""
+    return small_rows(spark, [
+        ("store-hits", "db-insert", kind, None, counts[table]) for table, kind in COUNTED.items() if counts.get(table)
+    ], POINT)
 
 
 def key_points(rows: DataFrame, name: str, key: str) -> DataFrame:
     """Rows of a batch by log or TLD."""
-    return _points(rows.groupBy(key).agg(F.count("*").alias("n")), name, key=F.col(key))
+    none = F.lit(None).cast("string")
+    counts = rows.groupBy(key).agg(F.count("*").alias("n"))
+    return counts.select(F.lit(name).alias("name"), none.alias("status"), none.alias("type"), F.col(key).alias("key"), "n")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

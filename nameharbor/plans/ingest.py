@@ -13,7 +13,7 @@ from dataclasses import dataclass, field, replace
 from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.pseudonyms import Anonymizer, with_pseudonyms
@@ -21,9 +21,9 @@ from ..functions.suffixes import SuffixRules, reject_reason, with_domain_parts
 from ..operators import dimensions as dim
 from ..operators import facts, metrics
 from ..operators.runs import with_stage
-from ..schemas import LEVEL_TABLE, LEVELS
+from ..schemas import LEVELS
 from ..session import workspace, written
-from .store import Store
+from .store import NAME_TABLES, Store
 
 
 @dataclass
@@ -92,32 +92,9 @@ def _all_at_once(spark: SparkSession, *jobs: Callable[[], object]) -> None:
             done.result()
 
 
-def _table(level: str, twin: str) -> str:
-    return LEVEL_TABLE[level] + ("_anon" if twin == dim.ANON else "")
-
-
-def _ids(ids: DataFrame, level: str, twin: str, *more: str) -> DataFrame:
+def _ids(ids: DataFrame, level: str, twin: str) -> DataFrame:
     rows = ids.where((F.col("twin") == twin) & (F.col("level") == level))
-    return rows.select(F.col("name").alias(level), "id", *more)
-
-
-def _level_rows(names: DataFrame, ids: DataFrame, level: str, twin: str, anonymizer: Anonymizer) -> DataFrame:
-    """New rows of a table with the ids of their parents."""
-    parents = LEVELS[: LEVELS.index(level)]
-    spelled = {p: F.col(p) if twin == dim.PLAIN else anonymizer.of(p, F.col(p)) for p in (level, *parents)}
-    rows = names.select(*[c.alias(p) for p, c in spelled.items()])
-    rows = rows.groupBy(level).agg(*[F.min(p).alias(p) for p in parents]) if parents else rows.distinct()
-    new = rows.join(_ids(ids, level, twin, "is_new").where("is_new").drop("is_new"), level)
-    return dim.with_parent_ids(new, level, {p: _ids(ids, p, twin) for p in parents})
-
-
-def _links(names: DataFrame, ids: DataFrame, level: str, anonymizer: Anonymizer) -> DataFrame:
-    """Links between pseudonyms and plain rows. The side that came later makes the
-    link, so no stored row changes."""
-    plain = _ids(ids, level, dim.PLAIN, "is_new").toDF(level, f"plain_{level}_id", "plain_new")
-    anon = _ids(ids, level, dim.ANON, "is_new").toDF("pseudonym", "anon_id", "anon_new")
-    known = names.select(level).distinct().withColumn("pseudonym", anonymizer.of(level, F.col(level)))
-    return known.join(plain, level).join(anon, "pseudonym").where("plain_new or anon_new")
+    return rows.select(F.col("name").alias(level), "id")
 
 
 @dataclass(frozen=True)
@@ -129,16 +106,14 @@ class _Open:
     hidden: list[str]
     highest: dict[str, int]
     scratch: str
+    #: rows written, by table
+    counts: dict[str, int] = field(default_factory=dict)
 
-    def read(self, table: str) -> DataFrame:
-        return self.store.read(table, self.hidden)
+    def read(self, table: str, wanted: dim.Wanted | None = None) -> DataFrame:
+        return self.store.read(table, self.hidden, wanted=wanted)
 
-    def write(self, table: str, rows: DataFrame) -> None:
-        self.store.write(table, self.id, rows)
-
-    def written_rows(self, table: str) -> DataFrame:
-        """What this batch has written into a table."""
-        return self.store.read(table, [], only=[self.id])
+    def write(self, table: str, rows: DataFrame, at_most: int = 0) -> None:
+        self.counts[table] = self.store.write(table, self.id, rows, at_most)
 
     def write_facts(self, table: str, rows: DataFrame) -> None:
         self.write(table, dim.with_row_ids(rows, self.next_id(table)))
@@ -150,36 +125,32 @@ class _Open:
         return written(rows, label, *folders, path=self.scratch)
 
 
-def _store_names(at: _Open, names: DataFrame, twins: set[str], anonymizer: Anonymizer) -> tuple[DataFrame, DataFrame]:
-    """Store the new names of all levels; what was known before, and ids of all names of the batch that are stored then.
+def _store_names(at: _Open, names: DataFrame, anonymizer: Anonymizer) -> tuple[DataFrame, DataFrame]:
+    """Store the new names of all levels; the ids of all names of the batch that are stored then, and the counts of names.
 
-    ``names`` is kept: ``tld, public_suffix, apex, fqdn, anonymous``. Only
-    ``twins`` can get new rows: the other tables are looked up, not written.
+    ``names`` is ``tld, public_suffix, apex, fqdn, anonymous``.
     """
-    tables = [(level, twin) for level in LEVELS for twin in (dim.PLAIN, dim.ANON)]
-    stored = reduce(DataFrame.unionByName, [
-        at.read(_table(level, twin)).select(
-            F.lit(twin).alias("twin"), F.lit(level).alias("level"), F.col(level).alias("name"), "id"
-        )
-        for level, twin in tables
-    ])
-    # three readers; the stored tables are looked through once
-    known = at.kept(dim.known_names(dim.level_names(names, anonymizer), stored), "known")
-    highest = {(twin, level): at.next_id(_table(level, twin)) - 1 for level, twin in tables}
+    spark = at.store.spark
+    wanted = at.kept(dim.level_names(names, anonymizer), "wanted")
+    asked = dim.wanted_names(wanted)
+    known = dim.known_names(wanted, at.store.names(at.hidden, asked))
+    # counted as they are written: names to be stored that were new, and that were not
+    seen = Observation()
+    of = {table: (F.col("twin") == twin) & (F.col("level") == level) & F.col("create") for table, twin, level in NAME_TABLES}
+    counts = [F.count_if(c & F.col("id").isNull()).alias(f"new_{table}") for table, c in of.items()]
+    counts += [F.count_if(c & F.col("id").isNotNull()).alias(f"old_{table}") for table, c in of.items()]
+    known = at.kept(known.observe(seen, *counts), "known")
+    highest = {(twin, level): at.next_id(table) - 1 for table, twin, level in NAME_TABLES}
     ids = at.kept(dim.resolve(known, highest), "ids", "twin", "level")
-
-    def rows_of(level: str, twin: str) -> None:
-        at.write(_table(level, twin), _level_rows(names, ids, level, twin, anonymizer))
-
-    def links_of(level: str) -> None:
-        at.write(f"{LEVEL_TABLE[level]}_anon_links", _links(names, ids, level, anonymizer))
-
+    at_most = {table: w.n for table, w in asked.items()}
     _all_at_once(
-        at.store.spark,
-        *[partial(rows_of, level, twin) for level, twin in tables if twin in twins],
-        *[partial(links_of, level) for level in LEVELS],
+        spark, lambda: at.store.write_names(at.id, dim.name_rows(ids), at_most),
+        lambda: at.store.write_links(at.id, dim.link_rows(ids, anonymizer)),
     )
-    return known, ids
+    got = seen.get
+    return ids, metrics.name_points(spark, {
+        (twin, level, new): got.get(f"{'new' if new else 'old'}_{table}") or 0 for table, twin, level in NAME_TABLES for new in (True, False)
+    })
 
 
 def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame, parts: DataFrame, fqdns: DataFrame) -> None:
@@ -191,16 +162,17 @@ def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame,
     at.write("logs", logs)
 
     key = "sha256_fingerprint"
-    stored = at.read("certificates").select(key, "id")
-    fresh = dim.new_rows(entries.select(key).distinct(), stored, key)
+    prints = at.kept(entries.select(key).distinct(), "fingerprints")
+    asked = dim.wanted_in(prints, key)
+    stored = at.read("certificates", asked).select(key, "id")
     # lookup and numbering see fingerprints only; the bytes join as they are written
-    numbered = dim.with_ids(fresh, key, at.next_id("certificates"))
+    numbered = dim.with_ids(dim.new_rows(prints, stored, key), key, at.next_id("certificates"))
     numbered = at.kept(numbered, "certificate-ids")
-    hits = stored.join(entries.select(key).distinct(), key, "left_semi")
+    hits = stored.join(prints, key, "left_semi")
     rows = facts.log_facts(entries, hits.unionByName(numbered), known_logs.select("id", "url").unionByName(logs.select("id", "url")))
     _all_at_once(
         at.store.spark,
-        lambda: at.write("certificates", facts.distinct_certificates(certificates.join(numbered, key))),
+        lambda: at.write("certificates", facts.distinct_certificates(certificates.join(numbered, key)), asked.n),
         lambda: at.write_facts("certificate_to_fqdns", facts.bridge(parts, numbered, fqdns)),
         lambda: at.write_facts("log_entries", rows),
     )
@@ -238,11 +210,9 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
         certificate_parts = at.kept(_certificate_parts(accepted["ct"], rules), "certificate-names")
         seen.append(certificate_parts.select(*LEVELS, F.lit(False).alias("anonymous")))
     if seen:
-        # distinct names are far fewer than sightings, and every table reads them
-        names = at.kept(reduce(DataFrame.unionByName, seen).distinct(), "names")
-        twins = {dim.ANON if source == "entrada" else dim.PLAIN for source in accepted}
-        known, ids = _store_names(at, names, twins, anonymizer)
-        points.append(metrics.name_points(known))
+        # distinct names are far fewer than sightings
+        ids, name_points = _store_names(at, reduce(DataFrame.unionByName, seen).distinct(), anonymizer)
+        points.append(name_points)
 
     writes: list[Callable[[], None]] = []
     if "ct" in accepted:
@@ -265,7 +235,7 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
     if rejects:
         writes.append(partial(at.write, "rejects", reduce(DataFrame.unionByName, rejects)))
     _all_at_once(at.store.spark, *writes)
-    points.append(metrics.table_points({table: at.written_rows(table) for table in metrics.COUNTED}))
+    points.append(metrics.table_points(at.store.spark, at.counts))
     if "ct" in accepted:
         points.append(metrics.key_points(accepted["ct"], "log-entries", "log_url"))
     if "zone" in accepted:

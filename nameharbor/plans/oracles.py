@@ -165,18 +165,28 @@ def _hits() -> str:
 
 
 def _batch_points() -> str:
-    levels = [
-        f"SELECT '{level.replace('_', '-')}' AS type, {level} AS name, ts >= TIMESTAMP '2024-01-15' AS late FROM obs"
-        for level in ("tld", "public_suffix", "apex", "fqdn")
-    ]
-    return f"""WITH {OBS}, names AS (
-      SELECT type, name, bool_or(late) AS late, bool_or(NOT late) AS early FROM ({' UNION ALL '.join(levels)}) GROUP BY type, name)
-      SELECT * FROM (
+    levels = ("tld", "public_suffix", "apex", "fqdn")
+    suffixes = {"tld": "'com'", "public_suffix": "suffix", "apex": "apex", "fqdn": "dns_name"}
+    zoned = {"tld": "tld", "public_suffix": "tld", "apex": "domain", "fqdn": "domain"}
+    plain = " UNION ALL ".join(
+        f"SELECT '{x.replace('_', '-')}' AS type, {x} AS name, ts >= TIMESTAMP '2024-01-15' AS late FROM obs "
+        f"UNION ALL SELECT '{x.replace('_', '-')}', {suffixes[x]}, true FROM certname "
+        f"UNION ALL SELECT '{x.replace('_', '-')}', {zoned[x]}, true FROM diff" for x in levels)
+    anon = " UNION ALL ".join(f"SELECT '{x.replace('_', '-')}-anon' AS type, count(DISTINCT {x}) AS n FROM obs" for x in levels)
+    return f"""WITH {OBS}, {CERT}, {EVENTS}, names AS (
+      SELECT type, name, bool_or(late) AS late, bool_or(NOT late) AS early FROM ({plain}) GROUP BY type, name),
+      hits AS (
         SELECT 'db-insert' AS status, type, count(*) AS n FROM names GROUP BY type
         UNION ALL SELECT 'db-hit', type, count(*) FROM names WHERE late AND early GROUP BY type
-        UNION ALL SELECT 'db-insert', type || '-anon', count(*) FROM names GROUP BY type
+        UNION ALL SELECT 'db-insert', type, n FROM ({anon})
         UNION ALL SELECT 'db-insert', 'passive-entry', count(*) FROM obs
-        UNION ALL SELECT 'db-insert', 'entrada-entry', count(DISTINCT fqdn) FROM obs)"""
+        UNION ALL SELECT 'db-insert', 'entrada-entry', count(DISTINCT fqdn) FROM obs
+        UNION ALL SELECT 'db-insert', 'zone-entry', count(*) FROM diff
+        UNION ALL SELECT 'db-insert', 'cert', count(DISTINCT sha256_fingerprint) FROM cert
+        UNION ALL SELECT 'db-insert', 'log', count(DISTINCT log_url) FROM cert)
+      SELECT 'store-hits' AS name, status, type, '-' AS key, n FROM hits
+      UNION ALL SELECT 'log-entries', '-', '-', log_url, count(*) FROM cert GROUP BY log_url
+      UNION ALL SELECT 'zone-entries', '-', '-', tld, count(*) FROM diff GROUP BY tld"""
 
 
 SIGHTINGS = f"""{CERT}, {SNAPROWS}, sightings AS (
@@ -309,7 +319,7 @@ ORACLES: dict[str, str] = {
         coalesce(max(epoch_us(ts) // 1000) FILTER ((event_id + user_id) % 3 = 2), 0) AS last_expired_ms FROM obs GROUP BY apex""",
     "stream_passive_ingest": f"""WITH {OBS} SELECT fqdn, count(*) AS n, min(epoch_us(ts) // 1000) AS first_ms, max(epoch_us(ts) // 1000) AS last_ms
         FROM obs GROUP BY fqdn""",
-    "stream_entrada_ingest": f"""WITH {OBS} SELECT sha256(fqdn || '4') AS fqdn, count(*) AS n, CAST(0 AS BIGINT) AS n_linked,
+    "stream_entrada_ingest": f"""WITH {OBS} SELECT sha256(fqdn || '4') AS fqdn, count(*) AS n, count(*) FILTER (event_type = 'click') AS n_linked,
         max(epoch_us(ts) // 1000) AS last_ms FROM obs GROUP BY obs.fqdn""",
     "stream_ct_tail": f"""WITH {CERT} SELECT log_url, count(*) AS n_entries, count(DISTINCT sha256_fingerprint) AS n_certificates,
         max(index) + 1 AS resume_index FROM cert GROUP BY log_url""",

@@ -21,7 +21,9 @@ from ..operators import dimensions as dim
 from ..schemas import LEVEL_TABLE, LEVELS
 from ..session import fresh_path, prepare, written
 from ..sources import passive, warehouse, zones
+from ..sources.pages import Pages
 from ..streaming import jobs
+from ..streaming.tail import tail_logs
 from . import vantage
 from .folders import store_round
 from .ingest import Batch, accept, ingest
@@ -502,8 +504,12 @@ def log_entries(t: Tables) -> DataFrame:
     return t.cert().select("log_url", "index", "ts")
 
 
+def stored_until() -> Column:
+    return F.to_timestamp(F.lit("2024-01-01 03:00:00"))
+
+
 def is_stored() -> Column:
-    return F.col("ts") < F.to_timestamp(F.lit("2024-01-01 03:00:00"))
+    return F.col("ts") < stored_until()
 
 
 def stored_entries(t: Tables) -> DataFrame:
@@ -520,25 +526,33 @@ def window_times() -> dict[str, Column]:
     return {name: F.to_timestamp(F.lit(text)) for name, text in bounds.items()}
 
 
-def window_indexes(t: Tables) -> DataFrame:
-    return ct.indexes_by_time(log_entries(t), ct.tree_heads(log_entries(t)), **window_times())
+def landed_log_entries(t: Tables) -> Pages:
+    """The entries of the logs in pages, without the certificates."""
+    entries = log_entries(t)
+    pages = Pages(t.spark, fresh_path(t.spark, "pages"), entries.schema, size=2_000)
+    pages.land("all", entries)
+    return pages
 
 
 @query
 def ct_index_by_date(t: Tables) -> DataFrame:
-    return window_indexes(t)
+    return landed_log_entries(t).indexes_by_time(**window_times())
 
 
 @query
 def ct_index_range(t: Tables) -> DataFrame:
-    ranges = ct.position_ranges(ct.log_positions(log_entries(t), is_stored(), **window_times()))
-    return ct.entries_in_ranges(log_entries(t), ranges).select("log_url", "index")
+    """Entries of a window of time that come after the last stored one, out of the pages that can hold them."""
+    pages = landed_log_entries(t)
+    stored = pages.last_before(stored_until()).withColumn("resume_index", F.col("found") + 1)
+    positions = pages.heads().join(stored, "log_url", "left").join(pages.indexes_by_time(**window_times()), "log_url")
+    ranges = ct.position_ranges(positions.withColumn("resume_index", F.coalesce("resume_index", F.lit(0))))
+    found = [(r.log_url, r.start_index, r.end_index) for r in ranges.collect()]  # one row per log
+    return pages.in_ranges(found).select("log_url", "index")
 
 
 @query
 def ct_scan_from_time(t: Tables) -> DataFrame:
-    since = F.to_timestamp(F.lit("2024-01-01 02:00:00"))
-    return ct.scan_from_time(log_entries(t), ct.tree_heads(log_entries(t)), since).select("log_url", "index")
+    return landed_log_entries(t).since(F.to_timestamp(F.lit("2024-01-01 02:00:00"))).select("log_url", "index")
 
 
 @query
@@ -633,13 +647,15 @@ def halves(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 @query
 def ingest_metrics(t: Tables) -> DataFrame:
-    """Counts that two batches leave in the store, the second with the warehouse as well."""
+    """Counts that two batches leave in the store, the second with the warehouse, the zones and the logs as well."""
     store = Store(t.spark, fresh_path(t.spark, "store"))
-    more = [{}, {"entrada": in_run(warehouse.as_sightings(warehouse_rows(t)))}]
+    zone = written(zone_sightings(t).drop("tld"), "zone-events")  # names, facts and counts read it: diff once
+    more = [{}, {"entrada": in_run(warehouse.as_sightings(warehouse_rows(t))), "zone": in_run(zone), "ct": in_run(t.cert())}]
     for number, (half, also) in enumerate(zip(halves(t), more, strict=True)):
         batch = Batch(str(number), passive=in_run(half.select(F.col("fqdn").alias("query"), "ts")), **also)
         ingest(store, batch, current_stage(t.spark), suffix_rules(t.spark), SALTS)
-    return store.read("metrics").groupBy("status", "type").agg(F.sum("n").alias("n"))
+    tags = [F.coalesce(tag, F.lit("-")).alias(tag) for tag in ("status", "type", "key")]
+    return store.read("metrics").groupBy("name", *tags).agg(F.sum("n").alias("n"))
 
 
 @query
@@ -681,17 +697,39 @@ def metrics_zone_entries(t: Tables) -> DataFrame:
 # --- streams ---
 
 
-def event_stream(t: Tables) -> DataFrame:
-    return jobs.read_landed(t.spark, t.landing("events"), t.events().schema)
+#: days at which the events of the streams are cut into what lands one after the other
+LANDINGS = ("2024-01-11", "2024-01-21")
+
+
+def landed_in_parts(rows: DataFrame, ts: str, label: str, latest_first: bool = False) -> tuple[str, int]:
+    """Rows as a folder in which the days up to each of :data:`LANDINGS` landed one after the other; files of each part."""
+    path = fresh_path(rows.sparkSession, label)
+    cuts = [None, *(instant(day) for day in LANDINGS), None]
+    parts = list(zip(cuts[:-1], cuts[1:], strict=True))
+    files = 1 + rows.count() // 1_000_000
+    for start, end in reversed(parts) if latest_first else parts:
+        part = rows if start is None else rows.where(F.col(ts) >= start)
+        part = part if end is None else part.where(F.col(ts) < end)
+        part.repartition(files).write.mode("append").parquet(path)
+    return path, files
 
 
-def streamed(t: Tables, source: str, stream: DataFrame, sightings: Callable[[DataFrame], DataFrame]) -> Store:
-    """Drain a stream into a fresh store."""
-    root = fresh_path(t.spark, f"stream-{source}")
+def event_stream(t: Tables, latest_first: bool = False) -> DataFrame:
+    """The events as a stream of three landings, one for each micro-batch."""
+    path, files = landed_in_parts(t.events(), "ts", "landed-events", latest_first)
+    return jobs.read_landed(t.spark, path, t.events().schema, files)
+
+
+def drained(t: Tables, store: str, source: str, stream: DataFrame, sightings: Callable[[DataFrame], DataFrame]) -> Store:
+    """Drain a stream into a store."""
     rules: SuffixRules = suffix_rules(t.spark)
-    step = jobs.ingest_step(f"{root}/store", source, current_stage(t.spark), rules, SALTS, sightings)
-    jobs.run(stream, source, f"{root}/checkpoint", step)
-    return Store(t.spark, f"{root}/store")
+    step = jobs.ingest_step(store, source, current_stage(t.spark), rules, SALTS, sightings)
+    jobs.run(stream, source, fresh_path(t.spark, f"checkpoint-{source}"), step)
+    return Store(t.spark, store)
+
+
+def passive_records(events: DataFrame) -> DataFrame:
+    return in_run(observations(events).select(F.col("fqdn").alias("query"), "ts"))
 
 
 @query
@@ -703,7 +741,7 @@ def stream_zone_ingest(t: Tables) -> DataFrame:
             "muid", F.col("fqdn").alias("domain"), "event_type", ts.alias("ts")
         )
 
-    store = streamed(t, "zone", event_stream(t), records)
+    store = drained(t, fresh_path(t.spark, "store"), "zone", event_stream(t), records)
     apexes = store.read("apexes").select(F.col("id").alias("apex_id"), "apex")
     return store.read("zonefile_entries").join(apexes, "apex_id").groupBy("apex").agg(
         F.count("*").alias("n"), F.count("registered").alias("n_registered"), F.count("expired").alias("n_expired"),
@@ -713,10 +751,7 @@ def stream_zone_ingest(t: Tables) -> DataFrame:
 
 @query
 def stream_passive_ingest(t: Tables) -> DataFrame:
-    def records(events: DataFrame) -> DataFrame:
-        return in_run(observations(events).select(F.col("fqdn").alias("query"), "ts"))
-
-    store = streamed(t, "passive", event_stream(t), records)
+    store = drained(t, fresh_path(t.spark, "store"), "passive", event_stream(t), passive_records)
     fqdns = store.read("fqdns").select(F.col("id").alias("fqdn_id"), "fqdn")
     return store.read("passive_entries").join(fqdns, "fqdn_id").groupBy("fqdn").agg(
         F.count("*").alias("n"), F.min(ms("timestamp")).alias("first_ms"), F.max(ms("timestamp")).alias("last_ms")
@@ -725,11 +760,16 @@ def stream_passive_ingest(t: Tables) -> DataFrame:
 
 @query
 def stream_entrada_ingest(t: Tables) -> DataFrame:
+    """Warehouse names as pseudonyms, after a plain stream has stored the names of the clicks."""
+
     def records(events: DataFrame) -> DataFrame:
         obs = observations(events)
         return in_run(obs.select(F.col("fqdn").alias("qname"), F.col("ts").alias("first_seen"), F.col("ts").alias("last_seen")))
 
-    store = streamed(t, "entrada", event_stream(t), records)
+    root = fresh_path(t.spark, "store")
+    clicks = landed_in_parts(t.events().where("event_type = 'click'"), "ts", "landed-clicks")[0]
+    drained(t, root, "passive", jobs.read_landed(t.spark, clicks, t.events().schema), passive_records)
+    store = drained(t, root, "entrada", event_stream(t), records)
     pseudonyms = store.anon_view("fqdn").select(F.col("id").alias("fqdn_id"), "fqdn", "plain_fqdn_id")
     return store.read("entrada_entries").join(pseudonyms, "fqdn_id").groupBy("fqdn").agg(
         F.count("*").alias("n"), F.count("plain_fqdn_id").alias("n_linked"), F.max(ms("last_seen")).alias("last_ms")
@@ -738,8 +778,14 @@ def stream_entrada_ingest(t: Tables) -> DataFrame:
 
 @query
 def stream_ct_tail(t: Tables) -> DataFrame:
-    stream = jobs.read_landed(t.spark, t.landing("documents"), t.table("documents").schema)
-    store = streamed(t, "ct", stream, lambda rows: in_run(certificate_entries(rows)))
+    """Logs tailed by index in four bounded micro-batches, over two landings: the second call resumes where the first ended."""
+    store = Store(t.spark, fresh_path(t.spark, "store"))
+    pages = Pages(t.spark, fresh_path(t.spark, "pages"), t.cert().schema, size=2_000)
+    checkpoint = fresh_path(t.spark, "checkpoint-ct")
+    for landing, part in (("early", t.cert().where(is_stored())), ("late", t.cert().where(~is_stored()))):
+        left = pages_left(pages)
+        pages.land(landing, part)
+        tail_logs(store, pages, checkpoint, current_stage(t.spark), suffix_rules(t.spark), in_run, entries=max(1, -(-(pages_left(pages) - left) // 2)))
     logs = store.read("logs").select(F.col("id").alias("log_id"), F.col("url").alias("log_url"))
     entries = store.read("log_entries").join(logs, "log_id")
     return entries.groupBy("log_url").agg(
@@ -748,6 +794,11 @@ def stream_ct_tail(t: Tables) -> DataFrame:
     )
 
 
+def pages_left(pages: Pages) -> int:
+    """Indexes up to the heads of all logs."""
+    return pages.heads().agg(F.coalesce(F.sum("tree_size"), F.lit(0)).alias("n")).first().n
+
+
 @query
 def stream_metrics(t: Tables) -> DataFrame:
     root = fresh_path(t.spark, "stream-metrics")
@@ -764,9 +815,10 @@ def stream_dedup(t: Tables) -> DataFrame:
 
 @query
 def stream_zone_diff(t: Tables) -> DataFrame:
+    """The differ over snapshots of which the latest days land first."""
     root = fresh_path(t.spark, "stream-diff")
-    jobs.run(snapshot_rows(event_stream(t)), "diff", f"{root}/checkpoint", jobs.zone_diff_step(f"{root}/store"))
-    return by_day(Store(t.spark, f"{root}/store").read("zone_events"))
+    jobs.run(snapshot_rows(event_stream(t, latest_first=True)), "diff", f"{root}/checkpoint", jobs.zone_diff_step(f"{root}/store"))
+    return by_day(jobs.zone_events(Store(t.spark, f"{root}/store")))
 
 
 # --- vantage points ---

@@ -59,10 +59,10 @@ TABLES: dict[str, T.StructType] = {
         "id bigint, fqdn_id bigint, first_seen timestamp, last_seen timestamp, stage_id bigint"
     ),
     "record_types": _struct("id bigint, type string"),
-    # the streaming differ's events, the newest snapshot of each zone, and where to find it
-    "zone_events": _struct("tld string, domain string, event_type string, snapshot_date date"),
-    "zone_state": _struct("tld string, snapshot_date date, domain string"),
-    "zone_heads": _struct("tld string, snapshot_date date, batch string"),
+    # the streaming differ's events, 1 for one that holds from now on and -1 for one that no longer does, and
+    # the snapshots they come from
+    "zone_events": _struct("tld string, domain string, event_type string, snapshot_date date, n bigint"),
+    "zone_calendar": _struct("tld string, snapshot_date date"),
     "known_names": _struct("fqdn string"),
     # TLDs whose snapshots have been diffed
     "finished_tlds": _struct("tld string"),
@@ -76,6 +76,12 @@ for _level, _table in LEVEL_TABLE.items():
     # A link is its own append-only row, so a stored pseudonym is never rewritten.
     TABLES[f"{_table}_anon_links"] = _struct(f"anon_id bigint, plain_{_level}_id bigint")
 
+#: the rows of all name tables, and of all links, lie in one folder each: one scan and one write serve every level
+FOLDERS: dict[str, T.StructType] = {
+    "names": _struct("id bigint, name string, " + ", ".join(f"{p}_id bigint" for p in LEVELS[:-1])),
+    "links": _struct("anon_id bigint, plain_id bigint"),
+}
+
 _LOG = _struct(
     "description string, key string, url string, maximum_merge_delay bigint",
     operated_by=T.ArrayType(T.LongType()),

@@ -7,7 +7,10 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -16,6 +19,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     # Fact rows of one hot name are split over several tasks when they meet their dimension.
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # A lookup of few names asks the statistics and Bloom filters of the stored files for each of them.
+    spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", "64")
     return spark
 
 
@@ -55,11 +60,22 @@ def recorded() -> Iterator[list[str]]:
         _listeners[:] = [m for m in _listeners if m is not made]
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def small_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A few rows of the driver as a frame of one partition that needs no Python worker."""
+    table = pa.Table.from_pylist([dict(zip(schema.names, row, strict=True)) for row in rows], to_arrow_schema(schema))
+    return spark.createDataFrame(table, schema)
+
+
 def written(rows: DataFrame, label: str, *folders: str, path: str | None = None) -> DataFrame:
     """Write rows once to the shared folder and go on from the written table.
 

@@ -16,12 +16,11 @@ from pyspark.sql import types as T
 from ..functions.pseudonyms import Anonymizer
 from ..functions.suffixes import SuffixRules
 from ..functions.times import from_unix_ms
-from ..operators.dimensions import new_rows
+from ..operators.dimensions import new_rows, wanted_in
 from ..operators.metrics import interval_counts
-from ..operators.snapshots import zone_diff_events
+from ..operators.snapshots import event_changes, held_events
 from ..plans.ingest import Batch, ingest
 from ..plans.store import Store
-from ..schemas import FIRST_SEEN
 from ..session import prepare, workspace, written
 from ..sources.certificates import with_dns_names
 
@@ -39,21 +38,29 @@ def read_landed(
     return reader.load(path)
 
 
-def run(stream: DataFrame, name: str, checkpoint: str, *steps: Step, mode: str = "append", **trigger) -> None:
+def run(
+    stream: DataFrame, name: str, checkpoint: str, *steps: Step, mode: str = "append", drain: bool = False, **trigger
+) -> None:
     """Run the steps on every micro-batch, in order, until the landed data is used up.
 
     ``trigger`` goes to the writer; without it the stream ends when drained.
+    ``drain`` does the same for a source that bounds its micro-batches itself:
+    ``availableNow`` would take all it has as one.
     """
 
     def each(rows: DataFrame, epoch: int) -> None:
         for step in steps:
             step(rows, f"{name}-{epoch:010d}")
 
-    query = (
-        stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True})).foreachBatch(each).start()
-    )
-    query.awaitTermination()
+    when = trigger or ({"processingTime": "0 seconds"} if drain else {"availableNow": True})
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(**when).foreachBatch(each).start()
+    if drain:
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+    else:
+        query.awaitTermination()
 
 
 def sightings_of(source: str, records: DataFrame) -> DataFrame:
@@ -98,8 +105,9 @@ def ingest_step(
 def zone_diff_step(path: str) -> Step:
     """Differ over arriving snapshots ``tld, snapshot_date, domain``.
 
-    A snapshot must arrive whole, and after the earlier ones of its TLD. The
-    newest snapshot of each TLD is kept and read back for the next batch.
+    A snapshot must arrive whole. It may come late, between or before known
+    ones of its TLD, or again in place of one: the events that no longer hold
+    are retracted, see :func:`zone_events`.
     """
 
     def step(rows: DataFrame, batch: str) -> None:
@@ -107,45 +115,31 @@ def zone_diff_step(path: str) -> Step:
         with store.batch(batch) as opened, workspace(store.spark, "diff") as scratch:
             if opened is None:
                 return
-            hidden = opened.hidden
-            heads = store.read("zone_heads", hidden)
-            newest = heads.groupBy("tld").agg(
-                F.max("snapshot_date").alias("snapshot_date"), F.max_by("batch", "snapshot_date").alias("batch")
-            )
-            touched = newest.join(rows.select("tld").distinct(), "tld", "left_semi")
-            touched = written(touched, "heads", path=scratch)
-            # one short string per batch that holds a newest snapshot: prunes the folders to read
-            folders = [row.batch for row in touched.select("batch").distinct().toLocalIterator()]
-            kept = store.read("zone_state", hidden, only=folders).join(
-                touched.select("tld", "snapshot_date"), ["tld", "snapshot_date"], "left_semi"
-            )
-            fresh = rows.select("tld", "snapshot_date", "domain")
-            files = touched.select("tld", "snapshot_date").unionByName(fresh.select("tld", "snapshot_date").distinct())
-            events = zone_diff_events(fresh.unionByName(kept), files)
-            # a kept snapshot has been first in its day already
-            known = touched.select("tld", F.lit(True).alias("known"))
-            events = events.join(known, "tld", "left").where(
-                (F.col("event_type") != FIRST_SEEN) | F.col("known").isNull()
-            )
-            store.write("zone_events", batch, events)
-            last = fresh.groupBy("tld").agg(F.max("snapshot_date").alias("snapshot_date"))
-            last = written(last, "last", path=scratch)
-            state = fresh.join(last, ["tld", "snapshot_date"], "left_semi").distinct()
-            store.write("zone_state", batch, state)
-            store.write("zone_heads", batch, last.withColumn("batch", F.lit(batch)))
+            touched = rows.select("tld").distinct()
+            calendar = store.read("zone_calendar", opened.hidden).join(touched, "tld", "left_semi")
+            changes = store.read("zone_events", opened.hidden).join(touched, "tld", "left_semi")
+            store.write("zone_events", batch, event_changes(rows, calendar, changes, scratch))
+            store.write("zone_calendar", batch, rows.select("tld", "snapshot_date").distinct())
 
     return step
 
 
+def zone_events(store: Store) -> DataFrame:
+    """The events that hold: those the batch differ gives for the snapshots that have arrived, in whatever order."""
+    return held_events(store.read("zone_events"))
+
+
 def known_names_step(path: str) -> Step:
     """Keep each name once over all batches: new ones are added to ``known_names``."""
 
     def step(rows: DataFrame, batch: str) -> None:
         store = Store(prepare(rows.sparkSession), path)
-        with store.batch(batch) as opened:
+        with store.batch(batch) as opened, workspace(store.spark, "names") as scratch:
             if opened is not None:
-                names = rows.select("fqdn").distinct()
-                store.write("known_names", batch, new_rows(names, store.read("known_names", opened.hidden), "fqdn"))
+                names = written(rows.select("fqdn").distinct(), "names", path=scratch)
+                asked = wanted_in(names, "fqdn")
+                stored = store.read("known_names", opened.hidden, wanted=asked)
+                store.write("known_names", batch, new_rows(names, stored, "fqdn"), asked.n)
 
     return step
 
