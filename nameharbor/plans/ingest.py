@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.pseudonyms import Anonymizer, with_pseudonyms
 from ..functions.suffixes import SuffixRules, reject_reason, with_domain_parts
 from ..operators import dimensions as dim
-from ..operators import facts, metrics
+from ..operators import bitmaps, facts, metrics
 from ..operators.runs import with_stage
 from ..schemas import LEVELS
 from ..session import workspace, written
@@ -178,6 +178,17 @@ def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame,
     )
 
 
+def _store_warehouse(at: _Open, rows: DataFrame) -> None:
+    at.write_facts("entrada_entries", rows)
+    own = at.store.read("entrada_entries", [], only=[at.id])
+    at.write("entrada_bitmaps", bitmaps.id_bitmaps(own, "fqdn_id"))
+
+
+def warehouse_offset(store: Store) -> DataFrame:
+    """One row ``resume_offset``: how many different names of the warehouse are stored. Reads bitmaps only."""
+    return bitmaps.distinct_ids(store.read("entrada_bitmaps"), "resume_offset")
+
+
 def ingest(
     store: Store, batch: Batch, current: DataFrame, rules: SuffixRules, anonymizer: Anonymizer | None = None,
     more: dict[str, DataFrame] | None = None,
@@ -231,7 +242,7 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
             "fqdn_anon", "first_seen", "last_seen", "stage_id"
         )
         rows = facts.warehouse_facts(sightings, _ids(ids, "fqdn", dim.ANON))
-        writes.append(partial(at.write_facts, "entrada_entries", rows))
+        writes.append(partial(_store_warehouse, at, rows))
     if rejects:
         writes.append(partial(at.write, "rejects", reduce(DataFrame.unionByName, rejects)))
     _all_at_once(at.store.spark, *writes)

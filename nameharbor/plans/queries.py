@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import names, times
 from ..functions.pseudonyms import Anonymizer, with_pseudonyms
 from ..functions.suffixes import SuffixRules, suffix_rules, with_domain_parts
-from ..operators import ct, facts, metrics, runs, selections, snapshots
+from ..operators import bitmaps, ct, facts, metrics, runs, selections, snapshots
 from ..operators import dimensions as dim
 from ..schemas import LEVEL_TABLE, LEVELS
 from ..session import fresh_path, prepare, written
@@ -434,7 +434,8 @@ def entrada_window(t: Tables) -> DataFrame:
 
 @query
 def entrada_page(t: Tables) -> DataFrame:
-    return warehouse.page(warehouse_rows(t), limit=500, offset=200)
+    laid = warehouse.NamePages(warehouse_rows(t), fresh_path(t.spark, "name-pages"), size=500)
+    return laid.page(limit=500, offset=200)
 
 
 @query
@@ -447,9 +448,10 @@ def entrada_fact(t: Tables) -> DataFrame:
 
 @query
 def entrada_offset(t: Tables) -> DataFrame:
-    fqdns = dim.with_ids(t.obs().select("fqdn").distinct(), "fqdn")
-    rows = facts.passive_facts(t.obs().withColumn("stage_id", F.lit(1)), fqdns)
-    return rows.agg(F.countDistinct("fqdn_id").alias("resume_offset"))
+    """Different names over two batches, from the bitmaps of each."""
+    fqdns = written(dim.with_ids(t.obs().select("fqdn").distinct(), "fqdn"), "fqdn-ids")
+    batches = [facts.passive_facts(half.withColumn("stage_id", F.lit(1)), fqdns) for half in halves(t)]
+    return bitmaps.distinct_ids(union([bitmaps.id_bitmaps(rows, "fqdn_id") for rows in batches]), "resume_offset")
 
 
 # --- certificates and logs ---

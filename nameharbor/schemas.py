@@ -58,6 +58,8 @@ TABLES: dict[str, T.StructType] = {
     "entrada_entries": _struct(
         "id bigint, fqdn_id bigint, first_seen timestamp, last_seen timestamp, stage_id bigint"
     ),
+    # which rows of fqdns_anon the entries of a batch name: the offset to go on from is their number over all batches
+    "entrada_bitmaps": _struct("bucket bigint, bitmap binary"),
     "record_types": _struct("id bigint, type string"),
     # the streaming differ's events, 1 for one that holds from now on and -1 for one that no longer does, and
     # the snapshots they come from

@@ -42,3 +42,24 @@ def page(rows: DataFrame, limit: int, offset: int, name: str = "qname") -> DataF
     """
     placed = with_positions(rows, [name])
     return placed.where((F.col("position") >= offset) & (F.col("position") < offset + limit)).drop("position")
+
+
+class NamePages:
+    """Rows in name order, laid out once in pages of ``size``, of which any can be read by itself.
+
+    A page has a folder of its own, so reading one opens its files only,
+    however many come before it.
+    """
+
+    def __init__(self, rows: DataFrame, path: str, size: int, name: str = "qname"):
+        self.spark, self.path, self.size, self.columns = rows.sparkSession, path, size, rows.columns
+        placed = with_positions(rows, [name]).withColumn("page", F.expr(f"position div {size}"))
+        placed.write.mode("overwrite").partitionBy("page").parquet(path)
+        self.schema = placed.schema
+
+    def page(self, limit: int, offset: int) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit`` in name order; ``limit`` may span several pages or part of one."""
+        position, page = F.col("position"), F.col("page")
+        first, last = offset // self.size, (offset + limit - 1) // self.size
+        found = self.spark.read.schema(self.schema).parquet(self.path).where((page >= first) & (page <= last))
+        return found.where((position >= offset) & (position < offset + limit)).select(*self.columns)

@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from nameharbor.operators import ct, facts, metrics, runs, selections, snapshots
+from nameharbor.operators import bitmaps, ct, facts, metrics, runs, selections, snapshots
 from nameharbor.operators import dimensions as dim
 from nameharbor.operators.positions import running_count, with_positions
 from nameharbor.plans import vantage
@@ -275,3 +275,16 @@ def test_vantage_points(spark, rows):
     ).withColumn("ts", F.timestamp_seconds("s"))
     assert rows(vantage.overlap(frame)) == [("ct+zone", 2), ("passive", 1)]
     assert rows(vantage.first_seen(frame), "apex", "leading_source", "lead_ms") == [("a.com", "ct", 3000), ("b.com", "passive", None), ("c.com", "ct", 0)]
+
+
+def test_distinct_ids_by_batch(spark, rows):
+    """Bitmaps of three batches, with copies, nulls and ids far apart, against the full count."""
+    batches = [[1, 2, 2, 32768, None], [2, 32769, 70_000], [5, 10**12, 1, None]]
+    frames = [spark.createDataFrame([(i,) for i in batch], "id bigint") for batch in batches]
+    held = [bitmaps.id_bitmaps(frame, "id") for frame in frames]
+    for n in (1, 2, 3):
+        union = held[0]
+        for more in held[1:n]:
+            union = union.unionByName(more)
+        assert rows(bitmaps.distinct_ids(union, "n")) == [(len({i for batch in batches[:n] for i in batch} - {None}),)]
+    assert rows(bitmaps.distinct_ids(bitmaps.id_bitmaps(frames[0].where("false"), "id"), "n")) == [(0,)]

@@ -170,12 +170,19 @@ def test_warehouse_rows(spark, rows):
     assert rows(seen.where("qname = 'a'"), F.unix_seconds("first_seen"), F.unix_seconds("last_seen")) == [(2, 3)]
 
 
-def test_pages_cover_all_rows_once(spark, rows):
+def test_pages_cover_all_rows_once(spark, rows, tmp_path):
     names = spark.range(1000).select(F.sha1(F.col("id").cast("string")).alias("qname"), F.col("id").alias("n"))
     expected = sorted(r.qname for r in names.collect())
     assert [r[0] for r in rows(warehouse.page(names, 100, 450), "qname")] == expected[450:550]
     assert [r[0] for r in rows(warehouse.page(names, 300, 900), "qname")] == expected[900:]
     assert rows(warehouse.page(names, 10, 1000)) == []
+    from test_lookups import scanned
+
+    laid = warehouse.NamePages(names, str(tmp_path / "pages"), 100)
+    for limit, offset in ((100, 0), (100, 450), (300, 900), (10, 1000), (1, 999)):
+        assert [r[0] for r in rows(laid.page(limit, offset), "qname")] == expected[offset:offset + limit]
+    everything = scanned(laid.page(1000, 0))
+    assert everything >= 10 and scanned(laid.page(100, 900)) <= everything - 9
 
 
 # --- certificates ---

@@ -114,6 +114,15 @@ def test_links_in_any_order(make, order):
     check_keys(make.store)
 
 
+def test_the_offset_of_the_warehouse_grows_by_batch(make):
+    from nameharbor.plans.ingest import warehouse_offset
+
+    for batch, names, expected in (("one", ("a.com", "a.com", "b.com"), 2), ("two", ("b.com", "c.com"), 3)):
+        make.ingest(batch, entrada=make.entrada(*names))
+        full = make.store.read("entrada_entries").select("fqdn_id").distinct().count()
+        assert warehouse_offset(make.store).first().resume_offset == expected == full
+
+
 def test_all_sources_at_once(make):
     name = "www.example.co.uk"
     make.ingest("all", zone=make.zone(name), ct=make.ct([name]), passive=make.passive(name), entrada=make.entrada(name))
