@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices, small_batches
+from nameharbor.llm.slices import free_name, slices, small_batches
 from nameharbor.llm.texts import PAD, Texts
 
 #: Longest context in bytes, training documents of a language (about, chosen by a hash of the id),
@@ -158,12 +158,12 @@ def identify(docs: DataFrame, tree: ContextTree | None) -> DataFrame:
     """
     small_batches(docs)
     docs = docs.drop("lang_pred", "score")
-    names = docs.columns
+    names, inner, lettered = docs.columns, free_name(docs, "__text"), free_name(docs, "__letters")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
-            texts = Texts.of(batch.column("__text"))
-            letters = batch.column("__letters").to_numpy(zero_copy_only=False).astype(bool)
+        for batch in slices(batches, inner):
+            texts = Texts.of(batch.column(inner))
+            letters = batch.column(lettered).to_numpy(zero_copy_only=False).astype(bool)
             pred, score = np.full(len(texts), "und", object), np.zeros(len(texts))
             if tree:
                 bits = tree.lengths(texts)
@@ -175,7 +175,7 @@ def identify(docs: DataFrame, tree: ContextTree | None) -> DataFrame:
 
     schema = docs.limit(0).selectExpr("*", "'' lang_pred", "0D score").schema
     text = F.col("text").cast("string")
-    return docs.withColumns({"__text": text, "__letters": F.coalesce(text.rlike(r"\p{L}"), F.lit(False))}).mapInArrow(run, schema)
+    return docs.withColumns({inner: text, lettered: F.coalesce(text.rlike(r"\p{L}"), F.lit(False))}).mapInArrow(run, schema)
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices, small_batches
+from nameharbor.llm.slices import free_name, slices, small_batches
 from nameharbor.llm.texts import Texts, mix, span_hashes, trimmed
 
 #: Labelled documents of each label that the field is trained on, about (chosen by a hash of the id).
@@ -221,11 +221,11 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     small_batches(docs)
     docs = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
     field = fit_field(docs, labels, sample)
-    names = docs.columns
+    names, inner = docs.columns, free_name(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
-            lines = Lines(Texts.of(batch.column("__text")))
+        for batch in slices(batches, inner):
+            lines = Lines(Texts.of(batch.column(inner)))
             failed = (lines.n_words < LEAST_WORDS) | (100 * lines.n_repeat_words > 50 * lines.n_words)
             good = field.decode(lines.features, lines.first) == 1 if field else np.ones(len(lines.doc), bool)
             content = np.bincount(lines.doc[good], lines.chars[good], minlength=batch.num_rows)
@@ -234,7 +234,7 @@ def quality_verdicts(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
             out += [pa.array(x.astype(np.int64), pa.int64()) for x in (lines.n_words, lines.word_chars, lines.n_symbols, lines.n_dup_lines, lines.n_repeat_words)]
             yield pa.RecordBatch.from_arrays([*out, pa.array(failed), pa.array(kept)], names=[f.name for f in schema.fields])
 
-    shape = docs.withColumn("__text", F.col("text").cast("string"))
+    shape = docs.withColumn(inner, F.col("text").cast("string"))
     schema = docs.limit(0).selectExpr("*", "0L n_words", "0L word_chars", "0L n_symbols", "0L n_dup_lines", "0L n_repeat_words", "true base_failed", "true kept").schema
     return shape.mapInArrow(run, schema)
 

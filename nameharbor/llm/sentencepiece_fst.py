@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices, small_batches
+from nameharbor.llm.slices import free_name, slices, small_batches
 from nameharbor.llm.texts import PAD, Texts, ranges, span_hashes
 
 #: Units (blanks and the word after them) whose pieces a task keeps.
@@ -214,15 +214,15 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
     added = ["ids", "n_ids", "n_byte_ids", "decoded_sha256", "round_trip"]
     small_batches(docs)
     docs = docs.drop(*added)
-    names = docs.columns
+    names, inner = docs.columns, free_name(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fst = Transducer.shared(model)
         is_byte = np.zeros(len(fst.sizes), bool)
         is_byte[fst.byte_id] = True
-        for batch in slices(batches, "__text"):
-            gone = batch.column("__text").is_null().to_numpy(zero_copy_only=False)
-            ids, counts, texts = fst.encode(Texts.of(batch.column("__text")))
+        for batch in slices(batches, inner):
+            gone = batch.column(inner).is_null().to_numpy(zero_copy_only=False)
+            ids, counts, texts = fst.encode(Texts.of(batch.column(inner)))
             back = fst.decode(ids, counts)
             bytes_ = np.r_[0, np.cumsum(is_byte[ids])]
             last = np.cumsum(counts)
@@ -239,7 +239,7 @@ def encoded(docs: DataFrame, model: str) -> DataFrame:
         fst.forget()
 
     schema = docs.limit(0).selectExpr("*", "array(0) ids", "0L n_ids", "0L n_byte_ids", "'' decoded_sha256", "true round_trip").schema
-    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.withColumn(inner, F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def op8_sentencepiece(spark, sf_dir: str) -> DataFrame:

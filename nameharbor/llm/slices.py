@@ -30,3 +30,11 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
             yield batch.slice(at, max(at + 1, end) - at)
             at = max(at + 1, end)
     pa.default_memory_pool().release_unused()
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """``name``, longer by as many underscores as no column of the rows is called so."""
+    taken = {c.lower() for c in rows.columns}
+    while name in taken:
+        name += "_"
+    return name

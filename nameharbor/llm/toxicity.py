@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nameharbor.llm.slices import slices, small_batches
+from nameharbor.llm.slices import free_name, slices, small_batches
 from nameharbor.llm.texts import Texts, span_hashes
 from nameharbor.session import written
 
@@ -272,15 +272,15 @@ def toxicity(docs: DataFrame, scorer: Scorer | None) -> DataFrame:
     """
     small_batches(docs)
     docs = docs.drop("score", "predicted")
-    names = docs.columns
+    names, inner = docs.columns, free_name(docs, "__text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
-            score = scorer.score(Texts.of(batch.column("__text"))) if scorer else np.zeros(batch.num_rows)
+        for batch in slices(batches, inner):
+            score = scorer.score(Texts.of(batch.column(inner))) if scorer else np.zeros(batch.num_rows)
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(names))), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=schema.names)
 
     schema = docs.limit(0).selectExpr("*", "0D score", "0 predicted").schema
-    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.withColumn(inner, F.col("text").cast("string")).mapInArrow(run, schema)
 
 
 def op3_toxicity(spark, sf_dir: str) -> DataFrame:

@@ -288,3 +288,25 @@ def test_exact_products():
         first, far = vector_codes.nearest(a // 4, np.concatenate([b, b]) // 4)
         assert first.max() < 16  # ties go to the lower index
         assert far.tolist() == [min(sum((int(x) - int(y)) ** 2 for x, y in zip(u, v, strict=True)) for v in b // 4) for u in a // 4]
+
+
+# --- columns of the caller
+
+
+def test_columns_of_the_caller_stay(spark):
+    """Columns that are called as an operator's inner ones are neither lost nor mistaken for the text."""
+    from nameharbor.llm.language_id import fit_tree, identify
+    from nameharbor.llm.quality_rules import quality_verdicts
+    from nameharbor.llm.sentencepiece_fst import encoded
+    from nameharbor.llm.toxicity import fit_scorer, toxicity
+
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    extra = docs.selectExpr("*", "concat('own ', doc_id) AS __text", "concat('mine ', doc_id) AS __letters", "doc_id AS `__text_`")
+    tree, scorer = fit_tree(docs), fit_scorer(docs, labels)
+    for apply in (lambda d: toxicity(d, scorer), lambda d: identify(d, tree), lambda d: quality_verdicts(d, labels),
+                  lambda d: encoded(d, public_tokenizers.path("piece_bpe_32k.model"))):
+        plain, clashing = apply(docs), apply(extra)
+        assert {tuple(map(str, r)) for r in clashing.select(plain.columns).collect()} == {tuple(map(str, r)) for r in plain.collect()}
+        assert clashing.where("__text = concat('own ', doc_id) AND __letters = concat('mine ', doc_id) AND `__text_` = doc_id").count() == docs.count()
