@@ -43,14 +43,20 @@ def new_rows(names: DataFrame, dimension: DataFrame, name: str) -> DataFrame:
 BUCKET_DIGITS, BUCKET_ROWS, FEW = 3, 1 << 20, 64
 
 
+def bucket_digits(n: int, rows: int = BUCKET_ROWS) -> int:
+    """So many digits that a bucket of ``n`` names holds about ``rows``."""
+    digits = 0
+    while digits < BUCKET_DIGITS and n > rows * 16**digits:
+        digits += 1
+    return digits
+
+
 def bucket_of(name: Column, n: int, rows: int = BUCKET_ROWS) -> Column:
     """The folder of a name among ``n``: so many digits of its hash that a bucket holds about ``rows``, ``-`` for none.
 
     Buckets of more digits are parts of those of fewer, so batches of any size are looked up together.
     """
-    digits = 0
-    while digits < BUCKET_DIGITS and n > rows * 16**digits:
-        digits += 1
+    digits = bucket_digits(n, rows)
     return F.substring(F.md5(name), 1, digits) if digits else F.lit("-")
 
 

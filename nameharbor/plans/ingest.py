@@ -112,8 +112,8 @@ class _Open:
     def read(self, table: str, wanted: dim.Wanted | None = None) -> DataFrame:
         return self.store.read(table, self.hidden, wanted=wanted)
 
-    def write(self, table: str, rows: DataFrame, at_most: int = 0) -> None:
-        self.counts[table] = self.store.write(table, self.id, rows, at_most)
+    def write(self, table: str, rows: DataFrame, at_most: int = 0, size: int = 0) -> None:
+        self.counts[table] = self.store.write(table, self.id, rows, at_most, size)
 
     def write_facts(self, table: str, rows: DataFrame) -> None:
         self.write(table, dim.with_row_ids(rows, self.next_id(table)))
@@ -153,8 +153,8 @@ def _store_names(at: _Open, names: DataFrame, anonymizer: Anonymizer) -> tuple[D
     })
 
 
-def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame, parts: DataFrame, fqdns: DataFrame) -> None:
-    """``entries`` are without the bytes, ``certificates`` are ``sha256_fingerprint, raw`` of all of the batch."""
+def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame, size: int, parts: DataFrame, fqdns: DataFrame) -> None:
+    """``entries`` are without the bytes, ``certificates`` are ``sha256_fingerprint, raw`` of all of the batch, ``size`` bytes."""
     urls = entries.groupBy(F.col("log_url").alias("url")).agg(F.min("description").alias("description"))
     known_logs = at.read("logs")
     new_logs = dim.new_rows(urls, known_logs, "url")
@@ -172,7 +172,7 @@ def _store_certificates(at: _Open, entries: DataFrame, certificates: DataFrame,
     rows = facts.log_facts(entries, hits.unionByName(numbered), known_logs.select("id", "url").unionByName(logs.select("id", "url")))
     _all_at_once(
         at.store.spark,
-        lambda: at.write("certificates", facts.distinct_certificates(certificates.join(numbered, key)), asked.n),
+        lambda: at.write("certificates", facts.distinct_certificates(certificates.join(numbered, key)), asked.n, size),
         lambda: at.write_facts("certificate_to_fqdns", facts.bridge(parts, numbered, fqdns)),
         lambda: at.write_facts("log_entries", rows),
     )
@@ -208,7 +208,10 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
     if batch.ct is not None:
         prints = facts.fingerprinted(batch.ct)
         # many readers; the bytes are read once here, and once more when new certificates are written
-        batch = replace(batch, ct=at.kept(prints.drop("raw"), "entries"))
+        seen_bytes = Observation()
+        sized = prints.observe(seen_bytes, F.sum(F.octet_length("raw")).alias("size"))
+        batch = replace(batch, ct=at.kept(sized.drop("raw"), "entries"))
+        size = seen_bytes.get.get("size") or 0
         certificates = prints.select("sha256_fingerprint", "raw")
     accepted, rejects = accept(batch, current, rules)
     seen = [
@@ -228,7 +231,7 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
     writes: list[Callable[[], None]] = []
     if "ct" in accepted:
         fqdns = _ids(ids, "fqdn", dim.PLAIN)
-        writes.append(partial(_store_certificates, at, accepted["ct"], certificates, certificate_parts, fqdns))
+        writes.append(partial(_store_certificates, at, accepted["ct"], certificates, size, certificate_parts, fqdns))
     if "zone" in accepted:
         events = accepted["zone"].select("apex", "event_type", "ts", "stage_id")
         rows = facts.zone_facts(events, _ids(ids, "apex", dim.PLAIN))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.dimensions import ANON, BUCKET_ROWS, PLAIN, Wanted, bucket_of, next_id
+from ..operators.dimensions import ANON, BUCKET_ROWS, PLAIN, Wanted, bucket_digits, bucket_of, next_id
 from ..schemas import FOLDERS, LEVEL_TABLE, LEVELS, TABLES
 from ..session import drop_folder, path_exists, small_rows
 
@@ -62,6 +62,9 @@ def name_table(level: str, twin: str) -> str:
 #: every name table with its twin and level
 NAME_TABLES = [(name_table(level, twin), twin, level) for level in LEVELS for twin in (PLAIN, ANON)]
 
+#: bytes of a bucket from which on it is written by several tasks, a file each
+FILE_BYTES = 64 << 20
+
 #: stores that a batch of this process is writing
 _held: set[str] = set()
 _lock = threading.Lock()
@@ -293,17 +296,24 @@ class Store:
         ]
         return reduce(DataFrame.unionByName, found)
 
-    def _write(self, batch: str, path: str, rows: DataFrame, folders: list[str], key: str | None, n: int, counted: dict[str, Column]) -> dict[str, int]:
+    def _write(self, batch: str, path: str, rows: DataFrame, folders: list[str], key: str | None, n: int, counted: dict[str, Column], files: tuple[int, int] = (1, 1)) -> dict[str, int]:
         """Write rows over what an earlier try has left; how many there are of each table, counted on the way.
 
-        A bucket goes to one task, in the order of its names, and its file has a Bloom filter on them.
+        A bucket goes to one task, in the order of its names, and its file has a Bloom filter on them. ``files`` are
+        the buckets and the files of each: one of several files has its share of the names, by their hash.
         """
         numbered = "id" in rows.columns
         seen = Observation()
         counts = [F.count_if(c).alias(f"n_{name}") for name, c in counted.items()]
         tops = [F.max(F.when(c, F.col("id"))).alias(f"top_{name}") for name, c in counted.items()] if numbered else []
         if key:
-            rows = rows.repartition(*folders, "bucket").sortWithinPartitions(*folders, "bucket", key)
+            buckets, each = files
+            if each > 1:
+                tasks = max(buckets * each, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+                rows = rows.repartition(tasks, *folders, "bucket", F.pmod(F.xxhash64(key), F.lit(each)))
+            else:
+                rows = rows.repartition(*folders, "bucket")
+            rows = rows.sortWithinPartitions(*folders, "bucket", key)
         writer = rows.observe(seen, *counts, *tops).write.mode("overwrite").partitionBy(*folders, *(["bucket"] if key else []))
         if key:
             writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.bloom.filter.expected.ndv#{key}", str(max(1, n)))
@@ -313,16 +323,19 @@ class Store:
             self._noted[batch].update({name: got[f"top_{name}"] for name in counted if got.get(f"top_{name}") is not None})
         return {name: got.get(f"n_{name}") or 0 for name in counted}
 
-    def write(self, name: str, batch: str, rows: DataFrame, at_most: int = 0) -> int:
+    def write(self, name: str, batch: str, rows: DataFrame, at_most: int = 0, size: int = 0) -> int:
         """Write the rows of a batch, in place of what an earlier try has left; how many there were.
 
-        ``at_most`` is a bound on the rows of a table that is looked up; more than a few get more buckets.
+        ``at_most`` is a bound on the rows of a table that is looked up; more than a few get more buckets. ``size`` is a
+        bound on their bytes where these are many; large buckets get several files.
         """
         place = _PLACES[name]
         typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(place.stored.get(f.name, f.name)) for f in TABLES[name].fields])
         if place.key:
             typed = typed.withColumn("bucket", bucket_of(F.col(place.key), at_most, self.bucket_rows))
-        return self._write(batch, place.path(batch), typed, [], place.key, at_most, {name: F.lit(True)})[name]
+        buckets = 16 ** bucket_digits(at_most, self.bucket_rows)
+        files = (buckets, max(1, -(-size // (buckets * FILE_BYTES))))
+        return self._write(batch, place.path(batch), typed, [], place.key, at_most, {name: F.lit(True)}, files)[name]
 
     def write_names(self, batch: str, rows: DataFrame, at_most: dict[tuple[str, str], int]) -> dict[str, int]:
         """Write new names of all levels (``twin, level, name, id`` and the ids of their parents) at once."""
