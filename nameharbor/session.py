@@ -21,6 +21,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # A lookup of few names asks the statistics and Bloom filters of the stored files for each of them.
     spark.conf.set("spark.sql.parquet.pushdown.inFilterThreshold", "64")
+    # Folders of many pages are listed by so many tasks and not by one for each folder: each sends a result to the driver.
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism", "64")
     return spark
 
 

@@ -37,3 +37,19 @@ def test_large_certificates_are_written_by_several_tasks(spark, tmp_path, rows,
     stored = store.read("certificates")
     assert stored.count() == 230 == stored.select("sha256_fingerprint").distinct().count() == stored.select("id").distinct().count()
     assert store.read("log_entries").count() == 220 + 40
+
+
+def test_a_listing_of_many_pages_has_few_tasks(spark, tmp_path):
+    entries = spark.range(300).select(
+        F.lit("log").alias("log_url"), F.col("id").alias("index"), F.timestamp_seconds(F.col("id")).alias("ts"))
+    pages = Pages(prepare(spark), str(tmp_path / "pages"), entries.schema, size=2)
+    pages.land("one", entries)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        assert pages.entries().count() == 300
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # 150 folders
+    assert stages and max(s.numTasks for s in stages if s is not None) <= 64
