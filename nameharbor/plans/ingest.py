@@ -45,6 +45,8 @@ class Batch:
 
 
 _NAME = {"zone": "domain", "passive": "query", "entrada": "qname"}
+#: what facts take from an accepted row beside its name and stage
+_FACT = {"zone": ["event_type", "ts"], "passive": ["ts"], "entrada": ["first_seen", "last_seen"]}
 
 
 def split_names(rows: DataFrame, source: str, name: str, rules: SuffixRules) -> tuple[DataFrame, DataFrame]:
@@ -214,6 +216,8 @@ def _ingest(at: _Open, batch: Batch, current: DataFrame, rules: SuffixRules, ano
         size = seen_bytes.get.get("size") or 0
         certificates = prints.select("sha256_fingerprint", "raw")
     accepted, rejects = accept(batch, current, rules)
+    for source in accepted.keys() - {"ct"}:  # names, facts and counts read it: the names are split once
+        accepted[source] = at.kept(accepted[source].select(*LEVELS, *_FACT[source], "stage_id"), f"accepted-{source}")
     seen = [
         rows.select(*LEVELS, F.lit(source == "entrada").alias("anonymous"))
         for source, rows in accepted.items() if source != "ct"
